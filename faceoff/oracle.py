@@ -353,34 +353,49 @@ WHERE recency <= 5"""
 
 # --- composed datasets ---------------------------------------------------------------
 
-MOMENTUM = w(*LT_CLEAN, RANKED.format(name="rk", src="lt"), LAST5, STREAK, VENUE_RATE, H2H_TOTAL) + f"""SELECT c.id, c.season, c.date,
+
+def raw(expr: str, alias: str) -> str:
+    return f"{expr} AS {alias}"
+
+
+MOMENTUM_CTES = [*LT_CLEAN, RANKED.format(name="rk", src="lt"), LAST5, STREAK, VENUE_RATE, H2H_TOTAL]
+
+
+def momentum_body(rd=r6) -> str:
+    return f"""SELECT c.id, c.season, c.date,
   c.team1, c.team2, c.venue, c.toss_winner, c.toss_decision,
   CASE WHEN (c.toss_winner = c.team1 AND c.toss_decision = 'bat') OR (c.toss_winner = c.team2 AND c.toss_decision = 'field') THEN 1 ELSE 0 END AS chose_to_bat,
   CASE WHEN c.toss_winner = c.team1 THEN 1 ELSE 0 END AS team1_won_toss,
   a1.last5_wins AS team1_last5_wins, a2.last5_wins AS team2_last5_wins,
-  {r6('a1.form', 'team1_form')}, {r6('a2.form', 'team2_form')},
+  {rd('a1.form', 'team1_form')}, {rd('a2.form', 'team2_form')},
   CAST(h.team1_h2h_wins AS BIGINT) AS team1_h2h_wins, CAST(h.team2_h2h_wins AS BIGINT) AS team2_h2h_wins,
-  {r6('h.team1_h2h_winrate', 'team1_h2h_winrate')}, {r6('h.team2_h2h_winrate', 'team2_h2h_winrate')},
+  {rd('h.team1_h2h_winrate', 'team1_h2h_winrate')}, {rd('h.team2_h2h_winrate', 'team2_h2h_winrate')},
   s1.streak AS team1_streak, s2.streak AS team2_streak,
-  {r6('v1.venue_win_rate', 'team1_venue_win_rate')}, {r6('v2.venue_win_rate', 'team2_venue_win_rate')},
+  {rd('v1.venue_win_rate', 'team1_venue_win_rate')}, {rd('v2.venue_win_rate', 'team2_venue_win_rate')},
   c.winner, CASE WHEN c.team1 = c.winner THEN 1 ELSE 0 END AS team1_won
 FROM cleaned c
 JOIN h2h h ON h.id = c.id
 JOIN l5 a1 ON a1.id = c.id AND a1.side = 1 JOIN l5 a2 ON a2.id = c.id AND a2.side = 2
 JOIN sk s1 ON s1.id = c.id AND s1.side = 1 JOIN sk s2 ON s2.id = c.id AND s2.side = 2
 JOIN vr v1 ON v1.id = c.id AND v1.side = 1 JOIN vr v2 ON v2.id = c.id AND v2.side = 2"""
-ORACLES["contest_momentum"] = MOMENTUM
+
+
+ORACLES["contest_momentum"] = w(*MOMENTUM_CTES) + momentum_body()
 
 FORM_WL = """CASE WHEN winner = team1 AND result = 'wickets' THEN {s2}
        WHEN winner = team1 THEN {s1}
        WHEN winner = team2 AND result = 'wickets' THEN {s1}
        WHEN winner = team2 THEN {s2}
        ELSE {agg}({s1}, {s2}) END"""
-FORM_SQL = w(*RF_BASE, INNINGS) + f"""SELECT c.id, c.date, c.team1, c.team2, c.venue, c.toss_winner, c.toss_decision, c.winner,
+FORM_CTES = [*RF_BASE, INNINGS]
+
+
+def form_body(rd=r6) -> str:
+    return f"""SELECT c.id, c.date, c.team1, c.team2, c.venue, c.toss_winner, c.toss_decision, c.winner,
   coalesce(ip.inning1_score, 0) AS inning1_score, coalesce(ip.inning2_score, 0) AS inning2_score,
   CAST({FORM_WL.format(s1='coalesce(ip.inning1_score, 0)', s2='coalesce(ip.inning2_score, 0)', agg='greatest')} AS BIGINT) AS winning_score,
   CAST({FORM_WL.format(s1='coalesce(ip.inning2_score, 0)', s2='coalesce(ip.inning1_score, 0)', agg='least')} AS BIGINT) AS losing_score,
-  {', '.join(r6(f'f{s}.{m}', f'team{s}_{m}') for s in (1, 2) for m in FORM_METRICS)},
+  {', '.join(rd(f'f{s}.{m}', f'team{s}_{m}') for s in (1, 2) for m in FORM_METRICS)},
   CASE WHEN c.toss_winner = c.team1 THEN 1 ELSE 0 END AS toss_winner_is_team1,
   CASE WHEN c.toss_decision = 'bat' THEN 1 ELSE 0 END AS team1_bat_first,
   CASE WHEN c.toss_winner = c.team1 AND c.toss_decision = 'bat' THEN 1 ELSE 0 END AS team1_toss_bat_first,
@@ -388,4 +403,201 @@ FORM_SQL = w(*RF_BASE, INNINGS) + f"""SELECT c.id, c.date, c.team1, c.team2, c.v
   CASE WHEN c.winner = c.team1 THEN 1 ELSE 0 END AS team1_won
 FROM fc c LEFT JOIN ip ON ip.id = c.id
 JOIN rf f1 ON f1.id = c.id AND f1.side = 1 JOIN rf f2 ON f2.id = c.id AND f2.side = 2"""
-ORACLES["contest_form"] = FORM_SQL
+
+
+ORACLES["contest_form"] = w(*FORM_CTES) + form_body()
+
+MOM = f"mom AS ({momentum_body(raw)})"
+FORM = f"form AS ({form_body(raw)})"
+CATS = ["venue", "team1", "team2", "toss_winner", "toss_decision"]
+SCALE = [f"team{s}_{m}" for s in (1, 2) for m in FORM_METRICS]
+
+
+def enc(col: str, src: str) -> str:
+    return f"CAST(dense_rank() OVER (ORDER BY coalesce({col}, 'Unknown')) - 1 AS INTEGER) AS {col}"
+
+
+MOM_ENC_COLS = ["id", "season", "date", "team1", "team2", "venue", "toss_winner", "toss_decision", "chose_to_bat",
+                "team1_won_toss", "team1_last5_wins", "team2_last5_wins", "team1_form", "team2_form",
+                "team1_h2h_wins", "team2_h2h_wins", "team1_h2h_winrate", "team2_h2h_winrate",
+                "team1_streak", "team2_streak", "team1_venue_win_rate", "team2_venue_win_rate", "winner", "team1_won"]
+ENC = "enc AS (SELECT " + ", ".join(enc(c, "mom") if c in CATS else c for c in MOM_ENC_COLS) + " FROM mom)"
+MOM_DOUBLES = {"team1_form", "team2_form", "team1_h2h_winrate", "team2_h2h_winrate",
+               "team1_venue_win_rate", "team2_venue_win_rate"}
+ORACLES["label_encode"] = w(*MOMENTUM_CTES, MOM, ENC) + "SELECT " + ", ".join(
+    r6(c, c) if c in MOM_DOUBLES else c for c in MOM_ENC_COLS) + " FROM enc"
+
+CORR_FEATURES = [c for c in MOM_ENC_COLS if c not in ("date", "winner", "team1_won")]
+CORR = "corr AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), CAST(team1_won AS DOUBLE)) AS correlation FROM enc"
+    for c in CORR_FEATURES) + ")"
+CORR_CLEAN = "corrc AS (SELECT feature, CASE WHEN isnan(correlation) THEN NULL ELSE correlation END AS correlation FROM corr)"
+ORACLES["target_correlation"] = w(*MOMENTUM_CTES, MOM, ENC, CORR, CORR_CLEAN) + \
+    f"SELECT feature, {r6('correlation', 'correlation')} FROM corrc"
+ORACLES["top_features"] = w(*MOMENTUM_CTES, MOM, ENC, CORR, CORR_CLEAN) + f"""
+SELECT feature, {r6('correlation', 'correlation')}, 'top' AS "end" FROM (
+  SELECT * FROM corrc WHERE correlation IS NOT NULL ORDER BY correlation DESC, feature LIMIT 10) t
+UNION ALL
+SELECT feature, {r6('correlation', 'correlation')}, 'bottom' AS "end" FROM (
+  SELECT * FROM corrc WHERE correlation IS NOT NULL ORDER BY correlation ASC, feature LIMIT 10) b"""
+ORACLES["category_by_target"] = w(*MOMENTUM_CTES, MOM) + \
+    "SELECT toss_decision, team1_won, count(*) AS n FROM mom GROUP BY toss_decision, team1_won"
+BOX = ["team1_h2h_winrate", "team1_form", "team1_venue_win_rate"]
+ORACLES["box_stats"] = w(*MOMENTUM_CTES, MOM, "lv AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, team1_won, CAST({c} AS DOUBLE) AS value FROM mom WHERE {c} IS NOT NULL" for c in BOX) + ")",
+    """qs AS (SELECT feature, team1_won, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM lv GROUP BY feature, team1_won)""") + f"""SELECT q.feature, q.team1_won,
+  {r6('q.q1', 'q1')}, {r6('q.median', 'median')}, {r6('q.q3', 'q3')}, {r6('q.q3 - q.q1', 'iqr')},
+  {r6('min(CASE WHEN l.value >= q.q1 - 1.5 * (q.q3 - q.q1) THEN l.value END)', 'whisker_low')},
+  {r6('max(CASE WHEN l.value <= q.q3 + 1.5 * (q.q3 - q.q1) THEN l.value END)', 'whisker_high')},
+  count(*) FILTER (WHERE l.value < q.q1 - 1.5 * (q.q3 - q.q1) OR l.value > q.q3 + 1.5 * (q.q3 - q.q1)) AS outliers,
+  count(*) AS n
+FROM lv l JOIN qs q ON q.feature = l.feature AND q.team1_won = l.team1_won
+GROUP BY q.feature, q.team1_won, q.q1, q.median, q.q3"""
+ORACLES["median_impute"] = w(*BASE_P, FC, lt_cte("fclt", "fc"), BOWLING, TMS, SIDE_STATS) + \
+    f"SELECT id, side, {r6('coalesce(economy_rate, (SELECT median(economy_rate) FROM st))', 'economy_rate')} FROM st"
+ORACLES["class_balance"] = w(*FORM_CTES, FORM) + \
+    f"SELECT team1_won, count(*) AS n, {r6('count(*) / sum(count(*)) OVER ()', 'share')} FROM form GROUP BY team1_won"
+
+TS_FEATURES = CATS + SCALE + ["toss_winner_is_team1", "team1_bat_first", "team1_toss_bat_first", "team2_toss_bat_first"]
+TS = """ts AS (SELECT id, """ + ", ".join(
+    enc(c, "form") if c in CATS else
+    (f"coalesce({c}, (SELECT median({c}) FROM form)) AS {c}" if "economy" in c else c)
+    for c in TS_FEATURES) + ", team1_won, winning_score, losing_score FROM form)"
+TS_DOUBLES = set(SCALE)
+ORACLES["training_set"] = w(*FORM_CTES, FORM, TS) + "SELECT id, " + ", ".join(
+    r6(c, c) if c in TS_DOUBLES else c for c in TS_FEATURES) + ", team1_won, winning_score, losing_score FROM ts"
+
+
+def hash_expr(seed: int, key: str = "id") -> str:
+    return f"CAST(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+TEST_CUT = int(0.2 * (1 << 32))
+STRAT = f"""strat AS (SELECT *, CASE WHEN rn <= round(nc * 0.2) THEN 'test' ELSE 'train' END AS split FROM (
+  SELECT *, row_number() OVER (PARTITION BY team1_won ORDER BY h, id) AS rn,
+         count(*) OVER (PARTITION BY team1_won) AS nc
+  FROM (SELECT *, {hash_expr(42)} AS h FROM ts) a) b)"""
+ORACLES["split_stratified"] = w(*FORM_CTES, FORM, TS, STRAT) + "SELECT id, team1_won, split FROM strat"
+ORACLES["split_random"] = w(*FORM_CTES, FORM, TS) + \
+    f"SELECT id, CASE WHEN {hash_expr(42)} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split FROM ts"
+ORACLES["class_weights"] = w(*FORM_CTES, FORM, TS, STRAT) + f"""SELECT team1_won, n,
+  {r6('sum(n) OVER () / (count(*) OVER () * n)', 'balanced_weight')},
+  {r6('CASE WHEN sum(CASE WHEN team1_won = 1 THEN n ELSE 0 END) OVER () > 0 THEN (sum(n) OVER () - sum(CASE WHEN team1_won = 1 THEN n ELSE 0 END) OVER ()) / sum(CASE WHEN team1_won = 1 THEN n ELSE 0 END) OVER () ELSE 1.0 END', 'scale_pos_weight')}
+FROM (SELECT team1_won, count(*) AS n FROM strat WHERE split = 'train' GROUP BY team1_won) g"""
+ORACLES["impute_scale"] = w(*FORM_CTES, FORM) + "SELECT id, " + ", ".join(
+    r6(f"(coalesce({c}, avg({c}) OVER ()) - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () > 0 "
+       f"THEN stddev_pop({c}) OVER () ELSE 1 END", c) for c in SCALE) + " FROM form"
+BASE_TEST = ("bt AS (SELECT team1_won, CASE WHEN team1_win_rate_last_5 >= team2_win_rate_last_5 THEN 1 ELSE 0 END "
+             "AS prediction FROM strat WHERE split = 'test')")
+ORACLES["classification_metrics"] = w(*FORM_CTES, FORM, TS, STRAT, BASE_TEST) + f"""SELECT count(*) AS n,
+  {r6('count(*) FILTER (WHERE team1_won = prediction) / count(*)', 'accuracy')},
+  {r6('coalesce(count(*) FILTER (WHERE team1_won = 1 AND prediction = 1) / nullif(count(*) FILTER (WHERE prediction = 1), 0), 0)', 'precision')},
+  {r6('coalesce(count(*) FILTER (WHERE team1_won = 1 AND prediction = 1) / nullif(count(*) FILTER (WHERE team1_won = 1), 0), 0)', 'recall')},
+  {r6('coalesce(2 * p * r / nullif(p + r, 0), 0)', 'f1')}
+FROM bt, (SELECT coalesce(count(*) FILTER (WHERE team1_won = 1 AND prediction = 1) / nullif(count(*) FILTER (WHERE prediction = 1), 0), 0) AS p,
+                 coalesce(count(*) FILTER (WHERE team1_won = 1 AND prediction = 1) / nullif(count(*) FILTER (WHERE team1_won = 1), 0), 0) AS r FROM bt) pr
+GROUP BY p, r"""
+ORACLES["classification_report"] = w(*FORM_CTES, FORM, TS, STRAT, BASE_TEST, """per AS (
+  SELECT cls, coalesce(tp / nullif(pred, 0), 0) AS precision, coalesce(tp / nullif(support, 0), 0) AS recall, support
+  FROM (SELECT c.cls,
+          (SELECT count(*) FROM bt WHERE CAST(team1_won AS VARCHAR) = c.cls) AS support,
+          (SELECT count(*) FROM bt WHERE CAST(prediction AS VARCHAR) = c.cls) AS pred,
+          (SELECT count(*) FROM bt WHERE CAST(team1_won AS VARCHAR) = c.cls AND team1_won = prediction) AS tp
+        FROM (SELECT CAST(team1_won AS VARCHAR) AS cls FROM bt UNION SELECT CAST(prediction AS VARCHAR) FROM bt) c) z)""",
+    "perf AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM per)") + f"""
+SELECT cls, {r6('precision', 'precision')}, {r6('recall', 'recall')}, CAST(support AS BIGINT) AS support, {r6('f1', 'f1')} FROM perf
+UNION ALL
+SELECT 'macro avg', {r6('avg(precision)', 'precision')}, {r6('avg(recall)', 'recall')}, CAST(sum(support) AS BIGINT), {r6('avg(f1)', 'f1')} FROM perf
+UNION ALL
+SELECT 'weighted avg', {r6('sum(precision * support) / sum(support)', 'precision')}, {r6('sum(recall * support) / sum(support)', 'recall')},
+  CAST(sum(support) AS BIGINT), {r6('sum(f1 * support) / sum(support)', 'f1')} FROM perf"""
+ORACLES["regression_metrics"] = w(*FORM_CTES, FORM, TS) + f"""SELECT count(*) AS n, {r6('avg(abs(e))', 'mae')},
+  {r6('avg(e * e)', 'mse')}, {r6('sqrt(avg(e * e))', 'rmse')}
+FROM (SELECT greatest(coalesce(team1_avg_runs_scored_last_5, 0.0), coalesce(team2_avg_runs_scored_last_5, 0.0))
+             - winning_score AS e FROM ts WHERE {hash_expr(123)} < {TEST_CUT}) z"""
+
+REQ_DOUBLES = [f"{s}_{k}" for s in ("team1", "team2") for k in
+               ["win_rate_last_5", "avg_margin_last_5", "avg_runs_scored_last_5", "avg_wickets_taken_last_5",
+                "avg_economy_rate_last_5"]]
+RANGES = {"win_rate_last_5": (0.0, 1.0), "avg_margin_last_5": (None, None), "avg_runs_scored_last_5": (0.0, None),
+          "avg_wickets_taken_last_5": (0.0, 10.0), "avg_economy_rate_last_5": (0.0, None)}
+
+
+def _violations() -> str:
+    parts = []
+    for c in CATS:
+        parts.append(f"CASE WHEN {c} IS NULL OR trim({c}) = '' THEN '{c}_missing' END")
+        parts.append(f"CASE WHEN length({c}) > 100 THEN '{c}_too_long' END")
+    parts.append("CASE WHEN toss_decision NOT IN ('bat', 'field') THEN 'toss_decision_invalid' END")
+    for s in ("team1", "team2"):
+        for k, (lo, hi) in RANGES.items():
+            if lo is not None:
+                parts.append(f"CASE WHEN {s}_{k} < {lo} THEN '{s}_{k}_below_min' END")
+            if hi is not None:
+                parts.append(f"CASE WHEN {s}_{k} > {hi} THEN '{s}_{k}_above_max' END")
+    return "concat_ws(',', " + ", ".join(parts) + ")"
+
+
+ORACLES["validate_requests"] = w(*FORM_CTES, FORM) + f"""SELECT id, violations,
+  CASE WHEN violations = '' THEN 1 ELSE 0 END AS is_valid FROM (SELECT id, {_violations()} AS violations FROM form) z"""
+RS = f"rs AS (SELECT *, CASE WHEN {hash_expr(42)} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split FROM form)"
+ORACLES["unseen_labels"] = w(*FORM_CTES, FORM, RS,
+    "vocab AS (" + " UNION ".join(f"SELECT '{c}' AS col, {c} AS value FROM rs WHERE split = 'train' AND {c} IS NOT NULL"
+                                  for c in CATS) + ")",
+    "req AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS col, {c} AS value FROM rs WHERE split = 'test'"
+                                    for c in CATS) + ")") + """SELECT id, col AS "column", value FROM req
+WHERE NOT EXISTS (SELECT 1 FROM vocab v WHERE v.col = req.col AND v.value = req.value)"""
+ORACLES["conform_schema"] = w(*FORM_CTES, FORM) + "SELECT id, " + ", ".join(CATS) + ", " + ", ".join(
+    r6(c, c) for c in REQ_DOUBLES) + \
+    ", 0 AS toss_winner_is_team1, 0 AS team1_bat_first, 0 AS team1_toss_bat_first, 0 AS team2_toss_bat_first FROM form"
+ORACLES["table_profile"] = w(*BASE_P, CLEANED, FC) + """SELECT 'contests' AS "table", count(*) AS "rows", 11 AS "columns" FROM contests
+UNION ALL SELECT 'plays', count(*), 13 FROM plays
+UNION ALL SELECT 'cleaned', count(*), 11 FROM cleaned
+UNION ALL SELECT 'form_contests', count(*), 11 FROM fc"""
+
+
+def _markup_sql(col: str) -> str:
+    rules = [(r"\n\n", "</p><p>"), (r"\n", "<br>"), (r"\*\*(.*?)\*\*", r"<strong>\1</strong>"),
+             (r"# (.*?)(?:\n|\z)", r'<h4 class="font-bold mt-4 mb-2">\1</h4>'),
+             (r"## (.*?)(?:\n|\z)", r'<h5 class="font-bold mt-3 mb-2">\1</h5>')]
+    e = col
+    for pat, rep in rules:
+        e = f"regexp_replace({e}, '{pat}', '{rep}', 'g')"
+    return f"'<p>' || {e} || '</p>'"
+
+
+ORACLES["markup_to_html"] = f"SELECT doc_id, {_markup_sql('text')} AS html FROM documents"
+
+PM = f"pm AS ({PLAYER_MATCH})"
+ROLL = "ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING"
+BR = f"""br AS (SELECT pm.match_id, pm.batter, pm.runs_scored, pm.balls_faced, c.date,
+    pm.runs_scored / pm.balls_faced * 100 AS strike_rate,
+    avg(pm.runs_scored) OVER w AS rolling_avg_runs,
+    avg(pm.runs_scored / pm.balls_faced * 100) OVER w AS rolling_strike_rate,
+    avg(pm.balls_faced) OVER w AS rolling_balls_faced
+  FROM pm JOIN cleaned c ON c.id = pm.match_id
+  WINDOW w AS (PARTITION BY pm.batter ORDER BY c.date, pm.match_id {ROLL}))"""
+ORACLES["batter_rolling"] = w(*BASE_P, CLEANED, PM, BR) + "SELECT match_id, batter, date, " + ", ".join(
+    r6(c, c) for c in ["rolling_avg_runs", "rolling_strike_rate", "rolling_balls_faced"]) + " FROM br"
+ORACLES["bowler_rolling"] = w(*BASE_P, CLEANED, f"""bm AS (
+  SELECT p.match_id, p.bowler, c.date, CAST(sum(p.is_wicket) AS BIGINT) AS wickets_taken,
+    CAST(sum(p.total_runs) AS BIGINT) AS runs_conceded,
+    count(*) - count(*) FILTER (WHERE p.wide_runs > 0 OR p.noball_runs > 0) AS legal_balls,
+    count(*) / 6.0 AS overs_bowled
+  FROM plays p JOIN cleaned c ON c.id = p.match_id WHERE p.bowler IS NOT NULL GROUP BY p.match_id, p.bowler, c.date)""",
+    f"""bm2 AS (SELECT *, CASE WHEN legal_balls <> 0 THEN runs_conceded * 6.0 / legal_balls END AS economy_rate FROM bm)""") + \
+    f"""SELECT match_id, bowler, date,
+  {r6(f'avg(wickets_taken) OVER w', 'rolling_avg_wickets')}, {r6('avg(economy_rate) OVER w', 'rolling_economy')},
+  {r6('avg(runs_conceded) OVER w', 'rolling_runs_conceded')}, {r6('avg(overs_bowled) OVER w', 'rolling_overs_bowled')}
+FROM bm2 WINDOW w AS (PARTITION BY bowler ORDER BY date, match_id {ROLL})"""
+CAREER = """career AS (SELECT batter, CAST(sum(batsman_runs) AS BIGINT) AS total_runs, count(match_id) AS balls_faced_career,
+  count(*) FILTER (WHERE batsman_runs = 4) AS fours, count(*) FILTER (WHERE batsman_runs = 6) AS sixes,
+  sum(batsman_runs) / count(match_id) * 100 AS strike_rate_career FROM plays WHERE batter IS NOT NULL GROUP BY batter)"""
+PTS_ENC = [c for c in MOM_ENC_COLS if c not in ("id", "date")]
+ORACLES["player_training_set"] = w(*MOMENTUM_CTES, MOM, ENC, PLAYS, PM, BR, CAREER) + "SELECT br.match_id, br.batter, " + \
+    "br.runs_scored, br.balls_faced, br.date, " + ", ".join(
+        r6(f"br.{c}", c) for c in ["strike_rate", "rolling_avg_runs", "rolling_strike_rate", "rolling_balls_faced"]) + ", " + \
+    ", ".join(r6(f"e.{c}", c) if c in MOM_DOUBLES else f"e.{c}" for c in PTS_ENC) + \
+    ", k.total_runs, k.balls_faced_career, k.fours, k.sixes, " + r6("k.strike_rate_career", "strike_rate_career") + """
+FROM br LEFT JOIN enc e ON e.id = br.match_id LEFT JOIN career k ON k.batter = br.batter"""

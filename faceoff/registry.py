@@ -306,3 +306,195 @@ def q_contest_momentum(spark, sf_dir):
 @query("contest_form")
 def q_contest_form(spark, sf_dir):
     return rounded(form_plan.contest_form(contests(spark, sf_dir), plays(spark, sf_dir)))
+
+
+# --- exploration -------------------------------------------------------------------
+
+from faceoff.ml import metrics as ml_metrics  # noqa: E402
+from faceoff.ml import prep  # noqa: E402
+from faceoff.operators import explore  # noqa: E402
+from faceoff.sources import conform  # noqa: E402
+
+BOX_FEATURES = ["team1_h2h_winrate", "team1_form", "team1_venue_win_rate"]
+SCALE_FEATURES = [f"team{s}_{m}" for s in (1, 2) for m in form_plan.FORM_METRICS]
+
+
+def form_table(spark, sf_dir):
+    return form_plan.contest_form(contests(spark, sf_dir), plays(spark, sf_dir))
+
+
+def momentum_table(spark, sf_dir):
+    return momentum.contest_momentum(contests(spark, sf_dir))
+
+
+def encoded_momentum(spark, sf_dir):
+    return prep.label_encode(momentum_table(spark, sf_dir))
+
+
+def train_table(spark, sf_dir):
+    return prep.training_set(form_table(spark, sf_dir))
+
+
+@query("class_balance")
+def q_class_balance(spark, sf_dir):
+    return rounded(explore.class_balance(form_table(spark, sf_dir), "team1_won"))
+
+
+@query("target_correlation")
+def q_target_correlation(spark, sf_dir):
+    return rounded(explore.target_correlation(encoded_momentum(spark, sf_dir), "team1_won"))
+
+
+@query("top_features")
+def q_top_features(spark, sf_dir):
+    corr = explore.target_correlation(encoded_momentum(spark, sf_dir), "team1_won")
+    return rounded(explore.top_correlated(corr, 10))
+
+
+@query("category_by_target")
+def q_category_by_target(spark, sf_dir):
+    return explore.category_by_target(momentum_table(spark, sf_dir), "toss_decision", "team1_won")
+
+
+@query("box_stats")
+def q_box_stats(spark, sf_dir):
+    return rounded(explore.box_stats(momentum_table(spark, sf_dir), BOX_FEATURES, "team1_won"))
+
+
+@query("median_impute")
+def q_median_impute(spark, sf_dir):
+    st = form_plan.side_stats(form_contests(spark, sf_dir), plays(spark, sf_dir))
+    return rounded(explore.median_impute(st, ["economy_rate"]).select("id", "side", "economy_rate"))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    s = prep.split_stratified(train_table(spark, sf_dir), "team1_won")
+    return rounded(explore.class_weights(s.filter(F.col("split") == "train"), "team1_won"))
+
+
+# --- training data -----------------------------------------------------------------------
+
+@query("label_encode")
+def q_label_encode(spark, sf_dir):
+    return rounded(encoded_momentum(spark, sf_dir))
+
+
+@query("training_set")
+def q_training_set(spark, sf_dir):
+    return rounded(train_table(spark, sf_dir))
+
+
+@query("split_stratified")
+def q_split_stratified(spark, sf_dir):
+    return prep.split_stratified(train_table(spark, sf_dir), "team1_won").select("id", "team1_won", "split")
+
+
+@query("split_random")
+def q_split_random(spark, sf_dir):
+    return prep.split_random(train_table(spark, sf_dir)).select("id", "split")
+
+
+@query("impute_scale")
+def q_impute_scale(spark, sf_dir):
+    return rounded(prep.impute_scale(form_table(spark, sf_dir), SCALE_FEATURES).select("id", *SCALE_FEATURES))
+
+
+def baseline_winner(df: DataFrame) -> DataFrame:
+    """Recent-form baseline: team1 predicted to win when its last-5 win rate is at least team2's."""
+    return df.withColumn("prediction", (F.col("team1_win_rate_last_5") >= F.col("team2_win_rate_last_5")).cast("int"))
+
+
+def _baseline_test(spark, sf_dir):
+    s = prep.split_stratified(train_table(spark, sf_dir), "team1_won")
+    return baseline_winner(s.filter(F.col("split") == "test"))
+
+
+@query("classification_metrics")
+def q_classification_metrics(spark, sf_dir):
+    """Accuracy/precision/recall/F1 of the recent-form baseline on the stratified test split."""
+    return rounded(ml_metrics.classification_metrics(_baseline_test(spark, sf_dir), "team1_won", "prediction"))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    """Per-class report of the recent-form baseline on the stratified test split."""
+    return rounded(ml_metrics.classification_report(_baseline_test(spark, sf_dir), "team1_won", "prediction"))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    """MAE/MSE/RMSE of a baseline winning-score estimate (larger recent run average) on a random test split."""
+    s = prep.split_random(train_table(spark, sf_dir), seed=123).filter(F.col("split") == "test")
+    s = s.withColumn("prediction", F.greatest(F.coalesce("team1_avg_runs_scored_last_5", F.lit(0.0)),
+                                              F.coalesce("team2_avg_runs_scored_last_5", F.lit(0.0))))
+    return rounded(ml_metrics.regression_metrics(s, "winning_score", "prediction"))
+
+
+# --- requests -----------------------------------------------------------------------------
+
+def request_rows(spark, sf_dir):
+    return tables.testdata_requests(spark, sf_dir, form_table(spark, sf_dir))
+
+
+@query("validate_requests")
+def q_validate_requests(spark, sf_dir):
+    from faceoff.ml import score
+    return score.validate_requests(request_rows(spark, sf_dir)).select("id", "violations", "is_valid")
+
+
+@query("unseen_labels")
+def q_unseen_labels(spark, sf_dir):
+    from faceoff.ml import score
+    s = prep.split_random(form_table(spark, sf_dir))
+    vocab = score.vocabulary(s.filter(F.col("split") == "train"))
+    req = tables.testdata_requests(spark, sf_dir, s.filter(F.col("split") == "test"))
+    return score.unseen_labels(req, vocab)
+
+
+@query("conform_schema")
+def q_conform_schema(spark, sf_dir):
+    df, _missing = conform.conform_schema(request_rows(spark, sf_dir), ["id"] + schemas.FORM_FEATURES, default=0)
+    return rounded(df)
+
+
+@query("table_profile")
+def q_table_profile(spark, sf_dir):
+    return conform.table_profile({"contests": contests(spark, sf_dir), "plays": plays(spark, sf_dir),
+                                  "cleaned": cleaned(spark, sf_dir), "form_contests": form_contests(spark, sf_dir)})
+
+
+@query("markup_to_html")
+def q_markup_to_html(spark, sf_dir):
+    from faceoff.functions import text
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return d.select("doc_id", text.markup_to_html(F.col("text")).alias("html"))
+
+
+# --- players -------------------------------------------------------------------------------
+
+@query("batter_rolling")
+def q_batter_rolling(spark, sf_dir):
+    from faceoff.plans import players
+    c = cleaned(spark, sf_dir)
+    pm = aggregates.player_match(c, plays(spark, sf_dir))
+    r = players.batter_rolling(pm, c)
+    return rounded(r.select("match_id", "batter", "date", "rolling_avg_runs", "rolling_strike_rate", "rolling_balls_faced"))
+
+
+@query("bowler_rolling")
+def q_bowler_rolling(spark, sf_dir):
+    from faceoff.plans import players
+    r = players.bowler_rolling(plays(spark, sf_dir), cleaned(spark, sf_dir))
+    return rounded(r.select("match_id", "bowler", "date", "rolling_avg_wickets", "rolling_economy",
+                            "rolling_runs_conceded", "rolling_overs_bowled"))
+
+
+@query("player_training_set")
+def q_player_training_set(spark, sf_dir):
+    from faceoff.plans import players
+    c = cleaned(spark, sf_dir)
+    p = plays(spark, sf_dir)
+    pm = aggregates.player_match(c, p)
+    feats = prep.label_encode(momentum.contest_momentum(c, cleaned=True))
+    return rounded(players.player_training_set(pm, feats, aggregates.batter_career(p), c))

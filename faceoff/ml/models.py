@@ -71,6 +71,7 @@ def cv_classifier(ts: DataFrame, estimator, spec: dict, folds: int, metric: str,
                   seed: int = 42, parallelism: int = 4):
     """Grid search with k-fold CV on the train split; returns (cv model, test predictions)."""
     feats = prep.feature_columns(ts)
+    ts = prep.impute_features(ts, feats)
     train, test = _split_train_test(ts, "team1_won", True, seed)
     train = prep.assemble(train, feats, "team1_won")
     test = prep.assemble(test, feats, "team1_won")
@@ -83,7 +84,7 @@ def cv_classifier(ts: DataFrame, estimator, spec: dict, folds: int, metric: str,
     else:
         ev = MulticlassClassificationEvaluator(metricName="accuracy")
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=_grid(estimator, spec), evaluator=ev,
-                        foldCol="fold", parallelism=parallelism, seed=seed)
+                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
     model = cv.fit(train)
     return model, model.transform(test), feats
 
@@ -98,6 +99,7 @@ def gbt_classifier(seed: int = 42) -> GBTClassifier:
 
 def fit_regressor(ts: DataFrame, target: str, estimator, seed: int):
     feats = prep.feature_columns(ts)
+    ts = prep.impute_features(ts, feats)
     train, test = _split_train_test(ts, target, False, seed)
     train = prep.assemble(train, feats, target)
     test = prep.assemble(test, feats, target)

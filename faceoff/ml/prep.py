@@ -63,6 +63,13 @@ def feature_columns(df: DataFrame, extra_drop=()) -> list[str]:
     return [c for c in df.columns if c not in drop]
 
 
+def impute_features(df: DataFrame, features: list[str]) -> DataFrame:
+    """Exact global median for NULL/NaN features before fitting (Spark trees reject NaN)."""
+    from faceoff.operators import clean
+    d = clean.finite_only(df, [c for c in features if df.schema[c].dataType.simpleString() in ("double", "float")])
+    return explore.median_impute(d, features)
+
+
 def assemble(df: DataFrame, features: list[str], label: str | None = None, out: str = "features") -> DataFrame:
     """Feature vector (+ ``label`` as double) for Spark ML."""
     v = VectorAssembler(inputCols=features, outputCol=out, handleInvalid="keep").transform(df)

@@ -498,3 +498,140 @@ def q_player_training_set(spark, sf_dir):
     pm = aggregates.player_match(c, p)
     feats = prep.label_encode(momentum.contest_momentum(c, cleaned=True))
     return rounded(players.player_training_set(pm, feats, aggregates.batter_career(p), c))
+
+
+# --- models, scoring, sinks, streaming (rows-only checks) -------------------------------------
+
+from faceoff.ml import jobs  # noqa: E402
+from faceoff.ml import score as ml_score  # noqa: E402
+
+# Boosting rounds of the registered model queries (the original jobs use 100;
+# pass iters=100 to the job functions for that).
+QUICK_BOOST_ITERS = 20
+
+
+@query("cv_rf_f1")
+def q_cv_rf_f1(spark, sf_dir):
+    return jobs.cv_rf_f1(spark, train_table(spark, sf_dir))
+
+
+@query("cv_rf_accuracy")
+def q_cv_rf_accuracy(spark, sf_dir):
+    return jobs.cv_rf_accuracy(spark, train_table(spark, sf_dir))
+
+
+@query("cv_gbt_accuracy")
+def q_cv_gbt_accuracy(spark, sf_dir):
+    return jobs.cv_gbt_accuracy(spark, train_table(spark, sf_dir))
+
+
+@query("gbt_classifier")
+def q_gbt_classifier(spark, sf_dir):
+    return jobs.gbt_classifier(spark, train_table(spark, sf_dir), iters=QUICK_BOOST_ITERS)
+
+
+@query("rf_score_regressors")
+def q_rf_score_regressors(spark, sf_dir):
+    return jobs.score_regressors(spark, train_table(spark, sf_dir), "rf")
+
+
+@query("gbt_score_regressors")
+def q_gbt_score_regressors(spark, sf_dir):
+    return jobs.score_regressors(spark, train_table(spark, sf_dir), "gbt", iters=QUICK_BOOST_ITERS)
+
+
+@query("rf_baseline")
+def q_rf_baseline(spark, sf_dir):
+    return jobs.rf_baseline(spark, train_table(spark, sf_dir))
+
+
+@query("feature_importances")
+def q_feature_importances(spark, sf_dir):
+    return jobs.feature_importances(spark, train_table(spark, sf_dir))
+
+
+def _player_inputs(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    p = plays(spark, sf_dir)
+    feats = prep.label_encode(momentum.contest_momentum(c, cleaned=True))
+    return c, p, feats
+
+
+@query("batter_model")
+def q_batter_model(spark, sf_dir):
+    from faceoff.plans import players
+    c, p, feats = _player_inputs(spark, sf_dir)
+    data = players.player_training_set(aggregates.player_match(c, p), feats, aggregates.batter_career(p), c)
+    return jobs.player_model(spark, data, "runs_scored", players.BATTER_FEATURES, "balls_faced", name="batter_rf")
+
+
+@query("bowler_model")
+def q_bowler_model(spark, sf_dir):
+    from faceoff.plans import players
+    c, p, feats = _player_inputs(spark, sf_dir)
+    data = players.bowler_training_set(p, feats, aggregates.bowler_career(p), c)
+    return jobs.player_model(spark, data, "wickets_taken", players.BOWLER_FEATURES, "overs_bowled", name="bowler_rf")
+
+
+def _scored(spark, sf_dir):
+    model, vocab, req = jobs.scoring_setup(form_table(spark, sf_dir))
+    return ml_score.score_batch(model, req, vocab), req
+
+
+@query("score_batch")
+def q_score_batch(spark, sf_dir):
+    s, _ = _scored(spark, sf_dir)
+    return s
+
+
+@query("prediction_view")
+def q_prediction_view(spark, sf_dir):
+    s, req = _scored(spark, sf_dir)
+    return ml_score.prediction_view(s, req)
+
+
+@query("predictions_json")
+def q_predictions_json(spark, sf_dir):
+    s, _ = _scored(spark, sf_dir)
+    return ml_score.predictions_json(s)
+
+
+@query("explanation_prompt")
+def q_explanation_prompt(spark, sf_dir):
+    from faceoff.functions import text
+    s, req = _scored(spark, sf_dir)
+    v = ml_score.prediction_view(s, req).select("id", "predicted_winner", "win_probability")
+    j = req.join(v, "id")
+    return j.select("id", text.explanation_prompt(F.col("predicted_winner"), F.col("win_probability")).alias("prompt"))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    return jobs.model_roundtrip(spark, form_table(spark, sf_dir))
+
+
+@query("score_stream")
+def q_score_stream(spark, sf_dir):
+    return jobs.score_stream(spark, form_table(spark, sf_dir))
+
+
+@query("scan_requests")
+def q_scan_requests(spark, sf_dir):
+    from faceoff.sources import sinks
+    path = sinks.output_root(spark) + "/requests"
+    jobs.write_requests_json(request_rows(spark, sf_dir), path)
+    return rounded(tables.read_requests(spark, path))
+
+
+@query("write_tables")
+def q_write_tables(spark, sf_dir):
+    from faceoff.sources import sinks
+    c = cleaned(spark, sf_dir)
+    p = plays(spark, sf_dir)
+    mom = momentum.contest_momentum(c, cleaned=True)
+    out = {"team_stats": aggregates.team_career(c), "venue_stats": aggregates.venue_stats(c, p),
+           "batter_stats": aggregates.batter_career(p), "bowler_stats": aggregates.bowler_career(p),
+           "player_match_stats": aggregates.player_match(c, p), "contest_momentum": mom,
+           "contest_momentum_encoded": prep.label_encode(mom)}
+    paths = sinks.write_tables(spark, out)
+    return conform.table_profile({k: spark.read.parquet(v) for k, v in paths.items()})

@@ -23,8 +23,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         b = b.master(master)
-    if driver_memory:
-        b = b.config("spark.driver.memory", driver_memory)
+    if driver_memory or (master or "").startswith("local"):
+        # local mode: the driver JVM is the whole cluster
+        b = b.config("spark.driver.memory", driver_memory or "16g")
     for k, v in SQL_DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:

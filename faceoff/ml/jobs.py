@@ -139,7 +139,7 @@ def feature_importances(spark: SparkSession, ts: DataFrame, trees: int = 100, de
 def player_model(spark: SparkSession, data: DataFrame, target: str, features: list[str], exposure: str,
                  grid=models.QUICK_PLAYER, folds: int = 3, name: str = "player") -> DataFrame:
     """Forest regressor grid with k-fold CV on MSE; test MAE and CV RMSE (= sqrt best MSE)."""
-    d = clean.finite_only(data)
+    d = prep.materialize(clean.finite_only(data))
     d = clean.require_columns(d, [target] + features)
     d = clean.positive_exposure(d, (exposure,))
     d = d.withColumn("_key", F.concat_ws(":", "match_id", *[c for c in ("batter", "bowler") if c in d.columns]))
@@ -164,7 +164,7 @@ def player_model(spark: SparkSession, data: DataFrame, target: str, features: li
 
 def scoring_setup(form: DataFrame, seed: int = 42):
     """Train split -> fitted pipeline + vocabulary; test split -> request rows."""
-    s = prep.split_random(form, seed=seed)
+    s = prep.materialize(prep.split_random(form, seed=seed))
     train = s.filter(F.col("split") == "train")
     test = s.filter(F.col("split") == "test")
     model = score.fit_scoring_model(train)

@@ -50,7 +50,7 @@ def training_set(form: DataFrame) -> DataFrame:
     dropped, the five categorical columns label-encoded. Keeps ``id``, the
     features in training order, ``team1_won`` and both score labels.
     """
-    f = clean.finite_only(form)
+    f = materialize(clean.finite_only(form))  # read three times: medians, vocabularies, output
     f = explore.median_impute(f, ["team1_avg_economy_rate_last_5", "team2_avg_economy_rate_last_5"])
     f = clean.require_columns(f, ["winning_score", "losing_score"])
     f = label_encode(f, columns=[c for c in schemas.CATEGORICAL if c in f.columns])
@@ -63,10 +63,23 @@ def feature_columns(df: DataFrame, extra_drop=()) -> list[str]:
     return [c for c in df.columns if c not in drop]
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write ``df`` once to the shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Model fitting reads its input many times (indexers, imputers, each CV fold);
+    without this every pass would recompute the whole feature plan. A checkpoint
+    (not a local one) survives the loss of the executors that computed it.
+    """
+    from faceoff.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def impute_features(df: DataFrame, features: list[str]) -> DataFrame:
     """Exact global median for NULL/NaN features before fitting (Spark trees reject NaN)."""
     from faceoff.operators import clean
-    d = clean.finite_only(df, [c for c in features if df.schema[c].dataType.simpleString() in ("double", "float")])
+    d = materialize(clean.finite_only(
+        df, [c for c in features if df.schema[c].dataType.simpleString() in ("double", "float")]))
     return explore.median_impute(d, features)
 
 

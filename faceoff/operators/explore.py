@@ -9,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Window over an already grouped per-class table (k rows, k = number of labels).
-_ALL_CLASSES = Window.partitionBy()
+
+
+def _all_classes():
+    """Window over an already grouped per-class table (k rows, k = number of labels)."""
+    return Window.partitionBy()
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
@@ -27,7 +30,7 @@ def string_columns(df: DataFrame, exclude=()) -> list[str]:
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Count and share of each label value (NULL labels excluded)."""
     g = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return g.select(label, "n", (F.col("n") / F.sum("n").over(_ALL_CLASSES)).alias("share"))
+    return g.select(label, "n", (F.col("n") / F.sum("n").over(_all_classes())).alias("share"))
 
 
 def _stack(pairs: list[tuple[str, object]], key: str, value: str) -> str:
@@ -105,9 +108,9 @@ def median_impute(df: DataFrame, columns: list[str], exact: bool = True) -> Data
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Per class: count, 'balanced' weight n/(k·n_c), and scale_pos_weight = neg/pos (1 if no pos)."""
     g = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    j = g.select(label, "n", F.sum("n").over(_ALL_CLASSES).alias("_t"),
-                 F.count(F.lit(1)).over(_ALL_CLASSES).alias("_k"),
-                 F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).over(_ALL_CLASSES).alias("_pos"))
+    j = g.select(label, "n", F.sum("n").over(_all_classes()).alias("_t"),
+                 F.count(F.lit(1)).over(_all_classes()).alias("_k"),
+                 F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).over(_all_classes()).alias("_pos"))
     return j.select(
         label, "n",
         (F.col("_t") / (F.col("_k") * F.col("n"))).alias("balanced_weight"),

@@ -85,9 +85,10 @@ def prior_rows(df: DataFrame, entity, time: str, tie: str, n: int, fields: dict[
     """
     ent = _keys(entity)
     rec = F.struct(F.col(time).alias("t"), F.col(tie).alias("k"), *[e.alias(f) for f, e in fields.items()])
-    base = df.withColumn("_rec", rec)
+    # one windowed base for both branches: its shuffle is planned once and reused
     rd = F.row_number().over(Window.partitionBy(*ent, time).orderBy(F.col(tie).desc()))
-    tails = (base.select(*ent, time, "_rec", rd.alias("_rd")).filter(F.col("_rd") <= n)
+    base = df.withColumn("_rec", rec).withColumn("_rd", rd)
+    tails = (base.filter(F.col("_rd") <= n)
              .groupBy(*ent, time).agg(F.collect_list("_rec").alias("_tail")))
     wd = _day_window(ent, time).rowsBetween(-n, -1)
     prev = tails.select(*ent, time, F.collect_list("_tail").over(wd).alias("_pp"))
@@ -99,7 +100,7 @@ def prior_rows(df: DataFrame, entity, time: str, tie: str, n: int, fields: dict[
     else:
         wi = _in_day_window(ent, time, tie).rowsBetween(-n, -1)
         res = res.withColumn(out, last_n(F.concat(pd_, F.collect_list("_rec").over(wi)), n))
-    return res.drop("_rec", "_pd")
+    return res.drop("_rec", "_pd", "_rd")
 
 
 def lag_value(df: DataFrame, entity, time: str, tie: str, value: str, out: str) -> DataFrame:

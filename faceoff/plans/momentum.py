@@ -31,12 +31,18 @@ def clean_contests(contests: DataFrame) -> DataFrame:
 
 
 def side_features(cleaned: DataFrame) -> DataFrame:
-    """Per-side momentum columns, pivoted back to one row per contest id."""
+    """Per-side momentum columns, pivoted back to one row per contest id.
+
+    The three history features are independent branches over the same long
+    table (chaining them would make each branch re-read the previous one twice);
+    their outputs are stacked and pivoted in one grouped aggregate on ``id``.
+    """
     lt = sides.side_long(cleaned).select("id", "side", "team", "date", "venue", "won", "outcome")
-    lt = form.last_n_wins(lt)
-    lt = form.streak_before(lt, non_win="reset")
-    lt = form.venue_team_rate(lt)
-    return sides.to_sides(lt, ["last5_wins", "form", "streak", "venue_win_rate"])
+    a = form.last_n_wins(lt).select("id", "side", "last5_wins", "form")
+    b = form.streak_before(lt, non_win="reset").select("id", "side", "streak")
+    c = form.venue_team_rate(lt).select("id", "side", "venue_win_rate")
+    u = a.unionByName(b, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
+    return sides.to_sides(u, ["last5_wins", "form", "streak", "venue_win_rate"])
 
 
 def contest_momentum(contests: DataFrame, cleaned: bool = False) -> DataFrame:

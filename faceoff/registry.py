@@ -40,11 +40,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def contests(spark, sf_dir):
-    return tables.testdata_contests(spark, sf_dir)
+    return tables.standin_tables(spark, sf_dir)[0]
 
 
 def plays(spark, sf_dir):
-    return tables.testdata_plays(spark, sf_dir)
+    return tables.standin_tables(spark, sf_dir)[1]
 
 
 def cleaned(spark, sf_dir):
@@ -328,7 +328,8 @@ def momentum_table(spark, sf_dir):
 
 
 def encoded_momentum(spark, sf_dir):
-    return prep.label_encode(momentum_table(spark, sf_dir))
+    # label encoding reads its input twice (vocabulary fit, transform)
+    return prep.label_encode(prep.materialize(momentum_table(spark, sf_dir)))
 
 
 def train_table(spark, sf_dir):
@@ -358,7 +359,7 @@ def q_category_by_target(spark, sf_dir):
 
 @query("box_stats")
 def q_box_stats(spark, sf_dir):
-    return rounded(explore.box_stats(momentum_table(spark, sf_dir), BOX_FEATURES, "team1_won"))
+    return rounded(explore.box_stats(prep.materialize(momentum_table(spark, sf_dir)), BOX_FEATURES, "team1_won"))
 
 
 @query("median_impute")

@@ -124,3 +124,25 @@ def testdata_requests(spark: SparkSession, sf_dir: str, form: DataFrame) -> Data
     cols = [F.col(c).cast("string").alias(c) for c in schemas.REQUEST_STRINGS]
     cols += [F.col(c).cast("double").alias(c) for c in schemas.REQUEST_DOUBLES]
     return form.select(F.col("id"), *cols)
+
+
+# One written copy of the stand-in tables per (session, sf_dir): queries then scan
+# parquet like they would scan the real contest/play tables.
+_STANDIN: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def standin_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(contests, plays) stand-ins, written once under the shared checkpoint folder."""
+    import uuid
+
+    from faceoff.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STANDIN:
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/faceoff-standin-{uuid.uuid4().hex[:12]}"
+        c = testdata_contests(spark, sf_dir)
+        c.write.mode("overwrite").parquet(f"{base}/contests")
+        cw = spark.read.parquet(f"{base}/contests")
+        testdata_plays(spark, sf_dir, cw).write.mode("overwrite").parquet(f"{base}/plays")
+        _STANDIN[key] = (f"{base}/contests", f"{base}/plays")
+    cp, pp = _STANDIN[key]
+    return spark.read.parquet(cp), spark.read.parquet(pp)

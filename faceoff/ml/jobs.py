@@ -85,6 +85,7 @@ def _train_test(ts: DataFrame, label: str, stratified: bool, seed: int):
     feats = prep.feature_columns(ts)
     ts = prep.impute_features(ts, feats)
     s = prep.split_stratified(ts, label, seed=seed) if stratified else prep.split_random(ts, seed=seed)
+    s = prep.materialize(s)
     train = prep.assemble(s.filter(F.col("split") == "train"), feats, label)
     test = prep.assemble(s.filter(F.col("split") == "test"), feats, label)
     return train, test, feats
@@ -108,13 +109,14 @@ def _regression_rows(name: str, params: str, pred: DataFrame) -> list[tuple]:
     return [(name, params, "test_mae", m["mae"]), (name, params, "test_rmse", m["rmse"])]
 
 
-def score_regressors(spark: SparkSession, ts: DataFrame, kind: str = "rf", iters: int = 100) -> DataFrame:
+def score_regressors(spark: SparkSession, ts: DataFrame, kind: str = "rf", iters: int = 100,
+                     trees: int = 100) -> DataFrame:
     """Winning and losing score regressors (seeds 123 / 456), test MAE."""
     rows = []
     for target, seed in (("winning_score", 123), ("losing_score", 456)):
         train, test, _ = _train_test(ts, target, False, seed)
         if kind == "rf":
-            est, params = models.rf_regressor(seed), "numTrees=100, maxDepth=15, minInstancesPerNode=3"
+            est, params = models.rf_regressor(seed, trees=trees), f"numTrees={trees}, maxDepth=15, minInstancesPerNode=3"
         else:
             est, params = models.gbt_regressor(seed, iters=iters), f"maxIter={iters}, maxDepth=7, stepSize=0.1"
         pred = est.fit(train).transform(test)
@@ -146,8 +148,9 @@ def player_model(spark: SparkSession, data: DataFrame, target: str, features: li
     s = prep.split_random(d, key="_key", seed=42)
     train = prep.assemble(s.filter(F.col("split") == "train"), features, target)
     test = prep.assemble(s.filter(F.col("split") == "test"), features, target)
-    train = models.with_folds(train, folds, key="_key")
-    est = models.RandomForestRegressor(featuresCol="features", labelCol="label", seed=42, maxBins=64)
+    train = prep.materialize(models.with_folds(train, folds, key="_key"))
+    est = models.RandomForestRegressor(featuresCol="features", labelCol="label", seed=42, maxBins=64,
+                                       **models.TREE_SPEED)
     cv = CrossValidator(estimator=est, estimatorParamMaps=models._grid(est, grid),
                         evaluator=RegressionEvaluator(metricName="mse"), foldCol="fold", numFolds=folds,
                         parallelism=4, seed=42)

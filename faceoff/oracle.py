@@ -601,3 +601,18 @@ ORACLES["player_training_set"] = w(*MOMENTUM_CTES, MOM, ENC, PLAYS, PM, BR, CARE
     ", ".join(r6(f"e.{c}", c) if c in MOM_DOUBLES else f"e.{c}" for c in PTS_ENC) + \
     ", k.total_runs, k.balls_faced_career, k.fours, k.sixes, " + r6("k.strike_rate_career", "strike_rate_career") + """
 FROM br LEFT JOIN enc e ON e.id = br.match_id LEFT JOIN career k ON k.batter = br.batter"""
+ORACLES["safe_ratio"] = w(*BASE_P, BOWLING) + f"""SELECT match_id, team,
+  {r6('CASE WHEN legal_balls_bowled <> 0 THEN runs_conceded * 6.0 / legal_balls_bowled END', 'ratio')},
+  {r6('CASE WHEN legal_balls_bowled <> 0 THEN runs_conceded * 6.0 / legal_balls_bowled ELSE 0.0 END', 'ratio_or_zero')}
+FROM bw"""
+ORACLES["scan_requests"] = w(*FORM_CTES, FORM) + "SELECT " + ", ".join(CATS) + ", " + ", ".join(
+    r6(c, c) for c in REQ_DOUBLES) + " FROM form"
+ORACLES["write_tables"] = w(*BASE_P, CLEANED) + """SELECT 'team_stats' AS "table", count(*) AS "rows", 7 AS "columns"
+  FROM (SELECT DISTINCT team FROM (SELECT team1 AS team FROM cleaned UNION ALL SELECT team2 FROM cleaned) t) x
+UNION ALL SELECT 'venue_stats', count(DISTINCT venue), 5 FROM cleaned
+UNION ALL SELECT 'batter_stats', count(DISTINCT batter), 6 FROM plays
+UNION ALL SELECT 'bowler_stats', count(DISTINCT bowler), 5 FROM plays
+UNION ALL SELECT 'player_match_stats', count(*), 4 FROM (SELECT DISTINCT match_id, batter FROM plays
+  WHERE batter IS NOT NULL AND match_id IN (SELECT id FROM cleaned)) pm
+UNION ALL SELECT 'contest_momentum', count(*), 24 FROM cleaned
+UNION ALL SELECT 'contest_momentum_encoded', count(*), 24 FROM cleaned"""

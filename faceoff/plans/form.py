@@ -50,7 +50,14 @@ def side_stats(contests: DataFrame, plays: DataFrame) -> DataFrame:
 
 
 def recent_features(contests: DataFrame, plays: DataFrame, n: int = schemas.LAST_N) -> DataFrame:
-    lt = form.recent_form(side_stats(contests, plays), n)
+    """Last-n metrics per side, pivoted to one row per contest.
+
+    The last-n scan reads the side table twice (day tails, join back); the side
+    table is written once to the checkpoint folder so the play aggregation
+    behind it is not run twice.
+    """
+    from faceoff.ml.prep import materialize
+    lt = form.recent_form(materialize(side_stats(contests, plays)), n)
     return sides.to_sides(lt, FORM_METRICS)
 
 

@@ -509,6 +509,8 @@ from faceoff.ml import score as ml_score  # noqa: E402
 # Boosting rounds of the registered model queries (the original jobs use 100;
 # pass iters=100 to the job functions for that).
 QUICK_BOOST_ITERS = 20
+# Trees of the registered single-fit forests (the original jobs use 100; pass trees=100).
+QUICK_FOREST_TREES = 30
 
 
 @query("cv_rf_f1")
@@ -533,7 +535,7 @@ def q_gbt_classifier(spark, sf_dir):
 
 @query("rf_score_regressors")
 def q_rf_score_regressors(spark, sf_dir):
-    return jobs.score_regressors(spark, train_table(spark, sf_dir), "rf")
+    return jobs.score_regressors(spark, train_table(spark, sf_dir), "rf", trees=QUICK_FOREST_TREES)
 
 
 @query("gbt_score_regressors")
@@ -543,12 +545,12 @@ def q_gbt_score_regressors(spark, sf_dir):
 
 @query("rf_baseline")
 def q_rf_baseline(spark, sf_dir):
-    return jobs.rf_baseline(spark, train_table(spark, sf_dir))
+    return jobs.rf_baseline(spark, train_table(spark, sf_dir), trees=QUICK_FOREST_TREES)
 
 
 @query("feature_importances")
 def q_feature_importances(spark, sf_dir):
-    return jobs.feature_importances(spark, train_table(spark, sf_dir))
+    return jobs.feature_importances(spark, train_table(spark, sf_dir), trees=QUICK_FOREST_TREES)
 
 
 def _player_inputs(spark, sf_dir):
@@ -636,3 +638,13 @@ def q_write_tables(spark, sf_dir):
            "contest_momentum_encoded": prep.label_encode(mom)}
     paths = sinks.write_tables(spark, out)
     return conform.table_profile({k: spark.read.parquet(v) for k, v in paths.items()})
+
+
+@query("safe_ratio")
+def q_safe_ratio(spark, sf_dir):
+    """Zero-guarded ratios: economy per (contest, bowling team) as NULL and as 0 when there are no legal balls."""
+    from faceoff.functions.columns import safe_ratio
+    b = aggregates.bowling_match(plays(spark, sf_dir))
+    return rounded(b.select("match_id", "team",
+                            safe_ratio(F.col("runs_conceded") * 6, "legal_balls_bowled").alias("ratio"),
+                            safe_ratio(F.col("runs_conceded") * 6, "legal_balls_bowled", 0).alias("ratio_or_zero")))

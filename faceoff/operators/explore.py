@@ -80,7 +80,8 @@ def box_stats(df: DataFrame, features: list[str], target: str, exact: bool = Tru
     q = q.select("feature", target, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = long.join(q, ["feature", target])
+    # q has one row per (feature, class): a bounded table; a shuffle join on so few keys would skew
+    j = long.join(F.broadcast(q), ["feature", target])
     lo, hi = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
     v = F.col("value")
     return j.groupBy("feature", target, "q1", "median", "q3", "iqr").agg(

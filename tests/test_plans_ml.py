@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
-BAD_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+BAD_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "SinglePartition")
 
 
 def plan(df):
@@ -17,7 +17,9 @@ def plan(df):
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data missing")
 def test_core_plans_have_no_cross_join_or_python(spark):
     from faceoff.registry import QUERIES
-    for key in ["contest_momentum", "contest_form", "recent_form", "batter_rolling", "h2h_prior", "team_career"]:
+    for key in ["contest_momentum", "contest_form", "recent_form", "batter_rolling", "bowler_rolling", "h2h_prior",
+                "team_career", "venue_stats", "player_streak", "streak_current", "team_last_n_runs",
+                "player_recent_form", "split_stratified", "team_match_stats"]:
         p = plan(QUERIES[key](spark, SF))
         for bad in BAD_NODES:
             assert bad not in p, (key, bad)

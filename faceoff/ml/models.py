@@ -10,8 +10,7 @@ use the ``QUICK_*`` grids of the same shape unless asked otherwise.
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
-                                   RegressionEvaluator)
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -55,11 +54,6 @@ def _grid(est, spec: dict) -> list:
     return b.build()
 
 
-def _cv_table(spark: SparkSession, model, metric: str) -> DataFrame:
-    rows = []
-    for pm, m in zip(model.getEstimatorParamMaps(), model.avgMetrics):
-        rows.append((", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name)), metric, float(m)))
-    return spark.createDataFrame(rows, "params string, metric string, cv_value double")
 
 
 def _split_train_test(ts: DataFrame, label: str, stratified: bool, seed: int):
@@ -103,14 +97,6 @@ def gbt_classifier(seed: int = 42) -> GBTClassifier:
     return GBTClassifier(featuresCol="features", labelCol="label", seed=seed, maxBins=64, **TREE_SPEED)
 
 
-def fit_regressor(ts: DataFrame, target: str, estimator, seed: int):
-    feats = prep.feature_columns(ts)
-    ts = prep.impute_features(ts, feats)
-    train, test = _split_train_test(ts, target, False, seed)
-    train = prep.assemble(train, feats, target)
-    test = prep.assemble(test, feats, target)
-    model = estimator.fit(train)
-    return model, model.transform(test)
 
 
 def importances(spark: SparkSession, model, features: list[str], k: int = 15) -> DataFrame:
@@ -120,12 +106,8 @@ def importances(spark: SparkSession, model, features: list[str], k: int = 15) ->
     return df.orderBy(F.col("importance").desc(), "feature").limit(k)
 
 
-def binary_auc(pred: DataFrame) -> float:
-    return BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(pred)
 
 
-def regression_eval(pred: DataFrame, metric: str = "mae") -> float:
-    return RegressionEvaluator(metricName=metric).evaluate(pred)
 
 
 def rf_regressor(seed: int, depth: int = 15, trees: int = 100, min_inst: int = 3) -> RandomForestRegressor:

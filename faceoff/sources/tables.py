@@ -16,7 +16,8 @@ from faceoff import schemas
 
 def _read(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
     if fmt == "csv":
-        return spark.read.schema(schema).option("header", True).option("nullValue", "NA").csv(path)
+        df = spark.read.schema(schema).option("header", True).option("nullValue", "NA").csv(path)
+        return normalise_na_strings(df)
     return spark.read.parquet(path)
 
 

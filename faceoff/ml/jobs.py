@@ -188,10 +188,10 @@ def model_roundtrip(spark: SparkSession, form: DataFrame) -> DataFrame:
 
 
 def write_requests_json(req: DataFrame, path: str, rows_per_file: int = 10000) -> str:
-    """Request batch as files holding one JSON array each (the request sample format).
+    """Request batch as JSON arrays of objects (the request sample format), one array per line.
 
-    Rows are spread over ``ceil(n / rows_per_file)`` files by a hash of the id,
-    so each file's array is bounded.
+    Rows are spread over ``ceil(n / rows_per_file)`` arrays by a hash of the id,
+    so each array is bounded; read back with ``read_requests`` (line mode).
     """
     n = req.count()
     files = max(1, math.ceil(n / rows_per_file))

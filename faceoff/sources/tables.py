@@ -47,9 +47,14 @@ def read_plays(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return df.withColumnsRenamed(ren) if ren else df
 
 
-def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """JSON request batch (an array of objects per file, or JSON lines)."""
-    return spark.read.schema(schemas.REQUEST).option("multiLine", True).json(path)
+def read_requests(spark: SparkSession, path: str, multiline: bool = False, schema=None) -> DataFrame:
+    """JSON request batch.
+
+    Default: one JSON value per line, where a line holding an array yields one
+    row per element (the writer's format, and JSON lines). ``multiline=True``
+    reads each file as one document, e.g. a pretty-printed array.
+    """
+    return spark.read.schema(schema or schemas.REQUEST).option("multiLine", multiline).json(path)
 
 
 # ---------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, tokencount
+from faceoff.llm import bpe, chat, tokencount
 from faceoff.llm.common import table
 
 
@@ -17,6 +17,20 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back from the output."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit("\\### Assistant: </turn> ok").alias("text"))
+    out = chat.read_back(chat.format_chats(chat.events_of_turns(turns.unionByName(marks))))
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit("\n"), m["text"], F.lit("\n"))), "")
+    learned = F.array_join("loss_texts", "")
+    return out.select("conv_id", F.size("messages").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                      F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
+                      F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Byte-pair ids of every document and the text they decode to, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,6 +46,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None,
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op3_bpe": op3_bpe,
     "op8_token_counts": op8_token_counts,
 }

@@ -46,3 +46,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that an operator is about to add (names compare as Spark compares them)."""
     lower = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in lower])
+
+
+def settled(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the named columns computed once: the optimizer moves a later filter on
+    them no further down than here, instead of computing them anew inside the filter."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    one = df.select(*rest, F.explode(F.array(F.struct(*[F.col(f"`{n}`") for n in names]))).alias("_settled"))
+    return one.select(*rest, *[F.col(f"_settled.`{n}`").alias(n) for n in names])

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faceoff.llm.common import WORD_SEPARATORS, text_of, without
+from faceoff.llm.common import WORD_SEPARATORS, settled, text_of, without
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -31,8 +31,8 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 WINDOW = 5
 #: Documents are kept from this probability of being good on.
 KEEP_FROM = 0.5
-#: Prior of the estimation: so many documents' worth of belief that a vote is right this often.
-PRIOR_DOCS, PRIOR_RIGHT, PRIOR_GOOD = 20.0, 0.8, 0.8
+#: Prior share of good documents, and how much the priors weigh against the documents.
+PRIOR_GOOD, PRIOR_SHARE = 0.9, 0.1
 ROUNDS, CLOSE = 200, 1e-9
 
 
@@ -58,6 +58,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         lines.cast("long").alias("n_lines"),
         F.length(F.regexp_replace(t, "[^0-9]+", "")).cast("long").alias("n_digits"),
         F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
+        F.regexp_count(t, F.lit(f"[{SYMBOLS}]+")).cast("long").alias("n_symbol_words"),
         F.size(F.filter("_lines", lambda x: F.btrim(x, F.lit(BLANKS)).rlike("[.!?]$"))).cast("long").alias("n_ended_lines"))
     d = (d.withColumn("word_chars", F.when(n == 0, 0).otherwise(F.length(F.regexp_replace(t, WORD_SEPARATORS, ""))).cast("long"))
          .withColumn("n_symbols", F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("long"))
@@ -65,7 +66,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
          .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
          .withColumn("_more", more))
     failed = (n < 10) | (F.lit(100) * F.col("n_repeat_words") > F.lit(20) * n)
-    return d.withColumn("base_failed", failed).drop("_t", "_w", "_lines", "_h", "_s", "_pos")
+    d = d.withColumn("base_failed", failed).drop("_t", "_w", "_lines", "_h", "_s", "_pos")
+    return settled(d, *BASE, "_more")
 
 
 def _repeated_positions() -> Column:
@@ -76,48 +78,54 @@ def _repeated_positions() -> Column:
     return F.sort_array(F.transform(same, lambda x: x["i"]))
 
 
-def _vote(share: Column, good_to: float, bad_from: float) -> Column:
-    """1 (good) up to ``good_to``, -1 (bad) from ``bad_from`` on, 0 (abstains) between."""
-    return F.when(share <= good_to, 1).when(share >= bad_from, -1).otherwise(0)
+#: How likely a vote is before any document is seen, for a good and for a bad document.
+TELLING = {-1: (0.01, 0.8), 0: (0.04, 0.1), 1: (0.95, 0.1)}
+SUSPICION = {-1: (0.02, 0.3), 0: (0.98, 0.7)}
+SUPPORT = {0: (0.2, 0.5), 1: (0.8, 0.5)}
 
 
-def rules() -> dict[str, Column]:
-    """The rules: name and vote, over the columns of ``measure``."""
+def rules() -> dict[str, tuple[Column, dict[int, tuple[float, float]]]]:
+    """The rules, over the columns of ``measure``: name, vote (1 good, -1 bad, 0 abstains)
+    and the prior of its reliability."""
     n = F.greatest(F.col("n_words"), F.lit(1))
     chars = F.greatest(F.col("word_chars"), F.lit(1))
     lines = F.greatest(F.col("_more.n_lines"), F.lit(1))
-    mean = F.col("word_chars") / n
+    mean, symbols = F.col("word_chars") / n, F.col("n_symbols") / n
+    bad_if = lambda condition: F.when(condition, -1).otherwise(0)
     return {
-        "length": F.when(n >= 50, 1).when(n < 20, -1).otherwise(0),
-        "symbols": _vote(F.col("n_symbols") / n, 0.02, 0.1),
-        "repeated_lines": _vote(F.col("n_dup_lines") / lines, 0.05, 0.3),
-        "repeated_words": _vote(F.col("n_repeat_words") / n, 0.05, 0.15),
-        "word_length": F.when(mean.between(3.0, 9.0), 1).when((mean < 2.5) | (mean > 12.0), -1).otherwise(0),
-        "digits": _vote(F.col("_more.n_digits") / chars, 0.05, 0.2),
-        "capitals": _vote(F.col("_more.n_upper") / chars, 0.15, 0.4),
-        "line_ends": _vote(1 - F.col("_more.n_ended_lines") / lines, 0.3, 0.8),
+        "symbols": (F.when(symbols <= 0.02, 1).when(symbols >= 0.1, -1).otherwise(0), TELLING),
+        "symbol_share": (F.when(F.col("n_symbols") / chars <= 0.005, 1).when(F.col("n_symbols") / chars >= 0.02, -1).otherwise(0), TELLING),
+        "symbol_words": (F.when(F.col("_more.n_symbol_words") / n <= 0.02, 1)
+                         .when(F.col("_more.n_symbol_words") / n >= 0.05, -1).otherwise(0), TELLING),
+        "length": (F.when(n >= 50, 1).otherwise(0), SUPPORT),
+        "repeated_lines": (bad_if(F.col("n_dup_lines") / lines >= 0.5), SUSPICION),
+        "repeated_words": (bad_if(F.col("n_repeat_words") / n >= 0.15), SUSPICION),
+        "word_length": (bad_if((mean < 2.5) | (mean > 12.0)), SUSPICION),
+        "digits": (bad_if(F.col("_more.n_digits") / chars >= 0.3), SUSPICION),
+        "capitals": (bad_if(F.col("_more.n_upper") / chars >= 0.5), SUSPICION),
+        "line_ends": (bad_if((F.col("_more.n_lines") >= 3) & (F.col("_more.n_ended_lines") / lines <= 0.2)), SUSPICION),
     }
 
 
 def votes(measured: DataFrame) -> DataFrame:
     """``measured`` with ``votes`` (array of -1, 0, 1 in the order of ``rules``)."""
-    return without(measured, "votes").withColumn("votes", F.array(*[v.cast("int") for v in rules().values()]))
+    return settled(without(measured, "votes").withColumn("votes", F.array(*[v.cast("int") for v, _ in rules().values()])), "votes")
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[dict[int, tuple[float, float]]]]:
-    """Expectation-maximisation over (votes, number of documents).
+def estimate(patterns: list[tuple[tuple[int, ...], int]], start: list[dict[int, tuple[float, float]]]) -> tuple[float, list[dict[int, tuple[float, float]]]]:
+    """Expectation-maximisation over (votes, number of documents) from the priors ``start``.
 
     Returns the share of good documents and for every rule and vote how likely the vote
-    is (for a good document, for a bad one). Votes of 0 count too: rules may abstain
-    more often for one kind. The prior keeps "good" the side that good votes speak for.
+    is (for a good document, for a bad one). Abstaining counts too: rules may abstain
+    more often for one kind. The priors weigh as much as ``PRIOR_SHARE`` of the documents
+    (and one document), at every size; they keep "good" the side that good votes speak for.
     """
-    right, wrong = PRIOR_RIGHT * 0.8, (1 - PRIOR_RIGHT) * 0.8
-    start = {1: (right, wrong), -1: (wrong, right), 0: (0.2, 0.2)}
-    prior, table = PRIOR_GOOD, [dict(start) for _ in range(n_rules)]
+    prior, table = PRIOR_GOOD, [dict(t) for t in start]
     total, before = sum(c for _, c in patterns), None
+    belief = 1 + PRIOR_SHARE * total
     for _ in range(ROUNDS if total else 0):
         good_docs, loss = 0.0, 0.0
-        sums = [{v: [PRIOR_DOCS * start[v][0], PRIOR_DOCS * start[v][1]] for v in start} for _ in range(n_rules)]
+        sums = [{v: [belief * PRIOR_GOOD * g, belief * (1 - PRIOR_GOOD) * b] for v, (g, b) in t.items()} for t in start]
         for pattern, c in patterns:
             g = math.log(prior) + sum(math.log(table[r][v][0]) for r, v in enumerate(pattern))
             b = math.log(1 - prior) + sum(math.log(table[r][v][1]) for r, v in enumerate(pattern))
@@ -128,8 +136,8 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple
             for r, v in enumerate(pattern):
                 sums[r][v][0] += c * p
                 sums[r][v][1] += c * (1 - p)
-        prior = (good_docs + PRIOR_DOCS * PRIOR_GOOD) / (total + PRIOR_DOCS)
-        for r in range(n_rules):
+        prior = (good_docs + belief * PRIOR_GOOD) / (total + belief)
+        for r in range(len(start)):
             size = [sum(x[k] for x in sums[r].values()) for k in (0, 1)]
             table[r] = {v: (x[0] / size[0], x[1] / size[1]) for v, x in sums[r].items()}
         if before is not None and abs(before - loss) <= CLOSE * total:
@@ -140,8 +148,8 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple
 
 def learn(voted: DataFrame) -> tuple[float, list[dict[int, tuple[float, float]]]]:
     """The estimate from all documents that pass the base rules."""
-    counts = voted.where(~F.col("base_failed")).groupBy("votes").count().collect()  # at most 3 ** len(rules()) rows
-    return estimate(sorted((tuple(r["votes"]), r["count"]) for r in counts), len(rules()))
+    counts = voted.groupBy("votes", "base_failed").count().collect()  # at most 2 * 3 ** len(rules()) rows
+    return estimate(sorted((tuple(r["votes"]), r["count"]) for r in counts if not r["base_failed"]), [prior for _, prior in rules().values()])
 
 
 def probability(prior: float, table: list[dict[int, tuple[float, float]]]) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, chat, tokencount
+from faceoff.llm import bpe, chat, quality, tokencount
 from faceoff.llm.common import table
 
 
@@ -38,6 +38,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and the verdict of weak supervision."""
+    out = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *quality.BASE, "quality", "kept")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None, limit: int = 1024) -> DataFrame:
     """Exact token count of every document by the prefix table, and whether it is over the limit."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,5 +54,6 @@ def op8_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None,
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op3_bpe": op3_bpe,
+    "op5_quality_rules": op5_quality_rules,
     "op8_token_counts": op8_token_counts,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, chat, quality, tokencount
+from faceoff.llm import bpe, chat, fingerprint, quality, tokencount
 from faceoff.llm.common import table
 
 
@@ -38,6 +38,21 @@ def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of an edited form of it, and their likeness."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    d = fingerprint.fingerprint(docs, "text", "print")
+    d = fingerprint.with_next(d, "text", "print")
+    d = d.withColumn("edited", fingerprint.edited(F.col("text"), F.col("next_text"))).drop("next_text")
+    d = d.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                 "print", "next_print", "edited")
+    d = fingerprint.fingerprint(d, "edited", "edited_print")
+    a, b, c = F.col("print"), F.col("edited_print"), F.col("next_print")
+    return d.select("doc_id", "n_chars", "edited_sha256", fingerprint.as_string(a).alias("fingerprint"),
+                    fingerprint.as_string(b).alias("edited_fingerprint"),
+                    fingerprint.likeness(a, b).alias("near_edited"), fingerprint.likeness(a, c).alias("near_next"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and the verdict of weak supervision."""
     out = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -54,6 +69,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None,
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op3_bpe": op3_bpe,
+    "op4_fingerprints": op4_fingerprints,
     "op5_quality_rules": op5_quality_rules,
     "op8_token_counts": op8_token_counts,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, chat, fingerprint, quality, tokencount
+from faceoff.llm import bpe, chat, fingerprint, mixing, quality, tokencount
 from faceoff.llm.common import table
 
 
@@ -66,10 +66,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None,
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of all sources takes."""
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op3_bpe": op3_bpe,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality_rules": op5_quality_rules,
     "op8_token_counts": op8_token_counts,
+    "op10_mixing": op10_mixing,
 }

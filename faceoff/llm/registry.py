@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, chat, fingerprint, mixing, quality, tokencount
+from faceoff.llm import bpe, chat, fingerprint, mixing, quality, tokencount, toxicity
 from faceoff.llm.common import table
 
 
@@ -59,6 +59,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality.BASE, "quality", "kept")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the confirmed labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None, limit: int = 1024) -> DataFrame:
     """Exact token count of every document by the prefix table, and whether it is over the limit."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality_rules": op5_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op10_mixing": op10_mixing,
 }

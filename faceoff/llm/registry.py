@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, chat, fingerprint, mixing, quality, tokencount, toxicity
+from faceoff.llm import bpe, chat, fingerprint, mixing, neardup, passages, quality, tokencount, toxicity
 from faceoff.llm.common import table
 
 
@@ -31,6 +31,12 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str, size: int = 4) -> DataFrame:
+    """Components of near-duplicate documents: sets of 4-word shingles that are 80 % alike."""
+    out = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Byte-pair ids of every document and the text they decode to, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,6 +65,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality.BASE, "quality", "kept")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeated strings of 400 bytes cover, and what is left."""
+    out = passages.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the confirmed labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,9 +95,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op10_mixing": op10_mixing,

@@ -1,17 +1,65 @@
 """The corpus pipeline: quality rules, near-duplicate removal, removal of repeated
-passages, mixing of the sources to target weights, and byte-pair encoding."""
+passages, mixing of the sources to target weights, and byte-pair encoding.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; each works on all rows that
+its predecessor kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from faceoff.llm import bpe, mixing, neardup, passages, quality
+from faceoff.llm.common import written
+from faceoff.llm.registry import vocabulary
+
+#: Words in a shingle of the near-duplicate stage.
+SHINGLE = 5
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the votes reject go."""
+    return quality.judge(docs).where("kept").select(*docs.columns)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates one document stays."""
+    return neardup.keep_one(docs, SHINGLE).select(*docs.columns)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that start more than once are cut out of the texts; all documents stay."""
+    out = passages.remove_repeats(docs).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them."""
+    return mixing.mixed(docs).select(*docs.columns)
+
+
+def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with ids (packed), n_tokens and the text that the ids decode to."""
+    return bpe.encode_decode(docs, vocabulary("word_bpe_49k.json"))
+
 
-STAGES: list = []
-#: Near-duplicate groups, learned rules and byte-pair merges are not expressed in SQL.
+STAGES = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", minhash_near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("mixing sources to target weights", source_mixing),
+    ("BPE encoding and decoding", bpe_coding),
+]
+#: Learnt rules, components, balanced samples and merges are not expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what each returns is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = written(spark, docs, f"stage-{number}")
     return docs

@@ -38,7 +38,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -183,15 +183,15 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def _sets(size: int):
-    """Task of the first reading: id and text -> id, n_shingles, node, signature."""
+    """Task of the first reading: texts -> id, mark, n_shingles, node, signature."""
     def run(batches):
         for batch in batches:
             sets = shingle_sets(batch.column("text").to_pylist(), size)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column("doc_id"), batch.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-            ], ["doc_id", "n_shingles", "node", "signature"])
+            ], ["doc_id", "mark", "n_shingles", "node", "signature"])
     return run
 
 
@@ -206,11 +206,13 @@ def _full_sets(size: int):
 
 
 def near_duplicates(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, node (digest of its set), component_id and kept."""
+    """One row per document: doc_id, mark (hash of its text), n_shingles, component (the least
+    digest of a set in it, null without words), component_id and kept."""
     spark = docs.sparkSession
     small_arrow_batches(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs, text).alias("text"))
-    read = texts.mapInArrow(_sets(size), "doc_id long, n_shingles long, node binary, signature binary")
+    mark = F.xxhash64(text_of(docs, text)).alias("mark")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs, text).alias("text"), mark)
+    read = texts.mapInArrow(_sets(size), "doc_id long, mark long, n_shingles long, node binary, signature binary")
     read = written(spark, read, "signatures")
     nodes = (read.where("node IS NOT NULL").groupBy("node")
              .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")))
@@ -269,8 +271,27 @@ def near_duplicates(docs: DataFrame, size: int, text: str = "text") -> DataFrame
     links = links.unionByName(verify(written(spark, third, "pairs-3"), "pairs-3"))
     comp = written(spark, label(links), "components")
 
-    d = with_comp(read.select("doc_id", "n_shingles", "node"), "node", "comp", comp)
+    d = with_comp(read.select("doc_id", "mark", "n_shingles", "node"), "node", "comp", comp)
     least = written(spark, d.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")
     d = d.join(least, "comp", "left")
     d = d.withColumn("component_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return d.select("doc_id", "n_shingles", "node", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return d.select("doc_id", "mark", "n_shingles", F.col("comp").alias("component"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the document of the
+    smallest id stays (of equal ids one); documents without words all stay."""
+    spark = docs.sparkSession
+    found = written(spark, near_duplicates(docs, size, text), "components")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    stay = found.where("component IS NOT NULL").groupBy("component").agg(F.min(first).alias("k")).select("k.doc_id", "k.mark")
+    stay = stay.unionByName(found.where("component IS NULL").select("doc_id", "mark").distinct())
+    stay = stay.select(F.struct("doc_id", "mark").alias("_k"))
+    d = docs.withColumn("_mark", F.xxhash64(text_of(docs, text)))
+    d = d.join(stay, F.struct(d["doc_id"].cast("long").alias("doc_id"), F.col("_mark").alias("mark")).eqNullSafe(F.col("_k")), "left_semi")
+    same = found.where("component IS NOT NULL").groupBy("doc_id", "mark").count().where("count > 1")
+    if not same.isEmpty():  # rows that are there more than once
+        blank = ~text_of(d, text).rlike(r"[^\x20\x09-\x0D]")
+        n = F.row_number().over(Window.partitionBy("doc_id", "_mark").orderBy("_mark"))
+        d = d.withColumn("_n", n).where((F.col("_n") == 1) | blank).drop("_n")
+    return d.drop("_mark")

@@ -56,6 +56,7 @@ def test_query_equals_brute_force(spark, tmp_path):
 
 def test_edges(spark):
     df = docs(spark, [(5, "a b c"), (5, "a b c"), (3, "a b c"), (None, "a b c"), (None, "q"), (9, "")]).withColumnRenamed("lang", "node")
+    assert sorted((str(r.doc_id), r.text) for r in neardup.keep_one(df, 5).collect()) == [("3", "a b c"), ("9", ""), ("None", "q")]
     got = neardup.near_duplicates(df, 5).collect()
     assert sorted((str(r.doc_id), r.component_id, r.kept) for r in got if r.n_shingles and r.component_id is not None) == \
         [("3", 3, True), ("5", 3, False), ("5", 3, False), ("None", 3, None)]

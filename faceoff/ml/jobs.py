@@ -125,9 +125,9 @@ def score_regressors(spark: SparkSession, ts: DataFrame, kind: str = "rf", iters
 
 
 def rf_baseline(spark: SparkSession, ts: DataFrame, trees: int = 100) -> DataFrame:
-    """Plain forest with default settings on a random split."""
+    """Plain forest with default settings (depth unlimited, as far as Spark goes) on a random split."""
     train, test, _ = _train_test(ts, "team1_won", False, 42)
-    pred = models.rf_classifier().setNumTrees(trees).fit(train).transform(test)
+    pred = models.rf_classifier().setNumTrees(trees).setMaxDepth(models.MAX_DEPTH_CAP).fit(train).transform(test)
     return _report(spark, _test_rows("rf_baseline", f"numTrees={trees}", pred))
 
 
@@ -166,24 +166,22 @@ def player_model(spark: SparkSession, data: DataFrame, target: str, features: li
 # --- scoring -----------------------------------------------------------------------------
 
 def scoring_setup(form: DataFrame, seed: int = 42):
-    """Train split -> fitted pipeline + vocabulary; test split -> request rows."""
+    """Pipeline fitted on the train split, and every contest as a request."""
     s = prep.materialize(prep.split_random(form, seed=seed))
     train = s.filter(F.col("split") == "train")
-    test = s.filter(F.col("split") == "test")
     model = score.fit_scoring_model(train)
-    vocab = score.vocabulary(train)
-    req = test.select("id", *schemas.REQUEST_STRINGS, *schemas.REQUEST_DOUBLES)
-    return model, vocab, req
+    req = s.select("id", *schemas.REQUEST_STRINGS, *schemas.REQUEST_DOUBLES)
+    return model, req
 
 
 def model_roundtrip(spark: SparkSession, form: DataFrame) -> DataFrame:
     """Save the fitted pipeline (encoders, column order, forest) and load it back; compare scores."""
-    model, vocab, req = scoring_setup(form)
+    model, req = scoring_setup(form)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/faceoff-model-{uuid.uuid4().hex[:12]}"
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    a = score.score_batch(model, req, vocab).select("id", F.col("prediction_probability_team1").alias("p_saved"))
-    b = score.score_batch(loaded, req, vocab).select("id", F.col("prediction_probability_team1").alias("p_loaded"))
+    a = score.score_batch(model, req).select("id", F.col("prediction_probability_team1").alias("p_saved"))
+    b = score.score_batch(loaded, req).select("id", F.col("prediction_probability_team1").alias("p_loaded"))
     return a.join(b, "id").withColumn("same", F.col("p_saved").eqNullSafe(F.col("p_loaded")).cast("int"))
 
 
@@ -196,7 +194,7 @@ def write_requests_json(req: DataFrame, path: str, rows_per_file: int = 10000) -
     n = req.count()
     files = max(1, math.ceil(n / rows_per_file))
     body = F.to_json(F.collect_list(F.struct(*req.columns)))
-    (req.groupBy((F.abs(F.xxhash64("id")) % files).alias("_f")).agg(body.alias("value"))
+    (req.groupBy((F.pmod(F.xxhash64("id"), F.lit(files))).alias("_f")).agg(body.alias("value"))
         .select("value").write.mode("overwrite").text(path))
     return path
 
@@ -204,9 +202,9 @@ def write_requests_json(req: DataFrame, path: str, rows_per_file: int = 10000) -
 def score_stream(spark: SparkSession, form: DataFrame) -> DataFrame:
     """ST1: requests dropped as JSON files are scored by a streaming query (available-now trigger)."""
     from faceoff.streaming.score_stream import start_scoring_stream
-    model, vocab, req = scoring_setup(form)
+    model, req = scoring_setup(form)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/faceoff-stream-{uuid.uuid4().hex[:12]}"
     write_requests_json(req, f"{base}/in")
-    q = start_scoring_stream(spark, f"{base}/in", model, vocab, f"{base}/out", f"{base}/ckpt")
+    q = start_scoring_stream(spark, f"{base}/in", model, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")

@@ -38,9 +38,16 @@ def replace_everywhere(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.replace(mapping, subset=strings) if strings else df
 
 
+def _known(df: DataFrame, columns) -> None:
+    unknown = [c for c in columns if c not in df.columns]
+    if unknown:
+        raise ValueError(f"unknown columns: {', '.join(unknown)}; there are: {', '.join(df.columns)}")
+
+
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Drop rows with a NULL in any of ``columns``."""
-    return df.dropna(subset=[c for c in columns if c in df.columns])
+    """Drop rows with a NULL in any of ``columns``; an unknown column is an error."""
+    _known(df, columns)
+    return df.dropna(subset=list(columns))
 
 
 def positive_exposure(df: DataFrame, columns=("balls_faced", "overs_bowled")) -> DataFrame:
@@ -61,6 +68,7 @@ def fill_defaults(df: DataFrame, values: dict | None = None, patterns: dict[str,
                   categorical: bool = False) -> DataFrame:
     """Fill NULLs by column map, by column-name pattern, and/or strings with 'Unknown'."""
     fill = dict(values or {})
+    _known(df, fill)
     for pat, v in (patterns or {}).items():
         for c in df.columns:
             if pat in c and c not in fill:
@@ -69,5 +77,4 @@ def fill_defaults(df: DataFrame, values: dict | None = None, patterns: dict[str,
         for f in df.schema.fields:
             if f.dataType.simpleString() == "string" and f.name not in fill:
                 fill[f.name] = schemas.UNKNOWN_LABEL
-    fill = {k: v for k, v in fill.items() if k in df.columns}
     return df.fillna(fill) if fill else df

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from faceoff import schemas
 from faceoff.functions.columns import eq_flag, safe_ratio
-from faceoff.operators import sides, timeline
+from faceoff.operators import clean, sides, timeline
 
 
 def _sum_field(arr: Column, field: str, dtype: str = "long") -> Column:
@@ -99,9 +99,9 @@ def player_streak(contests: DataFrame, plays: DataFrame) -> DataFrame:
     The batter's team in a contest is the smallest batting team among the
     batter's plays there (one value per contest, deterministic).
     """
-    bt = (plays.filter(F.col("batter").isNotNull())
+    bt = (clean.canonical_names(plays).filter(F.col("batter").isNotNull())
           .groupBy("match_id", "batter").agg(F.min("batting_team").alias("team")))
-    lt = (bt.join(contests.select("id", "date", "winner"), bt.match_id == contests.id)
+    lt = (bt.join(clean.canonical_names(contests).select("id", "date", "winner"), bt.match_id == contests.id)
           .select("batter", "id", "date", eq_flag(F.col("winner"), F.col("team")).alias("won")))
     return streak_current(lt, entity="batter", non_win="loss")
 

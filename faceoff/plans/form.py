@@ -29,7 +29,7 @@ FORM_COLUMNS = [
 
 
 def clean_form_contests(contests: DataFrame) -> DataFrame:
-    c = clean.replace_everywhere(contests, schemas.TEAM_NAME_MAPPING_FORM)
+    c = clean.canonical_names(contests)
     return clean.require_columns(c, ["winner"])
 
 
@@ -42,7 +42,7 @@ def contest_scores(contests: DataFrame, plays: DataFrame) -> DataFrame:
 def side_stats(contests: DataFrame, plays: DataFrame) -> DataFrame:
     """Long side table ⟕ team-match stats on (contest, team): one row per side."""
     lt = sides.side_long(contests).select("id", "side", "team", "date", "won", "signed_margin")
-    tms = aggregates.team_match_stats(plays).select(
+    tms = aggregates.team_match_stats(clean.canonical_names(plays)).select(
         F.col("match_id").alias("id"), F.col("team").alias("_t"),
         "runs_scored", "wickets_taken", "economy_rate")
     j = lt.join(tms, (lt.id == tms.id) & (lt.team == tms._t), "left").drop(tms.id).drop("_t")
@@ -64,6 +64,7 @@ def recent_features(contests: DataFrame, plays: DataFrame, n: int = schemas.LAST
 def contest_form(contests: DataFrame, plays: DataFrame, cleaned: bool = False,
                  score_mode: str = "reference") -> DataFrame:
     c = contests if cleaned else clean_form_contests(contests)
+    plays = clean.canonical_names(plays)
     scored = contest_scores(c, plays)
     feats = recent_features(c, plays)
     out = scored.join(feats, "id", "left")

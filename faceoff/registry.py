@@ -506,11 +506,9 @@ def q_player_training_set(spark, sf_dir):
 from faceoff.ml import jobs  # noqa: E402
 from faceoff.ml import score as ml_score  # noqa: E402
 
-# Boosting rounds of the registered model queries (the original jobs use 100;
-# pass iters=100 to the job functions for that).
-QUICK_BOOST_ITERS = 20
-# Trees of the registered single-fit forests (the original jobs use 100; pass trees=100).
-QUICK_FOREST_TREES = 30
+# Boosting rounds and trees of the single-fit queries, as in the original jobs.
+BOOST_ITERS = 100
+FOREST_TREES = 100
 
 
 @query("cv_rf_f1")
@@ -530,27 +528,27 @@ def q_cv_gbt_accuracy(spark, sf_dir):
 
 @query("gbt_classifier")
 def q_gbt_classifier(spark, sf_dir):
-    return jobs.gbt_classifier(spark, train_table(spark, sf_dir), iters=QUICK_BOOST_ITERS)
+    return jobs.gbt_classifier(spark, train_table(spark, sf_dir), iters=BOOST_ITERS)
 
 
 @query("rf_score_regressors")
 def q_rf_score_regressors(spark, sf_dir):
-    return jobs.score_regressors(spark, train_table(spark, sf_dir), "rf", trees=QUICK_FOREST_TREES)
+    return jobs.score_regressors(spark, train_table(spark, sf_dir), "rf", trees=FOREST_TREES)
 
 
 @query("gbt_score_regressors")
 def q_gbt_score_regressors(spark, sf_dir):
-    return jobs.score_regressors(spark, train_table(spark, sf_dir), "gbt", iters=QUICK_BOOST_ITERS)
+    return jobs.score_regressors(spark, train_table(spark, sf_dir), "gbt", iters=BOOST_ITERS)
 
 
 @query("rf_baseline")
 def q_rf_baseline(spark, sf_dir):
-    return jobs.rf_baseline(spark, train_table(spark, sf_dir), trees=QUICK_FOREST_TREES)
+    return jobs.rf_baseline(spark, train_table(spark, sf_dir), trees=FOREST_TREES)
 
 
 @query("feature_importances")
 def q_feature_importances(spark, sf_dir):
-    return jobs.feature_importances(spark, train_table(spark, sf_dir), trees=QUICK_FOREST_TREES)
+    return jobs.feature_importances(spark, train_table(spark, sf_dir), trees=FOREST_TREES)
 
 
 def _player_inputs(spark, sf_dir):
@@ -577,8 +575,8 @@ def q_bowler_model(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    model, vocab, req = jobs.scoring_setup(form_table(spark, sf_dir))
-    return ml_score.score_batch(model, req, vocab), req
+    model, req = jobs.scoring_setup(form_table(spark, sf_dir))
+    return ml_score.score_batch(model, req), req
 
 
 @query("score_batch")

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 # Contest table: one row per contest, two sides (team1, team2).
 CONTEST = T.StructType([
     T.StructField("id", T.LongType(), False),
-    T.StructField("season", T.IntegerType(), True),
+    T.StructField("season", T.StringType(), True),
     T.StructField("date", T.DateType(), False),
     T.StructField("team1", T.StringType(), False),
     T.StructField("team2", T.StringType(), False),
@@ -19,19 +19,19 @@ CONTEST = T.StructType([
     T.StructField("result_margin", T.DoubleType(), True),
 ])
 
-# Play table: one row per play (ball). Player keys may be numeric or strings.
+# Play table: one row per play (ball). Players are names; a numeric key is its text.
 PLAY = T.StructType([
     T.StructField("match_id", T.LongType(), False),
     T.StructField("inning", T.IntegerType(), False),
     T.StructField("ball", T.IntegerType(), True),
-    T.StructField("batter", T.LongType(), True),
-    T.StructField("bowler", T.LongType(), True),
+    T.StructField("batter", T.StringType(), True),
+    T.StructField("bowler", T.StringType(), True),
     T.StructField("batting_team", T.StringType(), True),
     T.StructField("bowling_team", T.StringType(), True),
     T.StructField("batsman_runs", T.IntegerType(), True),
     T.StructField("total_runs", T.IntegerType(), True),
     T.StructField("is_wicket", T.IntegerType(), True),
-    T.StructField("player_dismissed", T.LongType(), True),
+    T.StructField("player_dismissed", T.StringType(), True),
     T.StructField("wide_runs", T.IntegerType(), True),
     T.StructField("noball_runs", T.IntegerType(), True),
 ])
@@ -39,22 +39,21 @@ PLAY = T.StructType([
 # Alternative column names used by older play files -> canonical name.
 PLAY_ALIASES = {"batsman": "batter", "runs": "batsman_runs"}
 
+# Columns a file may lack; all others are required.
+CONTEST_OPTIONAL = {"season", "venue", "toss_winner", "toss_decision", "result", "result_margin"}
+PLAY_OPTIONAL = {"ball", "player_dismissed", "wide_runs", "noball_runs"}
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the original project's for equal results)
 # ---------------------------------------------------------------------------
 
-# Team renames applied when contests are cleaned.
+# Team renames applied to every team column of contests and plays.
 TEAM_NAME_MAPPING = {
     "Delhi Daredevils": "Delhi Capitals",
     "Deccan Chargers": "Sunrisers Hyderabad",
     "Rising Pune Supergiants": "Rising Pune Supergiant",
     "Kings XI Punjab": "Punjab Kings",
 }
-# Renames used by the form-feature job (opposite direction for one team).
-TEAM_NAME_MAPPING_FORM = {
-    "Rising Pune Supergiant": "Rising Pune Supergiants",
-    "Delhi Daredevils": "Delhi Capitals",
-}
 
 NO_RESULT = "no result"
 RESULT_BY_WICKETS = "wickets"

@@ -1,7 +1,7 @@
 """Readers for contest, play and request tables.
 
-``read_contests`` / ``read_plays`` read real files (CSV with the ``NA`` null token,
-or Parquet) into the fixed schemas. ``testdata_contests`` / ``testdata_plays`` build
+``read_contests`` / ``read_plays`` read real files (CSV with a header and ``NA`` null
+tokens, or Parquet) into the fixed schemas, by column names. ``testdata_contests`` / ``testdata_plays`` build
 stand-in tables of the same schemas from the provided TPC-H-style parquet files;
 they only reshape rows and do none of the analytics.
 """
@@ -14,37 +14,59 @@ from pyspark.sql import functions as F
 from faceoff import schemas
 
 
-def _read(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
+def _conformed(df: DataFrame, schema, optional: set[str], aliases: dict[str, str] | None = None) -> DataFrame:
+    """The columns of ``schema``, found by name (aliases apply where the own name is absent).
+
+    Absent optional columns are NULL (extras runs of plays: 0); an absent required column
+    is an error; values that don't fit the type are NULL; other columns are left out.
+    """
+    there = {c.strip().lower(): c for c in df.columns}
+    other = {new: old for old, new in (aliases or {}).items()}
+    found = {f.name: there.get(f.name) or there.get(other.get(f.name, "")) for f in schema.fields}
+    missing = [n for n, c in found.items() if c is None and n not in optional]
+    if missing:
+        raise ValueError(f"required columns are missing: {', '.join(missing)}; found: {', '.join(df.columns)}")
+    out = []
+    for f in schema.fields:
+        if found[f.name] is None:
+            value = F.lit(0 if f.name in ("wide_runs", "noball_runs") else None).cast(f.dataType)
+        else:
+            value = F.col(f"`{found[f.name]}`")
+            if f.dataType.simpleString() in ("int", "bigint"):  # also takes "4.0"
+                value = F.coalesce(value.try_cast(f.dataType), value.try_cast("double").try_cast(f.dataType))
+            else:
+                value = value.try_cast(f.dataType)
+        out.append(value.alias(f.name))
+    return df.select(out)
+
+
+def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     if fmt == "csv":
-        df = spark.read.schema(schema).option("header", True).option("nullValue", "NA").csv(path)
-        return normalise_na_strings(df)
+        # without a schema Spark takes the header's names; all values are strings
+        return normalise_na_strings(spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path))
     return spark.read.parquet(path)
 
 
 def normalise_na_strings(df: DataFrame, tokens=("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None")) -> DataFrame:
-    """Turn the usual missing-value tokens of string columns into NULL."""
+    """Trim string columns and turn the usual missing-value tokens into NULL."""
     cols = []
     for f in df.schema.fields:
         if f.dataType.simpleString() == "string":
-            cols.append(F.when(F.col(f.name).isin(list(tokens)), F.lit(None)).otherwise(F.col(f.name)).alias(f.name))
+            cols.append(F.when(F.trim(f"`{f.name}`").isin(list(tokens)), F.lit(None)).otherwise(F.trim(f"`{f.name}`")).alias(f.name))
         else:
-            cols.append(F.col(f.name))
+            cols.append(F.col(f"`{f.name}`"))
     return df.select(cols)
 
 
 def read_contests(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Contest scan. A missing ``season`` is derived from the date year."""
-    df = _read(spark, path, schemas.CONTEST, fmt)
-    if "season" not in df.columns:
-        df = df.withColumn("season", F.year("date"))
-    return df
+    """Contest scan by column names. A missing ``season`` is the year of the date."""
+    df = _conformed(_read(spark, path, fmt), schemas.CONTEST, schemas.CONTEST_OPTIONAL)
+    return df.withColumn("season", F.coalesce("season", F.year("date").cast("string")))
 
 
 def read_plays(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Play scan; old column names are mapped to the canonical ones."""
-    df = _read(spark, path, schemas.PLAY, fmt)
-    ren = {k: v for k, v in schemas.PLAY_ALIASES.items() if k in df.columns and v not in df.columns}
-    return df.withColumnsRenamed(ren) if ren else df
+    """Play scan by column names; old names are mapped to the canonical ones."""
+    return _conformed(_read(spark, path, fmt), schemas.PLAY, schemas.PLAY_OPTIONAL, schemas.PLAY_ALIASES)
 
 
 def read_requests(spark: SparkSession, path: str, multiline: bool = False, schema=None) -> DataFrame:

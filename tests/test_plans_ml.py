@@ -89,16 +89,20 @@ def test_scoring_unseen_invalid_and_roundtrip(spark, tmp_path):
         ", ".join(f"{c} double" for c in schemas.REQUEST_DOUBLES) + ", team1_won int"
     train = spark.createDataFrame(rows, cols)
     model = score.fit_scoring_model(train, trees=5, depth=3)
-    vocab = score.vocabulary(train)
     req = spark.createDataFrame([(100, "V", "A", "B", "A", "bat", *([0.5, 1.0, 150.0, 5.0, 8.0] * 2)),
                                  (101, "Nowhere", "A", "B", "A", "bat", *([0.5, 1.0, 150.0, 5.0, 8.0] * 2)),
                                  (102, "V", "A", "B", "A", "sleep", *([1.5, 1.0, 150.0, 5.0, 8.0] * 2))],
                                 cols.rsplit(", team1_won", 1)[0])
-    out = {r.id: r for r in score.score_batch(model, req, vocab).collect()}
+    out = {r.id: r for r in score.score_batch(model, req).collect()}
     assert out[100].status == "scored" and 0.0 <= out[100].prediction_probability_team1 <= 1.0
     assert out[101].status == "unseen_label" and out[101].reason == "venue=Nowhere"
     assert out[102].status == "invalid" and "toss_decision_invalid" in out[102].reason
+    odd = req.drop("id").unionByName(req.drop("id").limit(1).withColumn("team2", F.lit(None).cast("string")))
+    statuses = sorted(r.status for r in score.score_batch(model, odd).collect())
+    assert statuses == ["invalid", "invalid", "scored", "unseen_label"]
+    answers = {r.id: r.response for r in score.predictions_json(score.score_batch(model, req)).collect()}
+    assert "venue=Nowhere" in answers[101] and "predicted_winner_team1" in answers[100]
     path = str(tmp_path / "m")
     model.write().overwrite().save(path)
-    again = {r.id: r for r in score.score_batch(PipelineModel.load(path), req, vocab).collect()}
+    again = {r.id: r for r in score.score_batch(PipelineModel.load(path), req).collect()}
     assert again[100].prediction_probability_team1 == out[100].prediction_probability_team1

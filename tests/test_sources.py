@@ -1,22 +1,38 @@
 """Readers and writers: CSV NA tokens, JSON request arrays, schema conformance."""
 
-from pyspark.sql import functions as F
+import pytest
 
 from faceoff import schemas
 from faceoff.sources import conform, tables
 
 
-def test_csv_contests_na_tokens_and_season(spark, tmp_path):
+def test_csv_contests_by_header(spark, tmp_path):
     p = tmp_path / "matches.csv"
-    p.write_text("id,date,team1,team2,venue,toss_winner,toss_decision,winner,result,result_margin\n"
-                 "1,2020-04-01,A,B,NA,A,bat,,runs,10\n"
-                 "2,2021-05-02,B,A,V,None,field,B,NA,NA\n")
-    schema = schemas.CONTEST.__class__([f for f in schemas.CONTEST.fields if f.name != "season"])
-    df = spark.read.schema(schema).option("header", True).option("nullValue", "NA").csv(str(p))
-    df = tables.normalise_na_strings(df).withColumn("season", F.year("date"))
+    p.write_text("id,league,date,winner,team2,team1,venue,toss_winner,toss_decision,result,result_margin\n"
+                 "1,X,2020-04-01,,B,A,NA,A,bat,runs,10\n"
+                 '2,Y,2021-05-02,B,A,B,"V, East",None,field,NA,oops\n')
+    df = tables.read_contests(spark, str(p), "csv")
+    assert df.columns == [f.name for f in schemas.CONTEST.fields]
     got = {r.id: r for r in df.collect()}
-    assert got[1].venue is None and got[1].winner is None and got[1].season == 2020
-    assert got[2].toss_winner is None and got[2].result is None and got[2].result_margin is None
+    assert (got[1].team1, got[1].team2, got[1].venue, got[1].winner, got[1].season) == ("A", "B", None, None, "2020")
+    assert got[1].result_margin == 10.0 and got[2].result_margin is None and got[2].venue == "V, East"
+    assert got[2].toss_winner is None and got[2].result is None and str(got[2].date) == "2021-05-02"
+
+
+def test_csv_plays_aliases_names_and_missing_columns(spark, tmp_path):
+    p = tmp_path / "deliveries.csv"
+    p.write_text("match_id,inning,batting_team,bowling_team,over,batsman,bowler,runs,total_runs,is_wicket\n"
+                 "1,1,A,B,0,SC Ganguly,P Kumar,4.0,5,0\n1,2,B,A,3,NA,Z,1,1,1\n")
+    got = tables.read_plays(spark, str(p), "csv").orderBy("inning").collect()
+    assert (got[0].batter, got[0].bowler, got[0].batsman_runs, got[0].total_runs, got[0].wide_runs) == ("SC Ganguly", "P Kumar", 4, 5, 0)
+    assert got[1].batter is None and got[1].is_wicket == 1 and got[1].batting_team == "B" and got[1].ball is None
+
+
+def test_missing_required_column_is_an_error(spark, tmp_path):
+    p = tmp_path / "m.csv"
+    p.write_text("id,date,team1,team2\n1,2020-01-01,A,B\n")
+    with pytest.raises(ValueError, match="winner"):
+        tables.read_contests(spark, str(p), "csv")
 
 
 def test_request_json_arrays_roundtrip(spark, tmp_path):

@@ -11,8 +11,9 @@ are in many more of the confirmed texts than of the unlabelled ones, or the othe
 round. Labels, language, source and id are never features.
 
 Fitting uses a bounded sample: at most ``FIT_POSITIVE`` confirmed and ``FIT_UNLABELLED``
-other texts, those with the lowest hash of their id, without exact copies; only their
-distinct words reach the driver. Scoring reads every text whole, in Arrow batches, with
+other ids, those with the lowest hash of the id, without exact copies of texts. Words are
+counted and chosen by Spark; only the chosen words and which of them the sample's texts
+hold reach the driver. Scoring reads every text whole, in Arrow batches, with
 nothing shuffled; the model (at most ``MOST_WORDS`` words) is a literal of the job.
 
 Cases: null text counts as empty and gets the score of a text without known words;
@@ -33,13 +34,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faceoff.llm.common import small_arrow_batches, text_of, without
+from faceoff.llm.common import small_arrow_batches, text_of, without, written
 from faceoff.llm.vocab import distinct
 
 FIT_POSITIVE, FIT_UNLABELLED, MOST_WORDS = 6000, 18000, 4000
 #: Words need this many standard errors between the two kinds of texts, and this many texts.
 SURE, LEAST_TEXTS = 6.0, 5
-STEPS, RATE, SHRINK = 1500, 0.05, 1e-3
+STEPS, RATE, SHRINK = 800, 0.05, 1e-3
 PREDICT_FROM = 0.3
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -87,69 +88,64 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -40, 40)))
 
 
-def train(positive: list[list[str]], unlabelled: list[list[str]], prior: float) -> Model:
-    """Fit on the distinct words of confirmed and of unlabelled texts."""
+def train(patterns: list[tuple[bool, list[int], int]], words: list[str], prior: float) -> Model:
+    """Fit on (confirmed or unlabelled, numbers of the words present, how many texts)."""
     prior = min(max(prior, 1e-4), 0.9)
     start = float(np.log(prior / (1 - prior)))
-    if not positive or not unlabelled:
+    n = np.array([c for _, _, c in patterns], np.float64)
+    kind = np.array([k for k, _, _ in patterns], bool)
+    if not words or not n[kind].sum() or not n[~kind].sum():
         return Model([], np.zeros(0), start)
-    texts = [*positive, *unlabelled]
-    words, code = distinct([w for t in texts for w in t])
-    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    n_pos, n_unl = len(positive), len(unlabelled)
-    in_pos = np.bincount(code[row < n_pos], minlength=len(words))
-    in_unl = np.bincount(code[row >= n_pos], minlength=len(words))
-    share = (in_pos + in_unl) / len(texts)
-    error = np.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_unl)) + 1e-12
-    sure = np.abs(in_pos / n_pos - in_unl / n_unl) / error
-    chosen = np.flatnonzero((sure >= SURE) & (in_pos + in_unl >= LEAST_TEXTS))
-    chosen = chosen[np.argsort(-sure[chosen], kind="stable")][:MOST_WORDS]
-    if not len(chosen):
-        return Model([], np.zeros(0), start)
-    column = np.full(len(words), -1)
-    column[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(texts), len(chosen)), np.float32)
-    use = column[code] >= 0
-    x[row[use], column[code[use]]] = 1
-    # equal rows count once, with their number
-    rows, inverse = np.unique(np.packbits(x.astype(bool), axis=1), axis=0, return_inverse=True)
-    first = np.zeros(len(rows), np.int64)
-    first[inverse.ravel()[::-1]] = np.arange(len(texts))[::-1]
-    x = x[first].astype(np.float64)
-    p = np.bincount(inverse.ravel()[:n_pos], minlength=len(rows)) / n_pos
-    u = np.bincount(inverse.ravel()[n_pos:], minlength=len(rows)) / n_unl
-    w, b = np.zeros(len(chosen)), start
-    m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+    row = np.repeat(np.arange(len(patterns)), [len(x) for _, x, _ in patterns])
+    col = np.array([i for _, x, _ in patterns for i in x], np.int64)
+    p, u = np.where(kind, n, 0) / n[kind].sum(), np.where(kind, 0, n) / n[~kind].sum()
+    w, b = np.zeros(len(words)), start
+    m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
+    negative = u - prior * p
     for step in range(1, STEPS + 1):
-        s = 1 / (1 + np.exp(-(x @ w + b)))  # logistic loss: as positive -log s, as negative -log(1 - s)
-        loss_negative = np.logaddexp(0, x @ w + b)
-        negative = u - prior * p
-        if (negative * loss_negative).sum() >= 0:
+        z = b + np.bincount(row, w[col], len(patterns))
+        s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))  # logistic loss: as positive -log s, as negative -log(1 - s)
+        if (negative * np.logaddexp(0, z)).sum() >= 0:
             g = prior * p * (s - 1) + negative * s
         else:  # the risk of the negatives went below zero: step back
             g = -negative * s
-        grad = np.append(x.T @ g + SHRINK * w, g.sum())
+        grad = np.append(np.bincount(col, g[row], len(words)) + SHRINK * w, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return Model(words.take(pa.array(chosen)).to_pylist(), w, float(b))
+    return Model(words, w, float(b))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     """Train on the texts of ``docs`` that are not held out; confirmed are those that ``labels.toxic`` marks 1."""
+    spark = docs.sparkSession
     known = labels.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     rate = known.agg(F.avg((F.col("_toxic") == 1).cast("double")).alias("q")).first()["q"] or 0.0
-    d = docs.where(~held_out(F.col("doc_id"))).select("doc_id", text_of(docs, text).alias("_t"))
-    # ids with a label are far fewer than documents; the planner picks the join
-    d = d.join(known, "doc_id", "left").withColumn("_pos", F.coalesce(F.col("_toxic") == 1, F.lit(False)))
-    d = d.select("_pos", F.xxhash64("doc_id").alias("_rank"), F.xxhash64("_t").alias("_copy"), "_t")
-
-    def sample(part: DataFrame, n: int) -> list[list[str]]:
-        lowest = part.orderBy("_rank", "_copy").limit(n).dropDuplicates(["_copy"])
-        cut = F.array_distinct(F.regexp_extract_all(F.lower("_t"), F.lit(r"(\p{L}+)"), F.lit(1)))
-        return [r["w"] for r in lowest.select("_copy", cut.alias("w")).orderBy("_copy").collect()]
-
-    return train(sample(d.where("_pos"), FIT_POSITIVE), sample(d.where("NOT _pos"), FIT_UNLABELLED), rate)
+    ids = docs.where(~held_out(F.col("doc_id"))).select("doc_id").join(known, "doc_id", "left")
+    ids = ids.select("doc_id", F.coalesce(F.col("_toxic") == 1, F.lit(False)).alias("_pos"), F.xxhash64("doc_id").alias("_rank")).distinct()
+    lowest = lambda which, n: ids.where(which).orderBy("_rank", "doc_id").limit(n)
+    chosen = lowest("_pos", FIT_POSITIVE).unionByName(lowest("NOT _pos", FIT_UNLABELLED))
+    chosen = written(spark, chosen.select(F.col("doc_id").alias("_id"), "_pos"), "chosen")
+    sample = docs.select("doc_id", text_of(docs, text).alias("_t")).join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")))
+    cut = F.array_distinct(F.regexp_extract_all(F.lower("_t"), F.lit(r"(\p{L}+)"), F.lit(1)))
+    sample = sample.select("_pos", F.xxhash64("_t").alias("_copy"), cut.alias("w")).dropDuplicates(["_pos", "_copy"])
+    sample = written(spark, sample, "sample")  # at most FIT_POSITIVE + FIT_UNLABELLED ids
+    size = {r["_pos"]: r["count"] for r in sample.groupBy("_pos").count().collect()}
+    n_pos, n_unl = size.get(True, 0), size.get(False, 0)
+    if not n_pos or not n_unl:
+        return train([], [], rate)
+    each = sample.select("_pos", F.explode("w").alias("word")).groupBy("word").agg(
+        F.sum(F.col("_pos").cast("long")).alias("p"), F.sum((~F.col("_pos")).cast("long")).alias("u"))
+    share = (F.col("p") + F.col("u")) / (n_pos + n_unl)
+    error = F.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_unl)) + 1e-12
+    sure = F.abs(F.col("p") / n_pos - F.col("u") / n_unl) / error
+    each = each.where(F.col("p") + F.col("u") >= LEAST_TEXTS).withColumn("sure", sure).where(F.col("sure") >= SURE)
+    words = [r["word"] for r in each.orderBy(F.desc("sure"), "word").limit(MOST_WORDS).select("word").collect()]
+    present = F.sort_array(F.array_intersect("w", F.lit(words).cast("array<string>") if words else F.array().cast("array<string>")))
+    number = {w: i for i, w in enumerate(words)}
+    patterns = sample.select("_pos", present.alias("w")).groupBy("_pos", "w").count().collect()
+    found = sorted((r["_pos"], [number[w] for w in r["w"]], r["count"]) for r in patterns)
+    return train(found, words, rate)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

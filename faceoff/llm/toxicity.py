@@ -8,7 +8,7 @@ below zero (a step that would go below zero goes back instead).
 
 The features are words. Which words count is chosen on the same training texts: words that
 are in many more of the confirmed texts than of the unlabelled ones, or the other way
-round. Labels, language, source and id are never features.
+round; the surest ones, at most one to four confirmed texts. Labels, language, source and id are never features.
 
 Fitting uses a bounded sample: at most ``FIT_POSITIVE`` confirmed and ``FIT_UNLABELLED``
 other ids, those with the lowest hash of the id, without exact copies of texts. Words are
@@ -39,8 +39,8 @@ from faceoff.llm.vocab import distinct
 
 FIT_POSITIVE, FIT_UNLABELLED, MOST_WORDS = 6000, 18000, 4000
 #: Words need this many standard errors between the two kinds of texts, and this many texts.
-SURE, LEAST_TEXTS = 6.0, 5
-STEPS, RATE, SHRINK = 800, 0.05, 1e-3
+SURE, LEAST_TEXTS = 4.5, 5
+STEPS, RATE, SHRINK = 800, 0.05, 1e-5
 PREDICT_FROM = 0.3
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -123,8 +123,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     rate = known.agg(F.avg((F.col("_toxic") == 1).cast("double")).alias("q")).first()["q"] or 0.0
     ids = docs.where(~held_out(F.col("doc_id"))).select("doc_id").join(known, "doc_id", "left")
     ids = ids.select("doc_id", F.coalesce(F.col("_toxic") == 1, F.lit(False)).alias("_pos"), F.xxhash64("doc_id").alias("_rank")).distinct()
-    lowest = lambda which, n: ids.where(which).orderBy("_rank", "doc_id").limit(n)
-    chosen = lowest("_pos", FIT_POSITIVE).unionByName(lowest("NOT _pos", FIT_UNLABELLED))
+    lowest = lambda d, n: d.orderBy("_rank", "doc_id").limit(n)
+    # the unlabelled sample stands for all texts, so confirmed ones are in it at their share
+    chosen = lowest(ids.where("_pos"), FIT_POSITIVE).unionByName(lowest(ids, FIT_UNLABELLED).withColumn("_pos", F.lit(False)))
     chosen = written(spark, chosen.select(F.col("doc_id").alias("_id"), "_pos"), "chosen")
     sample = docs.select("doc_id", text_of(docs, text).alias("_t")).join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")))
     cut = F.array_distinct(F.regexp_extract_all(F.lower("_t"), F.lit(r"(\p{L}+)"), F.lit(1)))
@@ -140,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     error = F.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_unl)) + 1e-12
     sure = F.abs(F.col("p") / n_pos - F.col("u") / n_unl) / error
     each = each.where(F.col("p") + F.col("u") >= LEAST_TEXTS).withColumn("sure", sure).where(F.col("sure") >= SURE)
-    words = [r["word"] for r in each.orderBy(F.desc("sure"), "word").limit(MOST_WORDS).select("word").collect()]
+    words = [r["word"] for r in each.orderBy(F.desc("sure"), "word").limit(min(MOST_WORDS, max(20, n_pos // 4))).select("word").collect()]
     present = F.sort_array(F.array_intersect("w", F.lit(words).cast("array<string>") if words else F.array().cast("array<string>")))
     number = {w: i for i, w in enumerate(words)}
     patterns = sample.select("_pos", present.alias("w")).groupBy("_pos", "w").count().collect()

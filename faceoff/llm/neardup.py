@@ -14,11 +14,12 @@ elements of ``SIMILAR`` per cent or more. Method:
 4. Survivors are verified exactly on their full sets.
 
 Only components are asked for, so a bucket's pairs are not all formed. First every node is
-compared with one pivot of its buckets, then with the pivots of all its buckets, and
-nodes that are already connected are left out; a large group of near copies is mostly
-one component by then. What is left are the pairs of one bucket between different
-components that no step compared yet; these are formed and verified too, so no link
-between components is lost to a group's size.
+compared with one pivot of its buckets, then with the pivots of all its buckets, then with
+pivots drawn at random; nodes that are already connected are left out. A large group of
+near copies is mostly one component by then. What is left are the pairs of one bucket
+between different components; a bucket's sets are packed into blocks of bounded size, and
+two blocks at a time are compared exactly inside a task, which gives out links only. So no
+link between components is lost to a group's size, and no rows are made of its pairs.
 
 Pairs and buckets are joined and aggregated by Spark; hot buckets are aggregated before
 the shuffle and their joins may be split. Texts travel once, and only to fetch the sets
@@ -49,6 +50,9 @@ BANDS, ROWS = 28, 4
 HASHES = BANDS * ROWS
 SIMILAR = 80
 BATCH, MISS = 16, 1e-7
+#: Rounds of pivots drawn at random, and the size of a block in the last comparison.
+MORE_PIVOTS = 2
+BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 400_000, 4096
 #: Bytes of text that a task hashes at a time (a longer text by itself).
 PIECE = 1 << 22
 
@@ -178,6 +182,49 @@ def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
+def links_between(x: list[tuple[bytes, bytes, np.ndarray]], y: list[tuple[bytes, bytes, np.ndarray]]) -> list[tuple[bytes, bytes]]:
+    """Links between nodes (digest, component, set) of two blocks in different components.
+
+    Shingles that both blocks hold are numbered; the sizes of all intersections are then
+    products of 0/1 matrices, ``COLUMNS`` shingles at a time. One link for each pair of
+    a node and a component is enough."""
+    nx, ny = np.array([len(s) for _, _, s in x]), np.array([len(s) for _, _, s in y])
+    if not len(x) or not len(y):
+        return []
+    fx, fy = np.concatenate([s for _, _, s in x]), np.concatenate([s for _, _, s in y])
+    common = np.intersect1d(fx, fy)
+    both = np.zeros((len(x), len(y)), np.float32)
+    px, py = np.searchsorted(common, fx), np.searchsorted(common, fy)
+    rx, ry = np.repeat(np.arange(len(x)), nx), np.repeat(np.arange(len(y)), ny)
+    inx = (px < len(common)) & (common[np.minimum(px, max(0, len(common) - 1))] == fx) if len(common) else np.zeros(len(fx), bool)
+    iny = (py < len(common)) & (common[np.minimum(py, max(0, len(common) - 1))] == fy) if len(common) else np.zeros(len(fy), bool)
+    px, rx, py, ry = px[inx], rx[inx], py[iny], ry[iny]
+    for lo in range(0, len(common), COLUMNS):
+        a, b = np.zeros((len(x), COLUMNS), np.float32), np.zeros((len(y), COLUMNS), np.float32)
+        u, v = (px >= lo) & (px < lo + COLUMNS), (py >= lo) & (py < lo + COLUMNS)
+        a[rx[u], px[u] - lo] = 1
+        b[ry[v], py[v] - lo] = 1
+        both += a @ b.T
+    both = np.rint(both).astype(np.int64)
+    linked = 100 * both >= SIMILAR * (nx[:, None] + ny - both)
+    out, seen = [], set()
+    for i, j in zip(*(k.tolist() for k in np.nonzero(linked))):
+        key = (i, y[j][1])
+        if x[i][1] != y[j][1] and key not in seen:
+            seen.add(key)
+            out.append((x[i][0], y[j][0]))
+    return out
+
+
+def _between(batches):
+    """Task: pairs of blocks -> links between components."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            x, y = ([(m["node"], m["comp"], np.frombuffer(m["shingles"], np.uint64)) for m in batch.column(c)[r].as_py()] for c in ("x", "y"))
+            got = links_between(x, y)
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in got], pa.binary()), pa.array([b for _, b in got], pa.binary())], ["a", "b"])
+
+
 def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
@@ -242,15 +289,11 @@ def near_duplicates(docs: DataFrame, size: int, text: str = "text") -> DataFrame
         p = both(p, sets)
         return written(spark, p.where(_linked("shingles_a", "shingles_b")).select("a", "b"), f"{what}-links")
 
-    def label(links: DataFrame) -> DataFrame:
-        return components(links)
-
-    close = lambda n, m: (F.lit(100) * F.least(n, m) >= F.lit(SIMILAR) * F.greatest(n, m))
     # every node with the least of its pivots
     star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     first = written(spark, star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs-1")
     links = verify(first, "pairs-1")
-    comp = label(links)
+    comp = components(links)
 
     def with_comp(df: DataFrame, column: str, name: str, comp: DataFrame) -> DataFrame:
         c = comp.select(F.col("node").alias(column), F.col("comp").alias("_c"))
@@ -260,16 +303,27 @@ def near_duplicates(docs: DataFrame, size: int, text: str = "text") -> DataFrame
     rest = with_comp(with_comp(star.distinct(), "a", "ca", comp), "b", "cb", comp).where("ca <> cb").select("a", "b")
     second = written(spark, rest.join(first, ["a", "b"], "left_anti"), "pairs-2")
     links = links.unionByName(verify(second, "pairs-2"))
-    comp = label(links)
-    # all other pairs of a bucket between different components
-    m = with_comp(members, "node", "comp", comp)
-    mixed = m.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    m = written(spark, m.join(mixed, "bucket").where("node <> pivot").select("bucket", "node", "n", "comp"), "open")
-    x, y = m.toDF("bucket", "a", "na", "ca"), m.toDF("bucket", "b", "nb", "cb")
-    third = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close(F.col("na"), F.col("nb")))
-    third = third.select("a", "b").distinct().join(first.unionByName(second), ["a", "b"], "left_anti")
-    links = links.unionByName(verify(written(spark, third, "pairs-3"), "pairs-3"))
-    comp = written(spark, label(links), "components")
+    comp = components(links)
+    # further pivots, drawn anew in every round among the nodes of a bucket, for those not connected with them
+    open_ = with_comp(members, "node", "comp", comp)
+    for number in range(MORE_PIVOTS):
+        draw = F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "comp")).alias("draw")
+        drawn = open_.groupBy("bucket").agg(draw, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        near = open_.join(drawn.select("bucket", "draw"), "bucket").where(F.col("comp") != F.col("draw.comp"))
+        near = near.select(F.col("draw.node").alias("a"), F.col("node").alias("b")).distinct()
+        links = links.unionByName(verify(written(spark, near, f"pairs-3-{number}"), f"pairs-3-{number}"))
+        comp = components(links)
+        open_ = with_comp(members, "node", "comp", comp)
+    # all other pairs of a bucket between different components, block against block
+    mixed = open_.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("s"))
+    mixed = mixed.where("lo <> hi").select("bucket", F.greatest(F.lit(1), F.ceil(F.greatest(F.col("c") / BLOCK, F.col("s") / BLOCK_SHINGLES))).alias("blocks"))
+    m = open_.join(mixed, "bucket").withColumn("block", (F.xxhash64("node").bitwiseAND(F.lit((1 << 62) - 1)) % F.col("blocks")).cast("int"))
+    m = m.join(sets, "node").groupBy("bucket", "block").agg(F.collect_list(F.struct("node", "comp", "shingles")).alias("own"))
+    m = written(spark, m, "blocks")
+    x, y = m.toDF("bucket", "i", "x"), m.toDF("bucket", "j", "y")
+    found = x.join(y, "bucket").where("i <= j").select("x", "y").mapInArrow(_between, "a binary, b binary")
+    links = links.unionByName(written(spark, found.distinct(), "pairs-4-links"))
+    comp = written(spark, components(links), "components")
 
     d = with_comp(read.select("doc_id", "mark", "n_shingles", "node"), "node", "comp", comp)
     least = written(spark, d.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")

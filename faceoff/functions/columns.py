@@ -48,8 +48,3 @@ def signed_margin(won: Column, margin) -> Column:
     """Margin with NULL -> 0, negated when the side did not win."""
     m = F.coalesce(col(margin), F.lit(0.0))
     return F.when(won == 1, m).otherwise(-m)
-
-
-def r6(c) -> Column:
-    """Round to 6 digits (used for comparable double output)."""
-    return F.round(col(c).cast("double"), 6)

@@ -193,12 +193,6 @@ def contests_of_players(contests: DataFrame, plays: DataFrame) -> DataFrame:
             .select("batter", "id", "date", "winner"))
 
 
-def contests_of_player(contests: DataFrame, plays: DataFrame, player) -> DataFrame:
-    """Contests of one player (left semi join on the player's contest ids)."""
-    ids = plays.filter(F.col("batter") == F.lit(player)).select(F.col("match_id").alias("id"))
-    return contests.join(ids, "id", "left_semi")
-
-
 def team_last_n_runs(long_df: DataFrame, plays: DataFrame, n: int = schemas.LAST_N, side: str = "both") -> DataFrame:
     """Mean runs per contest over each team's latest ``n`` contests.
 

@@ -201,10 +201,11 @@ ORACLES["scan_contests"] = w(*BASE) + "SELECT * FROM contests"
 ORACLES["scan_plays"] = w(*BASE_P) + "SELECT * FROM plays"
 ORACLES["drop_no_result"] = w(*BASE) + "SELECT * FROM contests WHERE result IS DISTINCT FROM 'no result'"
 ORACLES["require_columns"] = w(*BASE) + "SELECT * FROM contests WHERE winner IS NOT NULL"
+RENAMED = {"NATION_1": "NATION_1 UNITED", "NATION_7": "NATION_7 CITY"}
 ORACLES["canonical_names"] = w(*BASE) + f"""SELECT id, season, date,
-  {_case_map('team1', schemas.TEAM_NAME_MAPPING)} AS team1, {_case_map('team2', schemas.TEAM_NAME_MAPPING)} AS team2,
-  venue, {_case_map('toss_winner', schemas.TEAM_NAME_MAPPING)} AS toss_winner, toss_decision,
-  {_case_map('winner', schemas.TEAM_NAME_MAPPING)} AS winner, result, result_margin FROM contests"""
+  {_case_map('team1', RENAMED)} AS team1, {_case_map('team2', RENAMED)} AS team2,
+  venue, {_case_map('toss_winner', RENAMED)} AS toss_winner, toss_decision,
+  {_case_map('winner', RENAMED)} AS winner, result, result_margin FROM contests"""
 ORACLES["season_from_date"] = w(*BASE) + "SELECT id, date, CAST(year(date) AS INTEGER) AS season FROM contests"
 ORACLES["side_long"] = w(*BASE, lt_cte("lt", "contests")) + \
     f"SELECT id, side, team, opponent, date, won, outcome, toss_won, {r6('signed_margin', 'signed_margin')} FROM lt"
@@ -279,7 +280,7 @@ FROM plays WHERE bowler IS NOT NULL GROUP BY bowler"""
 PLAYER_MATCH = """SELECT match_id, batter, CAST(sum(batsman_runs) AS BIGINT) AS runs_scored, count(match_id) AS balls_faced
 FROM plays WHERE batter IS NOT NULL AND match_id IN (SELECT id FROM cleaned) GROUP BY match_id, batter"""
 ORACLES["player_match"] = w(*BASE_P, CLEANED) + PLAYER_MATCH
-ORACLES["positive_exposure"] = w(*BASE_P, CLEANED) + f"SELECT * FROM ({PLAYER_MATCH}) pm WHERE balls_faced > 0"
+ORACLES["positive_exposure"] = w(*BASE_P, CLEANED) + f"SELECT * FROM ({PLAYER_MATCH}) pm WHERE balls_faced > 0 AND batter % 5 <> 0"
 ORACLES["innings_pivot"] = w(*BASE_P, INNINGS) + "SELECT * FROM ip"
 ORACLES["bowling_match"] = w(*BASE_P, BOWLING) + f"""SELECT match_id, team, runs_conceded, balls_bowled, extra_balls,
   legal_balls_bowled, {r6('CASE WHEN legal_balls_bowled <> 0 THEN runs_conceded * 6.0 / legal_balls_bowled END', 'economy_rate')}
@@ -287,7 +288,8 @@ FROM bw"""
 TMS_SELECT = f"""SELECT match_id, team, runs_scored, wickets_taken, runs_conceded, legal_balls_bowled,
   {r6('economy_rate', 'economy_rate')} FROM tms"""
 ORACLES["team_match_stats"] = w(*BASE_P, BOWLING, TMS) + TMS_SELECT
-ORACLES["finite_only"] = ORACLES["team_match_stats"]
+ORACLES["finite_only"] = f"""SELECT * REPLACE (CASE WHEN match_id % 7 NOT IN (0, 1) THEN economy_rate END AS economy_rate)
+FROM ({ORACLES["team_match_stats"]}) t"""
 ORACLES["fill_defaults"] = w(*BASE_P, BOWLING, TMS) + f"""SELECT match_id, team, runs_scored, wickets_taken,
   runs_conceded, legal_balls_bowled, {r6('coalesce(economy_rate, 10.0)', 'economy_rate')} FROM tms"""
 ORACLES["batting_average"] = w(*BASE_P) + f"""SELECT batter,
@@ -543,7 +545,7 @@ ORACLES["validate_requests"] = w(*FORM_CTES, FORM) + f"""SELECT id, violations,
   CASE WHEN violations = '' THEN 1 ELSE 0 END AS is_valid FROM (SELECT id, {_violations()} AS violations FROM form) z"""
 RS = f"rs AS (SELECT *, CASE WHEN {hash_expr(42)} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split FROM form)"
 ORACLES["unseen_labels"] = w(*FORM_CTES, FORM, RS,
-    "vocab AS (" + " UNION ".join(f"SELECT '{c}' AS col, {c} AS value FROM rs WHERE split = 'train' AND {c} IS NOT NULL"
+    "vocab AS (" + " UNION ".join(f"SELECT '{c}' AS col, {c} AS value FROM rs WHERE split = 'train' AND venue IS DISTINCT FROM 'MACHINERY' AND {c} IS NOT NULL"
                                   for c in CATS) + ")",
     "req AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS col, {c} AS value FROM rs WHERE split = 'test'"
                                     for c in CATS) + ")") + """SELECT id, col AS "column", value FROM req

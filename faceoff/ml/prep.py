@@ -6,6 +6,8 @@ is repartitioned or a task is retried, unlike ``randomSplit``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,12 +69,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` once to the shared checkpoint folder (``spark.checkpoint.dir``).
 
     Model fitting reads its input many times (indexers, imputers, each CV fold);
-    without this every pass would recompute the whole feature plan. A checkpoint
-    (not a local one) survives the loss of the executors that computed it.
+    without this every pass would recompute the whole feature plan. The table is Parquet,
+    so later passes read only the columns they need, and it survives the loss of the
+    executors that computed it.
     """
     from faceoff.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/faceoff-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def impute_features(df: DataFrame, features: list[str]) -> DataFrame:

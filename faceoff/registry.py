@@ -505,7 +505,7 @@ def q_player_training_set(spark, sf_dir):
     c = cleaned(spark, sf_dir)
     p = plays(spark, sf_dir)
     pm = aggregates.player_match(c, p)
-    feats = prep.label_encode(momentum.contest_momentum(c, cleaned=True))
+    feats = prep.label_encode(prep.materialize(momentum.contest_momentum(c, cleaned=True)))
     return rounded(players.player_training_set(pm, feats, aggregates.batter_career(p), c))
 
 
@@ -562,7 +562,7 @@ def q_feature_importances(spark, sf_dir):
 def _player_inputs(spark, sf_dir):
     c = cleaned(spark, sf_dir)
     p = plays(spark, sf_dir)
-    feats = prep.label_encode(momentum.contest_momentum(c, cleaned=True))
+    feats = prep.label_encode(prep.materialize(momentum.contest_momentum(c, cleaned=True)))
     return c, p, feats
 
 
@@ -637,7 +637,7 @@ def q_write_tables(spark, sf_dir):
     from faceoff.sources import sinks
     c = cleaned(spark, sf_dir)
     p = plays(spark, sf_dir)
-    mom = momentum.contest_momentum(c, cleaned=True)
+    mom = prep.materialize(momentum.contest_momentum(c, cleaned=True))  # read three times below
     out = {"team_stats": aggregates.team_career(c), "venue_stats": aggregates.venue_stats(c, p),
            "batter_stats": aggregates.batter_career(p), "bowler_stats": aggregates.bowler_career(p),
            "player_match_stats": aggregates.player_match(c, p), "contest_momentum": mom,

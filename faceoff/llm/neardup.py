@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from faceoff.llm.common import small_arrow_batches, text_of, without, written
+from faceoff.llm.common import small_arrow_batches, text_of, written
 from faceoff.llm.components import components
 
 BANDS, ROWS = 28, 4

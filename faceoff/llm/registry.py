@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, chat, fingerprint, mixing, neardup, passages, quality, tokencount, toxicity
+from faceoff.llm import bpe, chat, fingerprint, mixing, neardup, passages, quality, tokencount, toxicity, warc
 from faceoff.llm.common import table
 
 
@@ -87,6 +87,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None,
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op9_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of every page, resolved to the latest earlier full response of its URL."""
+    out = warc.resolve(warc.standin_records(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    lines = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return out.select("record_id", "canonical", "time", "resolution", "refers_to", F.size("headers").cast("long").alias("n_headers"),
+                      F.sha2(lines, 256).alias("headers_sha256"), F.sha2("body", 256).alias("body_sha256"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix of all sources takes."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
@@ -102,5 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_revisits": op9_revisits,
     "op10_mixing": op10_mixing,
 }

@@ -16,6 +16,8 @@ from faceoff.llm.registry import vocabulary
 
 #: Words in a shingle of the near-duplicate stage.
 SHINGLE = 5
+#: Passages of over 50 words that repeat are cut out.
+PASSAGE_WORDS = 51
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +31,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that start more than once are cut out of the texts; all documents stay."""
-    out = passages.remove_repeats(docs).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("text").cast("long"))
+    """Passages that start more than once, of over 50 words or of 400 bytes, are cut out of the
+    texts; all documents stay."""
+    out = passages.remove_repeats(docs, words=PASSAGE_WORDS).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*docs.columns)
 
 

@@ -24,6 +24,10 @@ documents and are judged on the input. Method:
 Documents are known by id and a hash of their text; the text travels twice, to cut
 slices and to cut the repeats. Intermediate tables are written to the shared folder.
 
+With ``words`` set, passages of that many words go as well, however short the words are:
+the same method runs over the words of a text, each one symbol, its hash, instead of its
+bytes. Words lie between ``common.WORD_SEPARATORS``; which ones separate them doesn't matter.
+
 Cases: null text counts as empty; texts shorter than WIDTH bytes stay as they are;
 repeated rows repeat each other; the remaining bytes are given as binary, since a cut may
 fall inside a character, and as text without the damaged characters; an empty table
@@ -32,6 +36,8 @@ gives an empty table; columns named like a result column are replaced.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,16 +51,18 @@ WIDTH, GRAM = 400, 128
 #: Bytes of slices in a shard, about.
 SHARD = 2 << 20
 CROWD = 20_000
+#: Passages as the words of a text: that many words in a gram.
+WORD_GRAM = 16
 
 _VALUE = np.random.default_rng(77).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class _Hashes:
-    """Hashes of any stretches of a text."""
+    """Hashes of any stretches of a text, given as bytes or as hashes of words."""
 
     def __init__(self, raw: np.ndarray):
         self.sum = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_VALUE[raw] * _powers(BASE, len(raw)), out=self.sum[1:])
+        np.cumsum((_VALUE[raw] if raw.dtype == np.uint8 else raw) * _powers(BASE, len(raw)), out=self.sum[1:])
         self.back = _powers(INVERSE, len(raw) + 1)
 
     def of(self, start: np.ndarray, size) -> np.ndarray:
@@ -70,14 +78,14 @@ def _least_ahead(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[: len(h) - w + 1], m[w - have : w - have + len(h) - w + 1])
 
 
-def slices(raw: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Slices of a text: hash of the anchor, first start, last start, hash of the content."""
-    n = len(raw) - WIDTH + 1
+def slices(raw: np.ndarray, width: int, size: int) -> tuple[np.ndarray, ...]:
+    """Slices of a text: hash of the anchor (of a gram of ``size``), first start, last start, hash of the content."""
+    n = len(raw) - width + 1
     if n <= 0:
         return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.uint64))
     hashes = _Hashes(raw)
-    w = WIDTH - GRAM + 1
-    gram = hashes.of(np.arange(n + w - 1), GRAM)
+    w = width - size + 1
+    gram = hashes.of(np.arange(n + w - 1), size)
     least = _least_ahead(gram, w)
     # a gram is an anchor if it equals the least of some string around it
     reach = np.zeros(n + 2 * (w - 1), np.uint64)
@@ -92,22 +100,34 @@ def slices(raw: np.ndarray) -> tuple[np.ndarray, ...]:
         at[bad] = cand[order[bad]]
     first = np.flatnonzero(np.diff(at, prepend=-1))
     last = np.append(first[1:], n) - 1
-    return gram[at[first]], first, last, hashes.of(first, last - first + WIDTH)
+    return gram[at[first]], first, last, hashes.of(first, last - first + width)
+
 
+def _word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the words of a text."""
+    apart = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    edge = np.flatnonzero(np.diff((~apart).astype(np.int8), prepend=0, append=0))
+    return edge[::2], edge[1::2]
 
-def _bytes(texts: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(t.encode("utf-8"), np.uint8) for t in texts.to_pylist()]
+
+def _symbols(text: str, words: bool) -> np.ndarray:
+    """The bytes of a text, or the hashes of its words."""
+    raw = np.frombuffer(text.encode("utf-8"), np.uint8)
+    if not words:
+        return raw
+    start, end = _word_spans(raw)
+    return _Hashes(raw).of(start, end - start)
 
 
 SLICES = "doc_id long, mark long, anchor long, first int, last int, content long"
 
 
-def _read(batches):
+def _read(batches, width: int, gram: int, words: bool):
     """Task: texts -> their slices."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 200):
             part = batch.slice(lo, 200)
-            got = [slices(r) for r in _bytes(part.column("text"))]
+            got = [slices(_symbols(t, words), width, gram) for t in part.column("text").to_pylist()]
             n = [len(g[0]) for g in got]
             if not sum(n):
                 continue
@@ -122,15 +142,15 @@ def _read(batches):
 CUT = "doc_id long, mark long, anchor long, first int, last int, bytes binary"
 
 
-def _cut(batches):
+def _cut(batches, width: int, words: bool):
     """Task: texts with a list of slices -> the slices with their bytes."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 50):
             part = batch.slice(lo, 50)
             rows = []
             for doc, mark, text, wanted in zip(*(part.column(c).to_pylist() for c in ("doc_id", "mark", "text", "wanted"))):
-                raw = text.encode("utf-8")
-                rows += [(doc, mark, w["anchor"], w["first"], w["last"], raw[w["first"] : w["last"] + WIDTH]) for w in wanted]
+                raw = _symbols(text, words)
+                rows += [(doc, mark, w["anchor"], w["first"], w["last"], raw[w["first"] : w["last"] + width].tobytes()) for w in wanted]
             if rows:
                 cols = list(zip(*rows))
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
@@ -150,16 +170,20 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
-def _shard(table: pa.Table) -> pa.Table:
+def _shard(table: pa.Table, width: int, words: bool) -> pa.Table:
     """Task: the slices of a shard -> ranges of starts that are repeated in it."""
-    data = table.column("bytes").to_pylist()
+    data = [np.frombuffer(d, np.uint64 if words else np.uint8) for d in table.column("bytes").to_pylist()]
+    alphabet = 257
+    if words:
+        kinds, rank = np.unique(np.concatenate(data), return_inverse=True)
+        data, alphabet = np.split(rank, np.cumsum([len(d) for d in data])[:-1]), len(kinds) + 1
     size = np.array([len(d) for d in data], np.int64)
     at = np.concatenate([[0], np.cumsum(size + 1)])
     t = np.zeros(at[-1], np.int64)  # 0 between slices
     for a, d in zip(at.tolist(), data):
-        t[a : a + len(d)] = np.frombuffer(d, np.uint8)
+        t[a : a + len(d)] = d
         t[a : a + len(d)] += 1
-    hit = repeated_starts(t, 257, WIDTH)
+    hit = repeated_starts(t, alphabet, width)
     out = []
     for a, doc, mark, first, last in zip(at.tolist(), *(table.column(c).to_pylist() for c in ("doc_id", "mark", "first", "last"))):
         own = hit[a : a + last - first + 1]
@@ -168,21 +192,24 @@ def _shard(table: pa.Table) -> pa.Table:
     return _starts(out)
 
 
-def _strings(batches):
+def _strings(batches, width: int, words: bool):
     """Task: slices -> the hash of every string in them."""
     for batch in batches:
         for doc, mark, anchor, first, last, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "anchor", "first", "last", "bytes"))):
-            raw = np.frombuffer(data, np.uint8)
+            raw = np.frombuffer(data, np.uint64 if words else np.uint8)
             n = last - first + 1
-            h = _Hashes(raw).of(np.arange(n), WIDTH).view(np.int64)
+            h = _Hashes(raw).of(np.arange(n), width).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([doc] * n, pa.int64()), pa.array([mark] * n, pa.int64()), pa.array([anchor] * n, pa.int64()),
                                               pa.array(np.arange(first, last + 1, dtype=np.int32)), pa.array(h)], ["doc_id", "mark", "anchor", "first", "string"])
 
 
-def repeated_ranges(texts: DataFrame) -> DataFrame:
-    """Ranges of starts of repeated strings (doc_id, mark, first, last) of texts (doc_id, mark, text)."""
+def repeated_ranges(texts: DataFrame, width: int, gram: int, words: bool = False) -> DataFrame:
+    """Ranges of starts of repeated strings (doc_id, mark, first, last) of texts (doc_id, mark, text);
+    starts and width count bytes or words."""
     spark = texts.sparkSession
-    found = written(spark, texts.mapInArrow(_read, SLICES), "slices")
+    read, cut_out, in_shard, strings_of = (partial(_read, width=width, gram=gram, words=words), partial(_cut, width=width, words=words),
+                                           partial(_shard, width=width, words=words), partial(_strings, width=width, words=words))
+    found = written(spark, texts.mapInArrow(read, SLICES), "slices")
     kinds = found.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "first")).alias("one"))
     kinds = written(spark, kinds, "kinds")
     anchors = kinds.groupBy("anchor").agg(F.sum("n").alias("all_n"), F.count("*").alias("n_kinds")).where("all_n > 1").drop("all_n")
@@ -194,31 +221,40 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     wanted = alone.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("first", "last", "anchor"))).alias("wanted"))
     wanted = wanted.select(F.struct("doc_id", "mark").alias("_k"), "wanted")
     cut = texts.join(wanted, F.struct(texts["doc_id"], texts["mark"]).eqNullSafe(F.col("_k"))).select("doc_id", "mark", "text", "wanted")
-    cut = written(spark, cut.mapInArrow(_cut, CUT).join(anchors, "anchor"), "cut")
+    cut = written(spark, cut.mapInArrow(cut_out, CUT).join(anchors, "anchor"), "cut")
     total = cut.agg(F.sum(F.length("bytes")).alias("b")).first()["b"] or 0
     n_shards = max(1, -(-total // SHARD))
     few = cut.where(F.col("n_kinds") <= CROWD).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards)))
     few = few.repartition(max(1, n_shards), "shard")
-    partly = written(spark, few.groupBy("shard").applyInArrow(_shard, STARTS), "partly")
-    strings = cut.where(F.col("n_kinds") > CROWD).mapInArrow(_strings, "doc_id long, mark long, anchor long, first int, string long")
+    partly = written(spark, few.groupBy("shard").applyInArrow(lambda t: in_shard(t), STARTS), "partly")
+    strings = cut.where(F.col("n_kinds") > CROWD).mapInArrow(strings_of, "doc_id long, mark long, anchor long, first int, string long")
     strings = written(spark, strings, "strings")
     twice = strings.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     crowded = strings.join(twice, ["anchor", "string"]).select("doc_id", "mark", "first", F.col("first").alias("last"))
     return whole.unionByName(partly).unionByName(crowded)
 
 
-def _remove(batches):
+def _byte_ranges(raw: bytes, ranges: list[dict], width: int, words: int | None) -> list[tuple[int, int]]:
+    """Ranges of repeated starts -> the byte ranges that are covered, ascending."""
+    spans = [(r["first"], r["last"] + width) for r in ranges if not r["words"]]
+    if len(spans) < len(ranges):
+        start, end = _word_spans(np.frombuffer(raw, np.uint8))
+        spans += [(int(start[r["first"]]), int(end[r["last"] + words - 1])) for r in ranges if r["words"]]
+    return sorted(spans)
+
+
+def _remove(batches, width: int, words: int | None):
     """Task: texts with repeated ranges -> spans and what is left."""
     for batch in batches:
         spans_out, kept_out, size_out = [], [], []
         for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
             raw = text.encode("utf-8")
             spans: list[list[int]] = []
-            for r in ranges or ():  # ascending
-                if spans and r["first"] <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], r["last"] + WIDTH)
+            for first, end in _byte_ranges(raw, ranges or [], width, words):
+                if spans and first <= spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], end)
                 else:
-                    spans.append([r["first"], r["last"] + WIDTH])
+                    spans.append([first, end])
             edges = [0, *[x for s in spans for x in s], len(raw)]
             kept_out.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
             spans_out.append([{"start": a, "end": b} for a, b in spans])
@@ -229,21 +265,27 @@ def _remove(batches):
                                          ["row", "n_bytes", "spans", "kept", "kept_text"])
 
 
-def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", words: int | None = None) -> DataFrame:
     """``docs`` with ``n_bytes``, ``spans`` (removed byte ranges), ``kept`` (remaining bytes) and
-    with ``kept_text`` (remaining text; a character that a cut went through is left out)."""
+    with ``kept_text`` (remaining text; a character that a cut went through is left out).
+    Strings of WIDTH bytes that repeat go and, if given, passages of ``words`` words that do."""
+    if words is not None and words < 2:
+        raise ValueError("words: a passage has two words at least")
     spark = docs.sparkSession
     small_arrow_batches(spark, 500)
     docs = without(docs, "n_bytes", "spans", "kept", "kept_text", "_row")
     mark = F.xxhash64(text_of(docs, text))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark.alias("mark"), text_of(docs, text).alias("text"))
-    ranges = repeated_ranges(texts)
-    ranges = ranges.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("ranges"))
+    ranges = repeated_ranges(texts, WIDTH, GRAM).withColumn("words", F.lit(False))
+    if words is not None:
+        by_word = repeated_ranges(texts, words, min(WORD_GRAM, words - 1), True)
+        ranges = ranges.unionByName(by_word.withColumn("words", F.lit(True)))
+    ranges = ranges.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "last", "words")).alias("ranges"))
     ranges = written(spark, ranges.select(F.struct("doc_id", "mark").alias("_k"), "ranges"), "ranges")
     d = docs.withColumn("_row", F.struct(F.col("doc_id").cast("long").alias("doc_id"), mark.alias("mark")))
     d = d.join(ranges, F.col("_row").eqNullSafe(F.col("_k")), "left").drop("_k")
     rest = [c for c in docs.columns if c != text]
     d = d.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), text_of(d, text).alias("text"), "ranges")
     kinds = "n_bytes long, spans array<struct<start: long, end: long>>, kept binary, kept_text string"
-    out = d.mapInArrow(_remove, f"row {d.schema['row'].dataType.simpleString()}, {kinds}")
+    out = d.mapInArrow(partial(_remove, width=WIDTH, words=words), f"row {d.schema['row'].dataType.simpleString()}, {kinds}")
     return out.select("row.*", "n_bytes", "spans", "kept", "kept_text")

@@ -57,6 +57,34 @@ def test_crowded_anchors_go_by_strings(spark, tmp_path, monkeypatch):
     check(spark, tmp_path, corpus())
 
 
+def words_brute(texts, size):
+    """Words left of each text, without those in a stretch of ``size`` words that starts anywhere else."""
+    split = [t.split() for t in texts]
+    seen = {}
+    for d, ws in enumerate(split):
+        for i in range(len(ws) - size + 1):
+            seen.setdefault(tuple(ws[i:i + size]), []).append((d, i))
+    gone = {(d, i + k) for v in seen.values() if len(v) > 1 for d, i in v for k in range(size)}
+    return [[x for i, x in enumerate(ws) if (d, i) not in gone] for d, ws in enumerate(split)]
+
+
+def test_passages_by_words_equal_brute_force(spark, monkeypatch):
+    r = random.Random(11)
+    p = [" ".join(r.choice("abcdefg") for _ in range(70)) for _ in range(3)]
+    texts = []
+    for k in range(30):
+        ws = p[k % 3].split()
+        own = [" ".join(f"{c}{k}x{i}" for i in range(20)) for c in "uv"]
+        texts.append(f"{own[0]}\n {' '.join(ws[k % 7: k % 7 + 8 + k])}  {own[1]}")
+    texts += ["", "a", "a b " * 40]
+    want = words_brute(texts, 12)
+    for crowd in (passages.CROWD, 2):
+        monkeypatch.setattr(passages, "CROWD", crowd)
+        got = passages.remove_repeats(docs(spark, list(enumerate(texts))).repartition(5), words=12).orderBy("doc_id").collect()
+        assert [x.kept_text.split() for x in got] == want
+    assert sum(len(t.split()) for t in texts) > sum(map(len, want)) > 0
+
+
 def test_rows_columns_and_edges(spark):
     t = words(200, 3)
     df = docs(spark, [(1, t), (1, t), (None, words(100, 4)), (2, None)]).withColumnRenamed("lang", "SPANS").withColumnRenamed("source", "row")

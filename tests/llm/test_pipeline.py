@@ -60,5 +60,25 @@ def test_stages_and_run(spark, tmp_path):
     assert sorted((r.doc_id, r.text) for r in again) == sorted((r.doc_id, r.text) for r in coded)
 
 
+def test_passages_of_51_words_are_cut_and_of_50_stay(spark, tmp_path):
+    r = random.Random(5)
+    short = [" ".join(f"{c}{r.randrange(10)}" for _ in range(n)) for c, n in (("p", 51), ("q", 50))]
+    assert all(len(p) < 160 for p in short)
+    rows = []
+    for i in range(40):
+        own = [" ".join(f"w{r.randrange(10 ** 6)}" for _ in range(40)) for _ in range(2)]
+        rows.append((i, f"{own[0]} {short[i % 2] if i < 8 else 'none'} {own[1]}"))
+    rows += [(50, rows[0][1].replace(" ", "\n", 60) + " end"), (51, None), (52, "")]
+    out = {x.doc_id: x.text for x in corpus_pipeline.suffix_array_dedup(spark, docs(spark, rows).repartition(3), str(tmp_path)).collect()}
+    assert len(out) == len(rows)
+    for i, text in rows:
+        if i in (2, 4, 6):
+            assert out[i] == text.replace(short[0], "")
+        elif i in (0, 50):  # all words of the one are in the other
+            assert out[i].split() == (["end"] if i else [])
+        else:
+            assert out[i] == (text or "")
+
+
 def test_empty(spark, tmp_path):
     assert corpus_pipeline.run(spark, written(docs(spark, []), tmp_path)).count() == 0

@@ -37,11 +37,15 @@ def _best_params(cvm) -> str:
     return ", ".join(vals)
 
 
-def _cv_rows(name: str, cvm, metric: str) -> list[tuple]:
+def _cv_rows(name: str, cvm, metric: str, grid: dict) -> list[tuple]:
+    """A row for every combination of ``grid``; those merged into one fit have its value."""
     rows = []
+    sizes = models.node_sizes(grid) if "leaf" in grid else {}
     for pm, m in zip(cvm.getEstimatorParamMaps(), cvm.avgMetrics):
-        p = ", ".join(f"{k.name}={v}" for k, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((name, p, f"cv_{metric}", m))
+        fitted = {k.name: v for k, v in pm.items()}
+        p = ", ".join(f"{k}={v}" for k, v in sorted(fitted.items()))
+        merged = [f"{p}, split={a}, leaf={b}" for a, b in sizes.get(fitted.get("minInstancesPerNode"), [])]
+        rows += [(name, q, f"cv_{metric}", m) for q in merged or [p]]
     return rows
 
 
@@ -50,24 +54,20 @@ def _test_rows(name: str, params: str, pred: DataFrame) -> list[tuple]:
     return [(name, params, "test_accuracy", m["accuracy"]), (name, params, "test_f1", m["f1"])]
 
 
-def cv_rf_f1(spark: SparkSession, ts: DataFrame, grid=models.QUICK_RF_F1, folds: int = 5) -> DataFrame:
+def cv_rf_f1(spark: SparkSession, ts: DataFrame, grid=models.REFERENCE_RF_F1, folds: int = 5) -> DataFrame:
     """M5: forest grid with balanced class weights, k-fold CV on F1 of class 1."""
     cvm, pred, _ = models.cv_classifier(ts, models.rf_classifier(), grid, folds, "f1", weighted=True)
-    return _report(spark, _cv_rows("rf_f1", cvm, "f1") + _test_rows("rf_f1", _best_params(cvm), pred))
+    return _report(spark, _cv_rows("rf_f1", cvm, "f1", grid) + _test_rows("rf_f1", _best_params(cvm), pred))
 
 
-def cv_rf_accuracy(spark: SparkSession, ts: DataFrame, grid=models.QUICK_RF_ACC, folds: int = 3) -> DataFrame:
+def cv_rf_accuracy(spark: SparkSession, ts: DataFrame, grid=models.REFERENCE_RF_ACC, folds: int = 3) -> DataFrame:
     """M6: forest grid on accuracy; class weighting on/off is a grid dimension (one CV per setting)."""
-    rows = []
-    spec = {k: v for k, v in grid.items() if k not in ("weighted", "leaf")}
-    if "leaf" in grid:  # min_samples_leaf and min_samples_split both bound the node size
-        spec["minInstancesPerNode"] = sorted({max(a, b) for a in grid.get("minInstancesPerNode", [1])
-                                              for b in grid["leaf"]})
+    rows: list[tuple] = []
     best = None
     for weighted in grid.get("weighted", [False]):
-        cvm, pred, _ = models.cv_classifier(ts, models.rf_classifier(), spec, folds, "accuracy", weighted=weighted)
+        cvm, pred, _ = models.cv_classifier(ts, models.rf_classifier(), models.fitted_grid(grid), folds, "accuracy", weighted=weighted)
         tag = f"weighted={weighted}"
-        rows += [(n, f"{tag}, {p}", k, v) for n, p, k, v in _cv_rows("rf_accuracy", cvm, "accuracy")]
+        rows += [(n, f"{tag}, {p}", k, v) for n, p, k, v in _cv_rows("rf_accuracy", cvm, "accuracy", grid)]
         score_ = max(cvm.avgMetrics)
         if best is None or score_ > best[0]:
             best = (score_, f"{tag}, {_best_params(cvm)}", pred)
@@ -75,10 +75,10 @@ def cv_rf_accuracy(spark: SparkSession, ts: DataFrame, grid=models.QUICK_RF_ACC,
     return _report(spark, rows)
 
 
-def cv_gbt_accuracy(spark: SparkSession, ts: DataFrame, grid=models.QUICK_GBT_ACC, folds: int = 3) -> DataFrame:
+def cv_gbt_accuracy(spark: SparkSession, ts: DataFrame, grid=models.REFERENCE_GBT_ACC, folds: int = 3) -> DataFrame:
     """M7: boosted-tree grid (iterations, depth, step, row and column sampling) on accuracy."""
     cvm, pred, _ = models.cv_classifier(ts, models.gbt_classifier(), grid, folds, "accuracy", weighted=False)
-    return _report(spark, _cv_rows("gbt_accuracy", cvm, "accuracy") + _test_rows("gbt_accuracy", _best_params(cvm), pred))
+    return _report(spark, _cv_rows("gbt_accuracy", cvm, "accuracy", grid) + _test_rows("gbt_accuracy", _best_params(cvm), pred))
 
 
 def _train_test(ts: DataFrame, label: str, stratified: bool, seed: int):
@@ -139,7 +139,7 @@ def feature_importances(spark: SparkSession, ts: DataFrame, trees: int = 100, de
 
 
 def player_model(spark: SparkSession, data: DataFrame, target: str, features: list[str], exposure: str,
-                 grid=models.QUICK_PLAYER, folds: int = 3, name: str = "player") -> DataFrame:
+                 grid=models.REFERENCE_PLAYER, folds: int = 3, name: str = "player") -> DataFrame:
     """Forest regressor grid with k-fold CV on MSE; test MAE and CV RMSE (= sqrt best MSE)."""
     d = prep.materialize(clean.finite_only(data))
     d = clean.require_columns(d, [target] + features)
@@ -151,12 +151,12 @@ def player_model(spark: SparkSession, data: DataFrame, target: str, features: li
     train = prep.materialize(models.with_folds(train, folds, key="_key"))
     est = models.RandomForestRegressor(featuresCol="features", labelCol="label", seed=42, maxBins=64,
                                        **models.TREE_SPEED)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=models._grid(est, grid),
+    cv = CrossValidator(estimator=est, estimatorParamMaps=models._grid(est, models.fitted_grid(grid)),
                         evaluator=RegressionEvaluator(metricName="mse"), foldCol="fold", numFolds=folds,
                         parallelism=4, seed=42)
     cvm = cv.fit(train)
     pred = cvm.transform(test)
-    rows = _cv_rows(name, cvm, "mse")
+    rows = _cv_rows(name, cvm, "mse", grid)
     m = metrics.regression_metrics(pred, "label", "prediction").first()
     best = _best_params(cvm)
     rows += [(name, best, "test_mae", m["mae"]), (name, best, "cv_rmse", math.sqrt(min(cvm.avgMetrics)))]

@@ -3,8 +3,7 @@
 Training is distributed by Spark ML (tree learners aggregate split statistics
 across partitions); ``CrossValidator.parallelism`` runs grid points as
 concurrent jobs. Folds come from a hash of the id (``fold`` column), so they are
-stable under retries. The reference grids are kept as ``REFERENCE_*``; queries
-use the ``QUICK_*`` grids of the same shape unless asked otherwise.
+stable under retries. All queries search the whole grids, ``REFERENCE_*``.
 """
 
 from __future__ import annotations
@@ -26,13 +25,8 @@ REFERENCE_RF_ACC = {"numTrees": [100, 200], "maxDepth": [10, 20, MAX_DEPTH_CAP],
                     "leaf": [1, 3], "weighted": [True, False]}
 REFERENCE_GBT_ACC = {"maxIter": [100, 200], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1],
                      "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.8", "all"]}
-REFERENCE_PLAYER = {"numTrees": [50, 100], "maxDepth": [MAX_DEPTH_CAP, 10, 20], "minInstancesPerNode": [1, 3]}
-
-QUICK_RF_F1 = {"numTrees": [20], "maxDepth": [5, 10], "minInstancesPerNode": [1]}
-QUICK_RF_ACC = {"numTrees": [20], "maxDepth": [5], "minInstancesPerNode": [1, 3], "leaf": [1], "weighted": [True, False]}
-QUICK_GBT_ACC = {"maxIter": [10], "maxDepth": [3], "stepSize": [0.1],
-                 "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["all"]}
-QUICK_PLAYER = {"numTrees": [20], "maxDepth": [5, 10], "minInstancesPerNode": [1]}
+REFERENCE_PLAYER = {"numTrees": [50, 100], "maxDepth": [MAX_DEPTH_CAP, 10, 20], "minInstancesPerNode": [1, 3],
+                    "leaf": [1, 3]}
 
 
 def with_folds(df: DataFrame, k: int, key: str = "id", seed: int = 42) -> DataFrame:
@@ -46,6 +40,22 @@ def with_balanced_weight(df: DataFrame, label: str = "label") -> DataFrame:
     return df.join(F.broadcast(w), F.col(label) == F.col("_wl"), "left").drop("_wl")  # one row per class
 
 
+def node_sizes(grid: dict) -> dict[int, list[tuple[int, int]]]:
+    """Least node size -> the (split, leaf) settings it stands for: both bound the size of a node,
+    and Spark has one parameter for them."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    for split in grid.get("minInstancesPerNode", [1]):
+        for leaf in grid.get("leaf", [1]):
+            out.setdefault(max(split, leaf), []).append((split, leaf))
+    return dict(sorted(out.items()))
+
+
+def fitted_grid(grid: dict) -> dict:
+    """The settings that are fitted: settings of equal node size are fitted once."""
+    spec = {k: v for k, v in grid.items() if k not in ("weighted", "leaf")}
+    return spec | {"minInstancesPerNode": list(node_sizes(grid))} if "leaf" in grid else spec
+
+
 def _grid(est, spec: dict) -> list:
     b = ParamGridBuilder()
     for name, values in spec.items():

@@ -457,8 +457,7 @@ def q_unseen_labels(spark, sf_dir):
     # one venue is withheld from training
     known = ~F.col("venue").eqNullSafe("MACHINERY")
     vocab = score.vocabulary(s.filter((F.col("split") == "train") & known))
-    req = tables.testdata_requests(spark, sf_dir, s.filter(F.col("split") == "test"))
-    return score.unseen_labels(req, vocab)
+    return score.unseen_labels(tables.testdata_requests(spark, sf_dir, s), vocab)
 
 
 @query("conform_schema")

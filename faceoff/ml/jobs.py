@@ -131,13 +131,6 @@ def rf_baseline(spark: SparkSession, ts: DataFrame, trees: int = 100) -> DataFra
     return _report(spark, _test_rows("rf_baseline", f"numTrees={trees}", pred))
 
 
-def feature_importances(spark: SparkSession, ts: DataFrame, trees: int = 100, depth: int = 10, k: int = 15) -> DataFrame:
-    """Importances of a forest fitted on the train split, top ``k``."""
-    train, _, feats = _train_test(ts, "team1_won", True, 42)
-    m = models.rf_classifier().setNumTrees(trees).setMaxDepth(depth).fit(train)
-    return models.importances(spark, m, feats, k)
-
-
 def player_model(spark: SparkSession, data: DataFrame, target: str, features: list[str], exposure: str,
                  grid=models.REFERENCE_PLAYER, folds: int = 3, name: str = "player") -> DataFrame:
     """Forest regressor grid with k-fold CV on MSE; test MAE and CV RMSE (= sqrt best MSE)."""
@@ -165,18 +158,25 @@ def player_model(spark: SparkSession, data: DataFrame, target: str, features: li
 
 # --- scoring -----------------------------------------------------------------------------
 
-def scoring_setup(form: DataFrame, seed: int = 42):
-    """Pipeline fitted on the train split, and every contest as a request."""
-    s = prep.materialize(prep.split_random(form, seed=seed))
-    train = s.filter(F.col("split") == "train")
-    model = score.fit_scoring_model(train)
-    req = s.select("id", *schemas.REQUEST_STRINGS, *schemas.REQUEST_DOUBLES)
-    return model, req
+def served_model(form: DataFrame, grid=models.REFERENCE_RF_F1, folds: int = 5, seed: int = 42) -> PipelineModel:
+    """M5 + S6: the scoring pipeline with the best parameters of the forest grid (F1, balanced class
+    weights), fitted on the stratified train split that the grid was searched on."""
+    form = prep.materialize(form)
+    cvm, _, _ = models.cv_classifier(prep.training_set(form), models.rf_classifier(), grid, folds, "f1", weighted=True, seed=seed)
+    best = cvm.bestModel
+    train = prep.materialize(prep.split_stratified(form, "team1_won", seed=seed)).filter(F.col("split") == "train")
+    return score.fit_scoring_model(train, best.getOrDefault("numTrees"), best.getOrDefault("maxDepth"),
+                                   best.getOrDefault("minInstancesPerNode"), seed)
+
+
+def requests(form: DataFrame) -> DataFrame:
+    """Every contest as a request."""
+    return prep.materialize(form.select("id", *schemas.REQUEST_STRINGS, *schemas.REQUEST_DOUBLES))
 
 
-def model_roundtrip(spark: SparkSession, form: DataFrame) -> DataFrame:
+def model_roundtrip(spark: SparkSession, form: DataFrame, model: PipelineModel) -> DataFrame:
     """Save the fitted pipeline (encoders, column order, forest) and load it back; compare scores."""
-    model, req = scoring_setup(form)
+    req = requests(form)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/faceoff-model-{uuid.uuid4().hex[:12]}"
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
@@ -199,10 +199,10 @@ def write_requests_json(req: DataFrame, path: str, rows_per_file: int = 10000) -
     return path
 
 
-def score_stream(spark: SparkSession, form: DataFrame) -> DataFrame:
+def score_stream(spark: SparkSession, form: DataFrame, model: PipelineModel) -> DataFrame:
     """ST1: requests dropped as JSON files are scored by a streaming query (available-now trigger)."""
     from faceoff.streaming.score_stream import start_scoring_stream
-    model, req = scoring_setup(form)
+    req = requests(form)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/faceoff-stream-{uuid.uuid4().hex[:12]}"
     write_requests_json(req, f"{base}/in")
     q = start_scoring_stream(spark, f"{base}/in", model, f"{base}/out", f"{base}/ckpt")

@@ -15,6 +15,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faceoff import schemas
 from faceoff.ml import prep
 
 MAX_DEPTH_CAP = 30  # the deepest tree Spark builds; 'unlimited' maps here
@@ -83,6 +84,8 @@ def cv_classifier(ts: DataFrame, estimator, spec: dict, folds: int, metric: str,
         train = with_balanced_weight(train)
         estimator = estimator.setWeightCol("weight")
     train = prep.materialize(with_folds(train, folds))  # every fold and grid point re-reads it
+    codes = train.agg(*[F.max(c).alias(c) for c in schemas.CATEGORICAL if c in feats]).first()
+    estimator = estimator.setMaxBins(bins(1 + int(max([0, *(x for x in codes if x is not None)]))) if codes else bins(1))
     if metric == "f1":
         ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
     else:
@@ -99,6 +102,11 @@ def cv_classifier(ts: DataFrame, estimator, spec: dict, folds: int, metric: str,
 TREE_SPEED = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
+def bins(codes: int) -> int:
+    """maxBins that gives every one of so many codes its own bin."""
+    return max(64, codes + 1)
+
+
 def rf_classifier(seed: int = 42) -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, maxBins=64, **TREE_SPEED)
 

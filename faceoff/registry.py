@@ -553,9 +553,27 @@ def q_rf_baseline(spark, sf_dir):
     return jobs.rf_baseline(spark, train_table(spark, sf_dir), trees=FOREST_TREES)
 
 
+# One model per (session, sf_dir), saved as the original's training job does, and served by all scoring queries.
+_SERVED: dict[tuple[str, str], str] = {}
+
+
+def served_model(spark, sf_dir):
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from faceoff.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SERVED:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/faceoff-served-{uuid.uuid4().hex}"
+        jobs.served_model(form_table(spark, sf_dir)).write().save(path)
+        _SERVED[key] = path
+    return PipelineModel.load(_SERVED[key])
+
+
 @query("feature_importances")
 def q_feature_importances(spark, sf_dir):
-    return jobs.feature_importances(spark, train_table(spark, sf_dir), trees=FOREST_TREES)
+    return ml_score.importances(served_model(spark, sf_dir))
 
 
 def _player_inputs(spark, sf_dir):
@@ -582,8 +600,8 @@ def q_bowler_model(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    model, req = jobs.scoring_setup(form_table(spark, sf_dir))
-    return ml_score.score_batch(model, req), req
+    req = jobs.requests(form_table(spark, sf_dir))
+    return ml_score.score_batch(served_model(spark, sf_dir), req), req
 
 
 @query("score_batch")
@@ -615,12 +633,12 @@ def q_explanation_prompt(spark, sf_dir):
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
-    return jobs.model_roundtrip(spark, form_table(spark, sf_dir))
+    return jobs.model_roundtrip(spark, form_table(spark, sf_dir), served_model(spark, sf_dir))
 
 
 @query("score_stream")
 def q_score_stream(spark, sf_dir):
-    return jobs.score_stream(spark, form_table(spark, sf_dir))
+    return jobs.score_stream(spark, form_table(spark, sf_dir), served_model(spark, sf_dir))
 
 
 @query("scan_requests")

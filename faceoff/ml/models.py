@@ -84,8 +84,7 @@ def cv_classifier(ts: DataFrame, estimator, spec: dict, folds: int, metric: str,
         train = with_balanced_weight(train)
         estimator = estimator.setWeightCol("weight")
     train = prep.materialize(with_folds(train, folds))  # every fold and grid point re-reads it
-    codes = train.agg(*[F.max(c).alias(c) for c in schemas.CATEGORICAL if c in feats]).first()
-    estimator = estimator.setMaxBins(bins(1 + int(max([0, *(x for x in codes if x is not None)]))) if codes else bins(1))
+    estimator = estimator.setMaxBins(code_bins(train, feats))
     if metric == "f1":
         ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
     else:
@@ -107,6 +106,15 @@ def bins(codes: int) -> int:
     return max(64, codes + 1)
 
 
+def code_bins(train: DataFrame, features: list[str]) -> int:
+    """maxBins for the label-encoded columns among the features."""
+    coded = [c for c in schemas.CATEGORICAL if c in features]
+    if not coded:
+        return bins(1)
+    highest = train.agg(*[F.max(c).alias(c) for c in coded]).first()
+    return bins(1 + int(max([0, *(x for x in highest if x is not None)])))
+
+
 def rf_classifier(seed: int = 42) -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, maxBins=64, **TREE_SPEED)
 

@@ -547,7 +547,7 @@ RS = f"rs AS (SELECT *, CASE WHEN {hash_expr(42)} < {TEST_CUT} THEN 'test' ELSE
 ORACLES["unseen_labels"] = w(*FORM_CTES, FORM, RS,
     "vocab AS (" + " UNION ".join(f"SELECT '{c}' AS col, {c} AS value FROM rs WHERE split = 'train' AND venue IS DISTINCT FROM 'MACHINERY' AND {c} IS NOT NULL"
                                   for c in CATS) + ")",
-    "req AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS col, {c} AS value FROM rs WHERE split = 'test'"
+    "req AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS col, {c} AS value FROM rs"
                                     for c in CATS) + ")") + """SELECT id, col AS "column", value FROM req
 WHERE NOT EXISTS (SELECT 1 FROM vocab v WHERE v.col = req.col AND v.value = req.value)"""
 ORACLES["conform_schema"] = w(*FORM_CTES, FORM) + "SELECT id, " + ", ".join(CATS) + ", " + ", ".join(

@@ -22,3 +22,62 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(role_out) + length(text_out) + 14) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of an ASCII text in SQL, as an unsigned integer."""
+    bits = "list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(c, b))"
+    codes = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: {bits}, 4294967295::BIGINT), 4294967295)"
+
+
+def _framed(expr: str) -> str:
+    return f"CASE WHEN {expr} IS NULL THEN '-' ELSE strlen({expr}::VARCHAR) || ':' || {expr}::VARCHAR END"
+
+
+_ROW = " || ".join(_framed(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op11_merkle"] = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, sha256({_ROW} || {_framed('text')}) AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND ({crc32('doc_id::VARCHAR')}) % 3 = 0 THEN sha256({_ROW} || {_framed(_LOWERED)}) END AS tampered
+  FROM documents
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM l
+), low AS (
+  SELECT g, 0 AS lvl, pos, n, leaf AS v FROM p
+  UNION ALL
+  SELECT g, lvl + 1, pos >> 3, (n + 7) >> 3, sha256(string_agg(v, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY g, lvl, pos >> 3, n
+), tops AS (
+  SELECT g, v, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS lvl, pos, n, v FROM tops
+  UNION ALL
+  SELECT lvl + 1, pos >> 3, (n + 7) >> 3, sha256(string_agg(v, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY lvl, pos >> 3, n
+), path AS (
+  SELECT p.g, p.pos, s.lvl,
+    coalesce(string_agg(s.v, '' ORDER BY s.pos) FILTER (s.pos < p.pos >> (3 * s.lvl)), '') AS before,
+    coalesce(string_agg(s.v, '' ORDER BY s.pos) FILTER (s.pos > p.pos >> (3 * s.lvl)), '') AS after
+  FROM p JOIN low s ON s.g = p.g AND s.n > 1 AND s.pos >> 3 = p.pos >> (3 * s.lvl + 3) GROUP BY p.g, p.pos, s.lvl
+  UNION ALL
+  SELECT p.g, p.pos, 1000 + s.lvl,
+    coalesce(string_agg(s.v, '' ORDER BY s.pos) FILTER (s.pos < t.pos >> (3 * s.lvl)), ''),
+    coalesce(string_agg(s.v, '' ORDER BY s.pos) FILTER (s.pos > t.pos >> (3 * s.lvl)), '')
+  FROM p JOIN tops t USING (g) JOIN high s ON s.n > 1 AND s.pos >> 3 = t.pos >> (3 * s.lvl + 3) GROUP BY p.g, p.pos, s.lvl
+), steps AS (
+  SELECT *, row_number() OVER (PARTITION BY g, pos ORDER BY lvl) AS k FROM path
+), fold AS (
+  SELECT g, pos, 0 AS k, coalesce(tampered, leaf) AS acc FROM p
+  UNION ALL
+  SELECT f.g, f.pos, f.k + 1, sha256(s.before || f.acc || s.after) FROM fold f JOIN steps s ON s.g = f.g AND s.pos = f.pos AND s.k = f.k + 1
+), folded AS (
+  SELECT g, pos, max_by(acc, k) AS acc FROM fold GROUP BY g, pos
+), proofs AS (
+  SELECT g, pos, string_agg(before || after, '' ORDER BY k) AS proof FROM steps GROUP BY g, pos
+)
+SELECT p.doc_id, p.leaf, t.v AS subroot, r.v AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+  acc AS folded_root, acc = r.v AS verified
+FROM p JOIN tops t USING (g) JOIN folded f ON f.g = p.g AND f.pos = p.pos
+LEFT JOIN proofs x ON x.g = p.g AND x.pos = p.pos, (SELECT v FROM high WHERE n = 1) r
+"""

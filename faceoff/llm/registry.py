@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, chat, fingerprint, mixing, neardup, passages, quality, tokencount, toxicity, warc
+from faceoff.llm import bpe, chat, fingerprint, merkle, mixing, neardup, passages, quality, tokencount, toxicity, warc
 from faceoff.llm.common import table
 
 
@@ -101,6 +101,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and path of every document, and what a tampered document's path leads to."""
+    docs = table(spark, sf_dir, "documents")
+    row = lambda text: merkle.leaf_of(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampers = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    leaves = docs.select("doc_id", "lang", row(F.col("text")).alias("leaf"), F.when(tampers, row(lowered)).alias("tampered"))
+    out = merkle.manifest(leaves, "lang", "doc_id")
+    out = out.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_minhash": op2_minhash,
@@ -112,4 +125,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_revisits": op9_revisits,
     "op10_mixing": op10_mixing,
+    "op11_merkle": op11_merkle,
 }

@@ -81,3 +81,40 @@ SELECT p.doc_id, p.leaf, t.v AS subroot, r.v AS root, sha256(coalesce(proof, '')
 FROM p JOIN tops t USING (g) JOIN folded f ON f.g = p.g AND f.pos = p.pos
 LEFT JOIN proofs x ON x.g = p.g AND x.pos = p.pos, (SELECT v FROM high WHERE n = 1) r
 """
+
+ORACLES["op13_filter_audit"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d
+), known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * list_unique(ws) < 65 * len(ws) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN known USING (doc_id)
+), c AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT x AS filter_order FROM letters
+  UNION ALL
+  SELECT filter_order || x FROM o, letters WHERE NOT contains(filter_order, x)
+), steps AS (
+  SELECT filter_order, i AS step, filter_order[i] AS x, filter_order[:i - 1] AS earlier FROM o, range(1, 6) r(i) WHERE length(filter_order) = 5
+), s AS (
+  SELECT part, filter_order, step, x, n, good, toxic, fails = x AS alone, contains(fails, x) AS failing,
+    length(translate(fails, earlier, '')) < length(fails) AS gone
+  FROM c, steps
+), counted AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, x,
+    sum(n) FILTER (NOT gone AND NOT failing) AS kept, sum(n) FILTER (NOT gone AND failing) AS removed, sum(n) FILTER (gone AND failing) AS redundant,
+    sum(n) FILTER (alone) AS unique_fails, sum(good) FILTER (NOT gone AND failing) AS good_lost, sum(toxic) FILTER (NOT gone AND failing) AS toxic_lost
+  FROM s GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, step, """ + ", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in (
+    "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "sum(removed) OVER (PARTITION BY part, x)")).replace(
+    "AS sum(removed) OVER (PARTITION BY part, x)", "AS shapley") + "\nFROM counted\n"

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import bpe, chat, fingerprint, merkle, mixing, neardup, passages, quality, tokencount, toxicity, warc
+from faceoff.llm import audit, bpe, chat, fingerprint, merkle, mixing, neardup, passages, quality, tokencount, toxicity, warc
 from faceoff.llm.common import table
 
 
@@ -114,6 +114,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from every source, at every step of every order."""
+    docs = table(spark, sf_dir, "documents")
+    return audit.audit(audit.failures(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_minhash": op2_minhash,
@@ -126,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_revisits": op9_revisits,
     "op10_mixing": op10_mixing,
     "op11_merkle": op11_merkle,
+    "op13_filter_audit": op13_filter_audit,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faceoff.llm import audit, bpe, chat, fingerprint, merkle, mixing, neardup, passages, quality, tokencount, toxicity, warc
+from faceoff.llm import audit, bpe, chat, fingerprint, langid, merkle, mixing, neardup, passages, quality, tokencount, toxicity, warc
 from faceoff.llm.common import table
 
 
@@ -114,6 +114,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes from every source, at every step of every order."""
     docs = table(spark, sf_dir, "documents")
@@ -132,5 +140,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_revisits": op9_revisits,
     "op10_mixing": op10_mixing,
     "op11_merkle": op11_merkle,
+    "op12_langid": op12_langid,
     "op13_filter_audit": op13_filter_audit,
 }

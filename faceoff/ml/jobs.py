@@ -1,9 +1,9 @@
 """End-to-end model jobs returning small report tables (M5-M13, M17, M19, S6, ST1).
 
 Each job reads a training table produced by the feature plans, fits Spark ML
-models (distributed), evaluates on a hash split with the aggregate metrics of
+models (distributed) or searches a grid over a bounded sample (:mod:`faceoff.ml.search`), evaluates on a hash split with the aggregate metrics of
 :mod:`faceoff.ml.metrics`, and returns a tidy ``(model, params, metric, value)``
-table. Only fitted parameters and metric scalars pass through the driver.
+table. Only fitted parameters, the bounded sample and metric scalars pass through the driver.
 """
 
 from __future__ import annotations
@@ -12,13 +12,11 @@ import math
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faceoff import schemas
-from faceoff.ml import metrics, models, prep, score
+from faceoff.ml import metrics, models, prep, score, search
 from faceoff.operators import clean
 from faceoff.session import ensure_checkpoint_dir
 
@@ -29,23 +27,33 @@ def _report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame([(m, p, k, float(v) if v is not None else None) for m, p, k, v in rows], REPORT)
 
 
-def _best_params(cvm) -> str:
-    best = cvm.bestModel
-    names = ["numTrees", "maxDepth", "minInstancesPerNode", "maxIter", "stepSize", "subsamplingRate",
-             "featureSubsetStrategy"]
-    vals = [f"{n}={best.getOrDefault(n)}" for n in names if best.hasParam(n)]
-    return ", ".join(vals)
+def spark_cores(spark: SparkSession) -> int:
+    """How many tasks run at once: a small table is dealt over so many, or one core does all."""
+    return spark.sparkContext.defaultParallelism
 
 
-def _cv_rows(name: str, cvm, metric: str, grid: dict) -> list[tuple]:
-    """A row for every combination of ``grid``; those merged into one fit have its value."""
+def _params(setting: search.Setting, size: int, depth: int) -> dict:
+    """The names of the grid and their values for one combination."""
+    if setting.kind == "boosting":
+        share = "all" if setting.features_share == 1 else str(setting.features_share)
+        return {"featureSubsetStrategy": share, "maxDepth": setting.depth, "maxIter": size, "stepSize": setting.step,
+                "subsamplingRate": setting.rows_share}
+    return {"maxDepth": depth, "minInstancesPerNode": setting.least, "numTrees": size}
+
+
+def _named(setting: search.Setting, size: int, depth: int, grid: dict) -> str:
+    tag = f"weighted={setting.weighted}, " if "weighted" in grid else ""
+    return tag + ", ".join(f"{k}={v}" for k, v in _params(setting, size, depth).items())
+
+
+def _grid_rows(name: str, values: dict, settings: list, metric: str, grid: dict) -> list[tuple]:
+    """A row for every combination of ``grid``; those of one node size share a fit and its value."""
     rows = []
     sizes = models.node_sizes(grid) if "leaf" in grid else {}
-    for pm, m in zip(cvm.getEstimatorParamMaps(), cvm.avgMetrics):
-        fitted = {k.name: v for k, v in pm.items()}
-        p = ", ".join(f"{k}={v}" for k, v in sorted(fitted.items()))
-        merged = [f"{p}, split={a}, leaf={b}" for a, b in sizes.get(fitted.get("minInstancesPerNode"), [])]
-        rows += [(name, q, f"cv_{metric}", m) for q in merged or [p]]
+    for (k, size, depth), value in sorted(values.items()):
+        p = _named(settings[k], size, depth, grid)
+        merged = [f"{p}, split={a}, leaf={b}" for a, b in sizes.get(settings[k].least, [])]
+        rows += [(name, q, f"cv_{metric}", value) for q in merged or [p]]
     return rows
 
 
@@ -54,41 +62,46 @@ def _test_rows(name: str, params: str, pred: DataFrame) -> list[tuple]:
     return [(name, params, "test_accuracy", m["accuracy"]), (name, params, "test_f1", m["f1"])]
 
 
+def _split(ts: DataFrame, label: str, stratified: bool, seed: int):
+    """(train, test, features): imputed, written once."""
+    feats = prep.feature_columns(ts)
+    ts = prep.impute_features(ts, feats)
+    s = prep.materialize(prep.split_stratified(ts, label, seed=seed) if stratified else prep.split_random(ts, seed=seed))
+    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"), feats
+
+
+def _search_classifier(spark: SparkSession, name: str, ts: DataFrame, settings: list, sizes: list[int], depths: list[int],
+                       folds: int, metric: str, grid: dict, seed: int = 42) -> DataFrame:
+    train, test, feats = _split(ts, "team1_won", True, seed)
+    values, best, sample = search.search(train, feats, "team1_won", settings, sizes, depths, folds, metric, seed=seed)
+    setting, size, depth = settings[best[0]], best[1], best[2]
+    chosen = search.fit_chosen(spark, sample, feats, setting, size, depth, seed)
+    rows = _grid_rows(name, values, settings, metric, grid)
+    return _report(spark, rows + _test_rows(name, _named(setting, size, depth, grid), chosen.transform(test, "team1_won")))
+
+
 def cv_rf_f1(spark: SparkSession, ts: DataFrame, grid=models.REFERENCE_RF_F1, folds: int = 5) -> DataFrame:
     """M5: forest grid with balanced class weights, k-fold CV on F1 of class 1."""
-    cvm, pred, _ = models.cv_classifier(ts, models.rf_classifier(), grid, folds, "f1", weighted=True)
-    return _report(spark, _cv_rows("rf_f1", cvm, "f1", grid) + _test_rows("rf_f1", _best_params(cvm), pred))
+    settings = search.forest_settings("classifier", grid | {"weighted": [True]})
+    return _search_classifier(spark, "rf_f1", ts, settings, grid["numTrees"], grid["maxDepth"], folds, "f1", grid)
 
 
 def cv_rf_accuracy(spark: SparkSession, ts: DataFrame, grid=models.REFERENCE_RF_ACC, folds: int = 3) -> DataFrame:
-    """M6: forest grid on accuracy; class weighting on/off is a grid dimension (one CV per setting)."""
-    rows: list[tuple] = []
-    best = None
-    for weighted in grid.get("weighted", [False]):
-        cvm, pred, _ = models.cv_classifier(ts, models.rf_classifier(), models.fitted_grid(grid), folds, "accuracy", weighted=weighted)
-        tag = f"weighted={weighted}"
-        rows += [(n, f"{tag}, {p}", k, v) for n, p, k, v in _cv_rows("rf_accuracy", cvm, "accuracy", grid)]
-        score_ = max(cvm.avgMetrics)
-        if best is None or score_ > best[0]:
-            best = (score_, f"{tag}, {_best_params(cvm)}", pred)
-    rows += _test_rows("rf_accuracy", best[1], best[2])
-    return _report(spark, rows)
+    """M6: forest grid on accuracy; class weighting on/off is a grid dimension."""
+    settings = search.forest_settings("classifier", models.fitted_grid(grid) | {"weighted": grid.get("weighted", [False])})
+    return _search_classifier(spark, "rf_accuracy", ts, settings, grid["numTrees"], grid["maxDepth"], folds, "accuracy", grid)
 
 
 def cv_gbt_accuracy(spark: SparkSession, ts: DataFrame, grid=models.REFERENCE_GBT_ACC, folds: int = 3) -> DataFrame:
     """M7: boosted-tree grid (iterations, depth, step, row and column sampling) on accuracy."""
-    cvm, pred, _ = models.cv_classifier(ts, models.gbt_classifier(), grid, folds, "accuracy", weighted=False)
-    return _report(spark, _cv_rows("gbt_accuracy", cvm, "accuracy", grid) + _test_rows("gbt_accuracy", _best_params(cvm), pred))
+    return _search_classifier(spark, "gbt_accuracy", ts, search.boosting_settings(grid), grid["maxIter"], grid["maxDepth"], folds, "accuracy", grid)
 
 
 def _train_test(ts: DataFrame, label: str, stratified: bool, seed: int):
-    feats = prep.feature_columns(ts)
-    ts = prep.impute_features(ts, feats)
-    s = prep.split_stratified(ts, label, seed=seed) if stratified else prep.split_random(ts, seed=seed)
-    s = prep.materialize(s)
-    train = prep.assemble(s.filter(F.col("split") == "train"), feats, label)
-    test = prep.assemble(s.filter(F.col("split") == "test"), feats, label)
-    return train, test, feats
+    """(train, test, features) in vectors; ``train`` is dealt over all cores, which read it many times."""
+    train, test, feats = _split(ts, label, stratified, seed)
+    train = prep.materialize(train.repartition(spark_cores(ts.sparkSession)))
+    return prep.assemble(train, feats, label), prep.assemble(test, feats, label), feats
 
 
 def gbt_classifier(spark: SparkSession, ts: DataFrame, iters: int = 100, depth: int = 6, step: float = 0.3) -> DataFrame:
@@ -139,20 +152,16 @@ def player_model(spark: SparkSession, data: DataFrame, target: str, features: li
     d = clean.positive_exposure(d, (exposure,))
     d = d.withColumn("_key", F.concat_ws(":", "match_id", *[c for c in ("batter", "bowler") if c in d.columns]))
     s = prep.split_random(d, key="_key", seed=42)
-    train = prep.assemble(s.filter(F.col("split") == "train"), features, target)
-    test = prep.assemble(s.filter(F.col("split") == "test"), features, target)
-    train = prep.materialize(models.with_folds(train, folds, key="_key"))
-    est = models.RandomForestRegressor(featuresCol="features", labelCol="label", seed=42, maxBins=64,
-                                       **models.TREE_SPEED)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=models._grid(est, models.fitted_grid(grid)),
-                        evaluator=RegressionEvaluator(metricName="mse"), foldCol="fold", numFolds=folds,
-                        parallelism=4, seed=42)
-    cvm = cv.fit(train)
-    pred = cvm.transform(test)
-    rows = _cv_rows(name, cvm, "mse", grid)
+    s = prep.materialize(s)
+    train, test = (s.filter(F.col("split") == x) for x in ("train", "test"))
+    settings = search.forest_settings("regressor", models.fitted_grid(grid))
+    values, best, sample = search.search(train, features, target, settings, grid["numTrees"], grid["maxDepth"], folds, "mse", key="_key")
+    setting, size, depth = settings[best[0]], best[1], best[2]
+    pred = search.fit_chosen(spark, sample, features, setting, size, depth, 42).transform(test, target)
+    rows = _grid_rows(name, values, settings, "mse", grid)
     m = metrics.regression_metrics(pred, "label", "prediction").first()
-    best = _best_params(cvm)
-    rows += [(name, best, "test_mae", m["mae"]), (name, best, "cv_rmse", math.sqrt(min(cvm.avgMetrics)))]
+    params = _named(setting, size, depth, grid)
+    rows += [(name, params, "test_mae", m["mae"]), (name, params, "cv_rmse", math.sqrt(values[best]))]
     return _report(spark, rows)
 
 
@@ -162,11 +171,12 @@ def served_model(form: DataFrame, grid=models.REFERENCE_RF_F1, folds: int = 5, s
     """M5 + S6: the scoring pipeline with the best parameters of the forest grid (F1, balanced class
     weights), fitted on the stratified train split that the grid was searched on."""
     form = prep.materialize(form)
-    cvm, _, _ = models.cv_classifier(prep.training_set(form), models.rf_classifier(), grid, folds, "f1", weighted=True, seed=seed)
-    best = cvm.bestModel
+    train, _, feats = _split(prep.training_set(form), "team1_won", True, seed)
+    settings = search.forest_settings("classifier", grid | {"weighted": [True]})
+    _, (k, size, depth), _ = search.search(train, feats, "team1_won", settings, grid["numTrees"], grid["maxDepth"], folds, "f1", seed=seed)
     train = prep.materialize(prep.split_stratified(form, "team1_won", seed=seed)).filter(F.col("split") == "train")
-    return score.fit_scoring_model(train, best.getOrDefault("numTrees"), best.getOrDefault("maxDepth"),
-                                   best.getOrDefault("minInstancesPerNode"), seed)
+    train = prep.materialize(train.repartition(spark_cores(form.sparkSession)))
+    return score.fit_scoring_model(train, size, depth, settings[k].least, seed)
 
 
 def requests(form: DataFrame) -> DataFrame:

@@ -1,17 +1,14 @@
 """Model jobs on Spark ML.
 
-Training is distributed by Spark ML (tree learners aggregate split statistics
-across partitions); ``CrossValidator.parallelism`` runs grid points as
-concurrent jobs. Folds come from a hash of the id (``fold`` column), so they are
-stable under retries. All queries search the whole grids, ``REFERENCE_*``.
+Training is distributed by Spark ML: tree learners aggregate split statistics
+across partitions. All searches cover the whole grids, ``REFERENCE_*``, along nested
+paths (:mod:`faceoff.ml.search`).
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,10 +27,6 @@ REFERENCE_PLAYER = {"numTrees": [50, 100], "maxDepth": [MAX_DEPTH_CAP, 10, 20],
                     "leaf": [1, 3]}
 
 
-def with_folds(df: DataFrame, k: int, key: str = "id", seed: int = 42) -> DataFrame:
-    return df.withColumn("fold", (prep.hash_unit(key, seed + 1) % k).cast("int"))
-
-
 def with_balanced_weight(df: DataFrame, label: str = "label") -> DataFrame:
     """'balanced' class weights n/(k·n_c) as a ``weight`` column (per-class table joined back)."""
     from faceoff.operators import explore
@@ -57,44 +50,6 @@ def fitted_grid(grid: dict) -> dict:
     return spec | {"minInstancesPerNode": list(node_sizes(grid))} if "leaf" in grid else spec
 
 
-def _grid(est, spec: dict) -> list:
-    b = ParamGridBuilder()
-    for name, values in spec.items():
-        if est.hasParam(name):
-            b = b.addGrid(est.getParam(name), values)
-    return b.build()
-
-
-
-
-def _split_train_test(ts: DataFrame, label: str, stratified: bool, seed: int):
-    s = prep.split_stratified(ts, label, seed=seed) if stratified else prep.split_random(ts, seed=seed)
-    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-
-
-def cv_classifier(ts: DataFrame, estimator, spec: dict, folds: int, metric: str, weighted: bool,
-                  seed: int = 42, parallelism: int = 4):
-    """Grid search with k-fold CV on the train split; returns (cv model, test predictions)."""
-    feats = prep.feature_columns(ts)
-    ts = prep.impute_features(ts, feats)
-    train, test = _split_train_test(ts, "team1_won", True, seed)
-    train = prep.assemble(train, feats, "team1_won")
-    test = prep.assemble(test, feats, "team1_won")
-    if weighted:
-        train = with_balanced_weight(train)
-        estimator = estimator.setWeightCol("weight")
-    train = prep.materialize(with_folds(train, folds))  # every fold and grid point re-reads it
-    estimator = estimator.setMaxBins(code_bins(train, feats))
-    if metric == "f1":
-        ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
-    else:
-        ev = MulticlassClassificationEvaluator(metricName="accuracy")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=_grid(estimator, spec), evaluator=ev,
-                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
-    model = cv.fit(train)
-    return model, model.transform(test), feats
-
-
 # Performance settings for tree learners (no effect on the model): a larger
 # per-pass node budget means fewer passes over the data for deep trees, and the
 # node-id cache avoids re-walking each tree from the root at every level.
@@ -106,15 +61,6 @@ def bins(codes: int) -> int:
     return max(64, codes + 1)
 
 
-def code_bins(train: DataFrame, features: list[str]) -> int:
-    """maxBins for the label-encoded columns among the features."""
-    coded = [c for c in schemas.CATEGORICAL if c in features]
-    if not coded:
-        return bins(1)
-    highest = train.agg(*[F.max(c).alias(c) for c in coded]).first()
-    return bins(1 + int(max([0, *(x for x in highest if x is not None)])))
-
-
 def rf_classifier(seed: int = 42) -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, maxBins=64, **TREE_SPEED)
 
@@ -123,8 +69,6 @@ def gbt_classifier(seed: int = 42) -> GBTClassifier:
     return GBTClassifier(featuresCol="features", labelCol="label", seed=seed, maxBins=64, **TREE_SPEED)
 
 
-
-
 def importances(spark: SparkSession, model, features: list[str], k: int = 15) -> DataFrame:
     """Feature importances of a tree model, ranked (one value per feature)."""
     imp = model.featureImportances.toArray().tolist()
@@ -132,10 +76,6 @@ def importances(spark: SparkSession, model, features: list[str], k: int = 15) ->
     return df.orderBy(F.col("importance").desc(), "feature").limit(k)
 
 
-
-
-
-
 def rf_regressor(seed: int, depth: int = 15, trees: int = 100, min_inst: int = 3) -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol="features", labelCol="label", seed=seed, numTrees=trees,
                                  maxDepth=depth, minInstancesPerNode=min_inst, maxBins=64, **TREE_SPEED)

@@ -553,22 +553,12 @@ def q_rf_baseline(spark, sf_dir):
     return jobs.rf_baseline(spark, train_table(spark, sf_dir), trees=FOREST_TREES)
 
 
-# One model per (session, sf_dir), saved as the original's training job does, and served by all scoring queries.
-_SERVED: dict[tuple[str, str], str] = {}
-
-
 def served_model(spark, sf_dir):
-    import uuid
-
-    from pyspark.ml import PipelineModel
-
-    from faceoff.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SERVED:
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/faceoff-served-{uuid.uuid4().hex}"
-        jobs.served_model(form_table(spark, sf_dir)).write().save(path)
-        _SERVED[key] = path
-    return PipelineModel.load(_SERVED[key])
+    """The model that all scoring queries serve: stored under the fingerprint of its training table."""
+    from faceoff.ml import store
+    form = prep.materialize(form_table(spark, sf_dir))
+    key = store.fingerprint(form, "served", jobs.models.REFERENCE_RF_F1)
+    return store.obtain(spark, key, lambda: jobs.served_model(form))
 
 
 @query("feature_importances")

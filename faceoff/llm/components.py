@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faceoff.llm.common import written
+from faceoff.llm.common import discard, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -26,12 +26,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         while True:
             higher = up.select(F.col("c").alias("q"), F.col("p").alias("pp"))
             nxt = written(spark, up.join(higher, up.p == higher.q, "left").select("c", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved")), "up")
-            up = nxt.select("c", "p")
+            discard(up)
+            up = nxt
             if nxt.where("moved").isEmpty():
                 break
-        comp = written(spark, comp.join(up, comp.comp == up.c, "left").select("node", F.coalesce("p", "comp").alias("comp")), "comp")
+        up = up.drop("moved")
+        lower = written(spark, comp.join(up, comp.comp == up.c, "left").select("node", F.coalesce("p", "comp").alias("comp")), "comp")
         ux, uy = up.toDF("cx", "px"), up.toDF("cy", "py")
-        e = e.join(ux, e.x == ux.cx, "left").join(uy, e.y == uy.cy, "left")
-        e = e.select(F.coalesce("px", "x").alias("x"), F.coalesce("py", "y").alias("y"))
-        e = written(spark, e.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y").distinct(), "edges")
+        between = e.join(ux, e.x == ux.cx, "left").join(uy, e.y == uy.cy, "left")
+        between = between.select(F.coalesce("px", "x").alias("x"), F.coalesce("py", "y").alias("y"))
+        between = written(spark, between.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y").distinct(), "edges")
+        discard(comp, e, nxt)
+        comp, e = lower, between
+    discard(e)
     return comp

@@ -7,7 +7,8 @@ probabilities are moved together through the null space of the balancing constra
 three open documents move so that both sums stay the same and one of them is decided.
 Each block of documents of a source keeps at most two open ones; they are gathered into
 new blocks, level after level, until one block per source is left. Its last two are
-decided so that the source's words come nearest to the target (the landing).
+decided so that the source's words come nearest to the target (the landing). Within a block
+large documents are decided first, so the last two are small.
 
 A hot source is many blocks of about ``BLOCK`` documents, dealt out by a hash of the
 document. Only ids, sizes and probabilities are shuffled, not texts. What reaches the
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faceoff.llm.common import WORD, text_of, without, written
+from faceoff.llm.common import WORD, doc_key, text_of, without, written
 
 BLOCK = 2000
 MOST_REPEATS = 3
@@ -96,7 +97,8 @@ def landing(p: list[float], size: list[int], open_: list[int]) -> None:
 
 def _decide(last: bool):
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["mark", "doc_id", "size"], kind="stable", ignore_index=True)
+        # large documents first: what is still open at the end, and so the error of the landing, is small
+        pdf = pdf.sort_values(["size", "mark", "doc_id"], ascending=[False, True, True], kind="stable", ignore_index=True)
         p, size = pdf["p"].tolist(), pdf["size"].tolist()
         rng = random.Random(f"{SEED} {pdf['number'].iloc[0]} {pdf['block'].iloc[0]}")
         open_ = flight(p, size, rng)
@@ -148,12 +150,13 @@ def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them (dropped if it doesn't).
 
     A document is known by id, source and a hash of its text; repeated rows are told apart by number."""
-    key = ["doc_id", "source", "mark"]
-    chosen = mix(docs, text).groupBy(*key).agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
-    chosen = chosen.select(F.struct(*[F.col(k) for k in key]).alias("_key"), "_copies")
-    d = docs.withColumn("_key", F.struct(F.col("doc_id"), F.col("source"), F.xxhash64(text_of(docs, text)).alias("mark")))
-    d = d.join(chosen, d["_key"].eqNullSafe(chosen["_key"])).drop(chosen["_key"])
-    n = F.row_number().over(Window.partitionBy("_key").orderBy(text_of(d, text)))
-    d = d.withColumn("_copies", F.when(F.size("_copies") == 1, F.get("_copies", F.lit(0))).otherwise(F.get("_copies", n - 1)))
-    d = d.where(F.col("_copies") > 0)
-    return d.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_key", "_copies", "_n")
+    key = doc_key(docs, text) | {"_source": F.coalesce(F.col("source").cast("string"), F.lit("")), "_no_source": F.col("source").isNull()}
+    chosen = mix(docs, text)
+    chosen = chosen.select(F.col("mark").alias("_mark"), *[v.alias(k) for k, v in key.items() if k != "_mark"], "copies")
+    chosen = chosen.groupBy(*key).agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
+    chosen = written(docs.sparkSession, chosen, "mix-copies")
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in key.items()]).join(chosen, list(key))
+    # the shuffle of the join serves the window too
+    n = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("row")))
+    d = d.withColumn("_n", n).withColumn("_copies", F.get("_copies", F.col("_n") - 1)).where(F.col("_copies") > 0)
+    return d.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")

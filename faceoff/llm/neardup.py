@@ -17,13 +17,16 @@ Only components are asked for, so a bucket's pairs are not all formed. First eve
 compared with one pivot of its buckets, then with the pivots of all its buckets, then with
 pivots drawn at random; nodes that are already connected are left out. A large group of
 near copies is mostly one component by then. What is left are the pairs of one bucket
-between different components; a bucket's sets are packed into blocks of bounded size, and
-two blocks at a time are compared exactly inside a task, which gives out links only. So no
+between different components: a bucket's signatures are packed into blocks of bounded
+size, two blocks at a time meet in a task, and step 3 is done there for every pair in the first of
+the buckets it shares. The task gives out the nodes of surviving pairs, each once. Blocks of
+these nodes meet again with their full sets, step 3 tells the pairs, step 4 verifies them, and links come out. So no
 link between components is lost to a group's size, and no rows are made of its pairs.
 
 Pairs and buckets are joined and aggregated by Spark; hot buckets are aggregated before
-the shuffle and their joins may be split. Texts travel once, and only to fetch the sets
-of nodes that share a bucket. Intermediate tables are written to the shared folder.
+the shuffle, and their blocks are dealt by (bucket, pair of blocks). Texts travel once, and only to fetch the sets
+of nodes that share a bucket. Intermediate tables are written to the shared folder and
+deleted when their last reader is done.
 
 Cases: null text counts as empty; a text without words has an empty set and is linked with
 nothing (component_id is its own id); with fewer words than a shingle the whole sequence
@@ -43,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from faceoff.llm.common import small_arrow_batches, text_of, written
+from faceoff.llm.common import discard, doc_key, small_arrow_batches, text_of, written
 from faceoff.llm.components import components
 
 BANDS, ROWS = 28, 4
@@ -52,7 +55,9 @@ SIMILAR = 80
 BATCH, MISS = 16, 1e-7
 #: Rounds of pivots drawn at random, and the size of a block in the last comparison.
 MORE_PIVOTS = 2
-BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 400_000, 4096
+BLOCK, BLOCK_SHINGLES = 256, 400_000
+#: Pairs whose signatures a task compares at a time.
+PAIRS = 1 << 16
 #: Bytes of text that a task hashes at a time (a longer text by itself).
 PIECE = 1 << 22
 
@@ -172,57 +177,92 @@ def _survives(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(may_be_similar(*sigs))
 
 
+def _alike(x: bytes, y: bytes) -> bool:
+    """The exact test of two full sets."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if 100 * min(len(x), len(y)) < SIMILAR * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= SIMILAR * (len(x) + len(y) - both)
+
+
 @F.arrow_udf(BooleanType())
 def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(a.to_pylist(), b.to_pylist()):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(100 * both >= SIMILAR * (len(x) + len(y) - both))
-    return pa.array(out, pa.bool_())
-
-
-def links_between(x: list[tuple[bytes, bytes, np.ndarray]], y: list[tuple[bytes, bytes, np.ndarray]]) -> list[tuple[bytes, bytes]]:
-    """Links between nodes (digest, component, set) of two blocks in different components.
-
-    Shingles that both blocks hold are numbered; the sizes of all intersections are then
-    products of 0/1 matrices, ``COLUMNS`` shingles at a time. One link for each pair of
-    a node and a component is enough."""
-    nx, ny = np.array([len(s) for _, _, s in x]), np.array([len(s) for _, _, s in y])
-    if not len(x) or not len(y):
-        return []
-    fx, fy = np.concatenate([s for _, _, s in x]), np.concatenate([s for _, _, s in y])
-    common = np.intersect1d(fx, fy)
-    both = np.zeros((len(x), len(y)), np.float32)
-    px, py = np.searchsorted(common, fx), np.searchsorted(common, fy)
-    rx, ry = np.repeat(np.arange(len(x)), nx), np.repeat(np.arange(len(y)), ny)
-    inx = (px < len(common)) & (common[np.minimum(px, max(0, len(common) - 1))] == fx) if len(common) else np.zeros(len(fx), bool)
-    iny = (py < len(common)) & (common[np.minimum(py, max(0, len(common) - 1))] == fy) if len(common) else np.zeros(len(fy), bool)
-    px, rx, py, ry = px[inx], rx[inx], py[iny], ry[iny]
-    for lo in range(0, len(common), COLUMNS):
-        a, b = np.zeros((len(x), COLUMNS), np.float32), np.zeros((len(y), COLUMNS), np.float32)
-        u, v = (px >= lo) & (px < lo + COLUMNS), (py >= lo) & (py < lo + COLUMNS)
-        a[rx[u], px[u] - lo] = 1
-        b[ry[v], py[v] - lo] = 1
-        both += a @ b.T
-    both = np.rint(both).astype(np.int64)
-    linked = 100 * both >= SIMILAR * (nx[:, None] + ny - both)
+    return pa.array([_alike(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
+
+
+def candidates(x: list[dict], y: list[dict], band: int) -> np.ndarray:
+    """Pairs (i, j) of the nodes of two blocks of a bucket that are in different components, survive the
+    sequential test and share no band before this one."""
+    sx, sy = (np.frombuffer(b"".join(m["signature"] for m in z), np.uint32).reshape(-1, HASHES) for z in (x, y))
+    codes = {c: k for k, c in enumerate({m["comp"] for z in (x, y) for m in z})}
+    cx, cy = (np.array([codes[m["comp"]] for m in z], np.int64) for z in (x, y))
+    alive = np.argwhere(cx[:, None] != cy)
+    equal = np.zeros(len(alive), np.int64)
+    for k, needed in enumerate(NEEDED):
+        cut = slice(k * BATCH, (k + 1) * BATCH)
+        for lo in range(0, len(alive), PAIRS):
+            part = alive[lo : lo + PAIRS]
+            equal[lo : lo + PAIRS] += (sx[part[:, 0], cut] == sy[part[:, 1], cut]).sum(axis=1)
+        stay = equal >= needed
+        alive, equal = alive[stay], equal[stay]
+    if len(alive) and band:
+        same = (sx[alive[:, 0], : band * ROWS] == sy[alive[:, 1], : band * ROWS]).reshape(len(alive), band, ROWS)
+        alive = alive[~same.all(axis=2).any(axis=1)]
+    return alive
+
+
+def links_between(x: list[dict], y: list[dict], pairs: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """The linked ones of pairs (i, j), verified on full sets; one for each node and component is enough."""
     out, seen = [], set()
-    for i, j in zip(*(k.tolist() for k in np.nonzero(linked))):
-        key = (i, y[j][1])
-        if x[i][1] != y[j][1] and key not in seen:
+    for i, j in pairs.tolist():
+        key = (i, y[j]["comp"])
+        if key not in seen and _alike(x[i]["shingles"], y[j]["shingles"]):
             seen.add(key)
-            out.append((x[i][0], y[j][0]))
+            out.append((x[i]["node"], y[j]["node"]))
     return out
 
 
-def _between(batches):
-    """Task: pairs of blocks -> links between components."""
+def _meeting(batches):
+    """The rows of a task: two blocks (or one, to be compared with itself) and the bucket's band."""
     for batch in batches:
         for r in range(batch.num_rows):
-            x, y = ([(m["node"], m["comp"], np.frombuffer(m["shingles"], np.uint64)) for m in batch.column(c)[r].as_py()] for c in ("x", "y"))
-            got = links_between(x, y)
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in got], pa.binary()), pa.array([b for _, b in got], pa.binary())], ["a", "b"])
+            i, j, band = (batch.column(c)[r].as_py() for c in ("i", "j", "band"))
+            members = batch.column("members")[r].as_py()
+            x = [m for m in members if m["block"] == i]
+            y = x if i == j else [m for m in members if m["block"] == j]
+            pairs = candidates(x, y, band)
+            yield x, y, pairs[pairs[:, 0] < pairs[:, 1]] if i == j else pairs
+
+
+def _open_nodes(batches):
+    """Task: pairs of blocks of signatures -> the nodes of candidate pairs."""
+    for x, y, pairs in _meeting(batches):
+        nodes = {x[i]["node"] for i in set(pairs[:, 0].tolist())} | {y[j]["node"] for j in set(pairs[:, 1].tolist())}
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(nodes), pa.binary())], ["node"])
+
+
+def _between(batches):
+    """Task: pairs of blocks of signatures and sets -> links between components."""
+    for x, y, pairs in _meeting(batches):
+        got = links_between(x, y, pairs)
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in got], pa.binary()), pa.array([b for _, b in got], pa.binary())], ["a", "b"])
+
+
+def meetings(members: DataFrame, size: int, *values: DataFrame) -> DataFrame:
+    """Members (bucket, band, node, comp, n) of each bucket that has several components, with their
+    ``values`` (tables by node), in blocks of about ``size`` nodes and ``BLOCK_SHINGLES`` shingles; every two blocks of a
+    bucket and every block by itself are a row (bucket, i, j, band, members)."""
+    mixed = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("s"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.greatest(F.col("c") / size, F.col("s") / BLOCK_SHINGLES))).cast("int")
+    mixed = mixed.where("lo <> hi").select("bucket", blocks.alias("blocks"))
+    m = members.join(mixed, "bucket").withColumn("block", (F.xxhash64("node").bitwiseAND(F.lit((1 << 62) - 1)) % F.col("blocks")).cast("int"))
+    for v in values:
+        m = m.join(v, "node")
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = m.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    held = F.struct("block", "node", "comp", *[v.columns[1] for v in values])
+    return m.groupBy("bucket", "i", "j").agg(F.first("band").alias("band"), F.collect_list(held).alias("members"))
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -257,37 +297,45 @@ def near_duplicates(docs: DataFrame, size: int, text: str = "text") -> DataFrame
     digest of a set in it, null without words), component_id and kept."""
     spark = docs.sparkSession
     small_arrow_batches(spark)
-    mark = F.xxhash64(text_of(docs, text)).alias("mark")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs, text).alias("text"), mark)
+    key = doc_key(docs, text)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs, text).alias("text"), key["_mark"].alias("mark"))
     read = texts.mapInArrow(_sets(size), "doc_id long, mark long, n_shingles long, node binary, signature binary")
     read = written(spark, read, "signatures")
     nodes = (read.where("node IS NOT NULL").groupBy("node")
-             .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")))
+             .agg(F.min(F.struct("doc_id", "mark")).alias("one"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")))
     nodes = written(spark, nodes, "nodes")
+    slim = written(spark, read.drop("signature"), "documents")
+    discard(read)
 
-    band = lambda k: F.xxhash64(F.lit(k), F.substring("signature", k * ROWS * 4 + 1, ROWS * 4))
-    buckets = nodes.select("node", "n", F.explode(F.array(*[band(k) for k in range(BANDS)])).alias("bucket"))
+    band = lambda k: F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), F.substring("signature", k * ROWS * 4 + 1, ROWS * 4)).alias("bucket"))
+    buckets = nodes.select("node", "n", F.explode(F.array(*[band(k) for k in range(BANDS)])).alias("b")).select("node", "n", "b.*")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1").drop("c")
-    members = written(spark, buckets.join(shared, "bucket"), "buckets")  # bucket, node, n, pivot
+    members = written(spark, buckets.join(shared, "bucket"), "buckets")  # bucket, band, node, n, pivot
 
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "signature"), "node")
+    wanted = members.select("node").distinct().join(nodes.drop("n"), "node")
     wanted = written(spark, wanted, "wanted")
-    fetch = wanted.select("node", F.col("doc_id").alias("_id"))
-    sets = texts.join(fetch, texts.doc_id.eqNullSafe(fetch["_id"])).select("text", "node")
-    sets = sets.mapInArrow(_full_sets(size), "node binary, shingles binary").dropDuplicates(["node"])
+    discard(nodes)
+    names = list(key)
+    fetch = wanted.select("node", *[v.alias(k) for k, v in {
+        "_id": F.coalesce("one.doc_id", F.lit(0).cast("long")), "_no_id": F.col("one.doc_id").isNull(), "_mark": F.col("one.mark")}.items()])
+    # one shuffle of the texts: repeated rows go where the join has put them
+    sets = docs.select(text_of(docs, text).alias("text"), *[v.alias(k) for k, v in key.items()]).join(fetch, names).dropDuplicates(names)
+    sets = sets.select("text", "node").mapInArrow(_full_sets(size), "node binary, shingles binary")
     sets = written(spark, sets, "sets")
     signatures = wanted.select("node", "signature")
 
     def verify(pairs: DataFrame, what: str) -> DataFrame:
-        """The linked ones among pairs (a, b): signatures first, then full sets."""
+        """The linked ones among pairs (a, b): signatures first, then the full sets of survivors."""
         def both(p: DataFrame, t: DataFrame) -> DataFrame:
             value = t.columns[1]
             x, y = t.toDF("a", "va"), t.toDF("b", "vb")
             return p.join(x, "a").join(y, "b").select("a", "b", F.col("va"), F.col("vb")).withColumnsRenamed({"va": f"{value}_a", "vb": f"{value}_b"})
-        p = both(pairs, signatures)
-        p = written(spark, p.where(_survives("signature_a", "signature_b")).select("a", "b"), f"{what}-survivors")
-        p = both(p, sets)
-        return written(spark, p.where(_linked("shingles_a", "shingles_b")).select("a", "b"), f"{what}-links")
+        alive = written(spark, both(pairs, signatures).where(_survives("signature_a", "signature_b")).select("a", "b"), f"{what}-survivors")
+        needed = alive.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        needed = written(spark, sets.join(needed, "node", "left_semi"), f"{what}-sets")
+        out = written(spark, both(alive, needed).where(_linked("shingles_a", "shingles_b")).select("a", "b"), f"{what}-links")
+        discard(alive, needed)
+        return out
 
     # every node with the least of its pivots
     star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -303,29 +351,29 @@ def near_duplicates(docs: DataFrame, size: int, text: str = "text") -> DataFrame
     rest = with_comp(with_comp(star.distinct(), "a", "ca", comp), "b", "cb", comp).where("ca <> cb").select("a", "b")
     second = written(spark, rest.join(first, ["a", "b"], "left_anti"), "pairs-2")
     links = links.unionByName(verify(second, "pairs-2"))
+    discard(first, second, comp)
     comp = components(links)
     # further pivots, drawn anew in every round among the nodes of a bucket, for those not connected with them
-    open_ = with_comp(members, "node", "comp", comp)
     for number in range(MORE_PIVOTS):
+        open_ = with_comp(members, "node", "comp", comp)
         draw = F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node", "comp")).alias("draw")
         drawn = open_.groupBy("bucket").agg(draw, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
         near = open_.join(drawn.select("bucket", "draw"), "bucket").where(F.col("comp") != F.col("draw.comp"))
-        near = near.select(F.col("draw.node").alias("a"), F.col("node").alias("b")).distinct()
-        links = links.unionByName(verify(written(spark, near, f"pairs-3-{number}"), f"pairs-3-{number}"))
+        near = written(spark, near.select(F.col("draw.node").alias("a"), F.col("node").alias("b")).distinct(), f"pairs-3-{number}")
+        links = links.unionByName(verify(near, f"pairs-3-{number}"))
+        discard(near, comp)
         comp = components(links)
-        open_ = with_comp(members, "node", "comp", comp)
-    # all other pairs of a bucket between different components, block against block
-    mixed = open_.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"), F.sum("n").alias("s"))
-    mixed = mixed.where("lo <> hi").select("bucket", F.greatest(F.lit(1), F.ceil(F.greatest(F.col("c") / BLOCK, F.col("s") / BLOCK_SHINGLES))).alias("blocks"))
-    m = open_.join(mixed, "bucket").withColumn("block", (F.xxhash64("node").bitwiseAND(F.lit((1 << 62) - 1)) % F.col("blocks")).cast("int"))
-    m = m.join(sets, "node").groupBy("bucket", "block").agg(F.collect_list(F.struct("node", "comp", "shingles")).alias("own"))
-    m = written(spark, m, "blocks")
-    x, y = m.toDF("bucket", "i", "x"), m.toDF("bucket", "j", "y")
-    found = x.join(y, "bucket").where("i <= j").select("x", "y").mapInArrow(_between, "a binary, b binary")
-    links = links.unionByName(written(spark, found.distinct(), "pairs-4-links"))
-    comp = written(spark, components(links), "components")
-
-    d = with_comp(read.select("doc_id", "mark", "n_shingles", "node"), "node", "comp", comp)
+    # all other pairs of a bucket between different components, block against block: signatures, then sets
+    open_ = written(spark, with_comp(members.drop("pivot"), "node", "comp", comp), "open")
+    discard(members, comp)
+    left = meetings(open_, BLOCK, signatures).mapInArrow(_open_nodes, "node binary").distinct()
+    left = written(spark, left, "open-nodes")
+    found = meetings(open_.join(left, "node", "left_semi"), BLOCK, signatures, sets.join(left, "node", "left_semi"))
+    found = written(spark, found.mapInArrow(_between, "a binary, b binary").distinct(), "pairs-4-links")
+    discard(open_, left, sets, wanted)
+    comp = components(links.unionByName(found))
+
+    d = with_comp(slim, "node", "comp", comp)
     least = written(spark, d.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")
     d = d.join(least, "comp", "left")
     d = d.withColumn("component_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
@@ -337,15 +385,14 @@ def keep_one(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
     smallest id stays (of equal ids one); documents without words all stay."""
     spark = docs.sparkSession
     found = written(spark, near_duplicates(docs, size, text), "components")
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
-    stay = found.where("component IS NOT NULL").groupBy("component").agg(F.min(first).alias("k")).select("k.doc_id", "k.mark")
-    stay = stay.unionByName(found.where("component IS NULL").select("doc_id", "mark").distinct())
-    stay = stay.select(F.struct("doc_id", "mark").alias("_k"))
-    d = docs.withColumn("_mark", F.xxhash64(text_of(docs, text)))
-    d = d.join(stay, F.struct(d["doc_id"].cast("long").alias("doc_id"), F.col("_mark").alias("mark")).eqNullSafe(F.col("_k")), "left_semi")
-    same = found.where("component IS NOT NULL").groupBy("doc_id", "mark").count().where("count > 1")
-    if not same.isEmpty():  # rows that are there more than once
-        blank = ~text_of(d, text).rlike(r"[^\x20\x09-\x0D]")
-        n = F.row_number().over(Window.partitionBy("doc_id", "_mark").orderBy("_mark"))
-        d = d.withColumn("_n", n).where((F.col("_n") == 1) | blank).drop("_n")
-    return d.drop("_mark")
+    key = doc_key(docs, text)
+    named = found.select("component", F.coalesce("doc_id", F.lit(0).cast("long")).alias("_id"), F.col("doc_id").isNull().alias("_no_id"), F.col("mark").alias("_mark"))
+    first = F.min(F.struct("_no_id", "_id", "_mark")).alias("k")
+    stay = named.where("component IS NOT NULL").groupBy("component").agg(first).select("k._id", "k._no_id", "k._mark", F.lit(True).alias("_one"))
+    stay = stay.unionByName(named.where("component IS NULL").select(*key).distinct().withColumn("_one", F.lit(False)))
+    stay = written(spark, stay, "stay")
+    discard(found)
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in key.items()]).join(stay, list(key))
+    # of repeated rows one stays; the shuffle of the join serves the window too
+    n = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("row")))
+    return d.withColumn("_n", n).where((F.col("_n") == 1) | ~F.col("_one")).select("row.*")

@@ -1,7 +1,7 @@
 import random
 import re
 
-from faceoff.llm import components, neardup, registry
+from faceoff.llm import common, components, neardup, registry
 from tests.llm.cases import ODD_TEXTS, docs, written
 
 
@@ -54,6 +54,49 @@ def test_query_equals_brute_force(spark, tmp_path):
     assert sorted(map(tuple, got)) == brute(rows, 4)
 
 
+def test_block_against_block(spark, monkeypatch):
+    """Without help from pivots: every link of a bucket is found between its blocks."""
+    rows = corpus(5, 9)
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    monkeypatch.setattr(neardup, "MORE_PIVOTS", 0)
+    monkeypatch.setattr(neardup, "PAIRS", 4)
+    got = neardup.near_duplicates(docs(spark, rows).repartition(3), 4).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == brute(rows, 4)
+
+
+def test_candidates_are_the_unlike_components_of_the_first_shared_band():
+    r = neardup.np.random.default_rng(5)
+    base = r.integers(0, 1 << 32, neardup.HASHES, dtype=neardup.np.uint32)
+    close, other = base.copy(), r.integers(0, 1 << 32, neardup.HASHES, dtype=neardup.np.uint32)
+    close[::20] += 1  # bands 0, 5, 10, ... differ
+    m = [{"node": bytes([k]), "comp": c, "signature": s.tobytes()} for k, (c, s) in enumerate([(b"a", base), (b"a", base), (b"b", close), (b"c", other)])]
+    assert neardup.candidates(m[:2], m[2:], 1).tolist() == [[0, 0], [1, 0]]
+    assert neardup.candidates(m[:2], m[2:], 2).tolist() == [] == neardup.candidates(m[:1], m[1:2], 0).tolist()
+    assert neardup.candidates([], m, 0).tolist() == []
+
+
+def test_long_texts_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PIECE", 2000)
+    r = random.Random(9)
+    long = " ".join(f"w{r.randrange(9000)}" for _ in range(4000))
+    rows = [(1, long), (2, long + " end"), (3, "short one two three four")]
+    null = [(None, f"null {k} " + " ".join(f"n{k}x{i}" for i in range(20))) for k in range(6)] + [(None, long.upper())]
+    got = neardup.near_duplicates(docs(spark, rows + null), 4).collect()
+    assert {r.component_id for r in got if r.n_shingles > 1000} == {1} and len(got) == 10
+    assert len({r.component for r in got}) == 8
+
+
+def test_nothing_is_left_behind_in_a_scope(spark):
+    import os
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    with common.scope():
+        assert neardup.keep_one(docs(spark, corpus(2, 5)), 4).count()
+        big = [d for d in set(os.listdir(folder)) - before if "-sets-" in d or "signatures" in d]
+        assert not big  # those go before the result is read
+    assert set(os.listdir(folder)) == before
+
+
 def test_edges(spark):
     df = docs(spark, [(5, "a b c"), (5, "a b c"), (3, "a b c"), (None, "a b c"), (None, "q"), (9, "")]).withColumnRenamed("lang", "node")
     assert sorted((str(r.doc_id), r.text) for r in neardup.keep_one(df, 5).collect()) == [("3", "a b c"), ("9", ""), ("None", "q")]

@@ -13,16 +13,21 @@ documents and are judged on the input. Method:
    occurs once ends here, without its bytes ever being moved. Slices with equal content
    repeat each other as a whole.
 3. What is left are different slices of one anchor, which may overlap in part: the ends of
-   repeated passages. Their bytes are dealt into shards by anchor, and each shard's
+   repeated passages. The strings of a slice are told apart by where the anchor lies in
+   them, in ``CELLS`` cells of neighbouring starts. All strings of a cell contain the same window, nearly as
+   long as they are, so they can only be equal to strings of a cell with an equal window. A cell without such a
+   partner ends here; of the others only the symbols before and after the window are kept, and one name stands for
+   the window. Cells are dealt into shards by the window, and each shard's
    suffix array is built by induced sorting: suffixes are classified, the substrings
    between leftmost smaller ones are sorted, recursively where they are equal, and the
-   array is induced from them. Permuted common prefixes of WIDTH or more are repeats.
-   An anchor with over ``CROWD`` different slices (a passage in very many contexts) is
-   not put into one shard: its strings are counted by their own hashes instead.
+   array is induced from them. Permuted common prefixes of a string's length are repeats.
+   A window with over ``CROWD`` cells (a passage in very many contexts) is too much for one shard: its cells
+   are halved, which adds symbols to the window and parts the crowd, until every part fits.
 4. The repeated starts of a document are gathered as ranges and cut out of its text.
 
 Documents are known by id and a hash of their text; the text travels twice, to cut
-slices and to cut the repeats. Intermediate tables are written to the shared folder.
+cells and to cut the repeats. Intermediate tables are written to the shared folder and deleted
+when their last reader is done.
 
 With ``words`` set, passages of that many words go as well, however short the words are:
 the same method runs over the words of a text, each one symbol, its hash, instead of its
@@ -43,14 +48,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faceoff.llm.common import small_arrow_batches, text_of, without, written
+from faceoff.llm.common import discard, small_arrow_batches, text_of, without, written
 from faceoff.llm.neardup import BASE, INVERSE, _mix, _powers
 from faceoff.llm.suffixes import repeated_starts
 
 WIDTH, GRAM = 400, 128
-#: Bytes of slices in a shard, about.
-SHARD = 2 << 20
-CROWD = 20_000
+#: Cells that the strings of a slice fall into, symbols in a shard (about), and the cells of one window in a shard.
+CELLS = 8
+SHARD = 1 << 19
+CROWD = 2_000
 #: Passages as the words of a text: that many words in a gram.
 WORD_GRAM = 16
 
@@ -79,10 +85,10 @@ def _least_ahead(h: np.ndarray, w: int) -> np.ndarray:
 
 
 def slices(raw: np.ndarray, width: int, size: int) -> tuple[np.ndarray, ...]:
-    """Slices of a text: hash of the anchor (of a gram of ``size``), first start, last start, hash of the content."""
+    """Slices of a text: hash of the anchor (of a gram of ``size``), first start, last start, hash of the content, place of the anchor."""
     n = len(raw) - width + 1
     if n <= 0:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.uint64, np.int64))
     hashes = _Hashes(raw)
     w = width - size + 1
     gram = hashes.of(np.arange(n + w - 1), size)
@@ -100,7 +106,7 @@ def slices(raw: np.ndarray, width: int, size: int) -> tuple[np.ndarray, ...]:
         at[bad] = cand[order[bad]]
     first = np.flatnonzero(np.diff(at, prepend=-1))
     last = np.append(first[1:], n) - 1
-    return gram[at[first]], first, last, hashes.of(first, last - first + width)
+    return gram[at[first]], first, last, hashes.of(first, last - first + width), at[first]
 
 
 def _word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +125,7 @@ def _symbols(text: str, words: bool) -> np.ndarray:
     return _Hashes(raw).of(start, end - start)
 
 
-SLICES = "doc_id long, mark long, anchor long, first int, last int, content long"
+SLICES = "doc_id long, mark long, anchor long, first int, last int, content long, at int"
 
 
 def _read(batches, width: int, gram: int, words: bool):
@@ -136,25 +142,65 @@ def _read(batches, width: int, gram: int, words: bool):
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id").take(pa.array(row)), part.column("mark").take(pa.array(row)),
                 pa.array(np.concatenate([g[0] for g in got]).view(np.int64)), pa.array(col(1, np.int32)), pa.array(col(2, np.int32)),
-                pa.array(np.concatenate([g[3] for g in got]).view(np.int64))], ["doc_id", "mark", "anchor", "first", "last", "content"])
+                pa.array(np.concatenate([g[3] for g in got]).view(np.int64)), pa.array(col(4, np.int32))],
+                ["doc_id", "mark", "anchor", "first", "last", "content", "at"])
 
 
-CUT = "doc_id long, mark long, anchor long, first int, last int, bytes binary"
+CUT = "doc_id long, mark long, first int, step int, window long, before binary, after binary"
 
 
-def _cut(batches, width: int, words: bool):
-    """Task: texts with a list of slices -> the slices with their bytes."""
+def cells(raw: np.ndarray, wanted: list[dict], width: int, step: int) -> list[tuple]:
+    """Cells (first start, hash of the window, symbols before the window, symbols after it) of slices of a text.
+
+    The strings of cell k begin ``k * step`` to ``(k + 1) * step - 1`` symbols before the anchor, as far as
+    the slice has them; their window is what all of these would have in common."""
+    hashes = _Hashes(raw)
+    first, last, at, anchor = (np.array([w[c] for w in wanted], np.int64) for c in ("first", "last", "at", "anchor"))
+    out = []
+    for k in range(CELLS):
+        begin, end = at - k * step, at - (k + 1) * step + 1 + width
+        lo, hi = np.maximum(first, at - (k + 1) * step + 1), np.minimum(last, begin)
+        some = np.flatnonzero(lo <= hi)
+        if len(some):
+            name = _mix(hashes.of(begin[some], width - step + 1) ^ _mix(anchor[some].view(np.uint64) + np.uint64(k))).view(np.int64)
+            for i, window in zip(some.tolist(), name.tolist()):
+                out.append((int(lo[i]), window, raw[lo[i] : begin[i]].tobytes(), raw[end[i] : hi[i] + width].tobytes()))
+    return out
+
+
+def _cut(batches, width: int, gram: int, words: bool):
+    """Task: texts with a list of slices -> the cells of the slices."""
+    step = -(-(width - gram + 1) // CELLS)
     for batch in batches:
         for lo in range(0, batch.num_rows, 50):
             part = batch.slice(lo, 50)
             rows = []
             for doc, mark, text, wanted in zip(*(part.column(c).to_pylist() for c in ("doc_id", "mark", "text", "wanted"))):
-                raw = _symbols(text, words)
-                rows += [(doc, mark, w["anchor"], w["first"], w["last"], raw[w["first"] : w["last"] + width].tobytes()) for w in wanted]
+                rows += [(doc, mark, first, step, *rest) for first, *rest in cells(_symbols(text, words), wanted, width, step)]
             if rows:
-                cols = list(zip(*rows))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "mark", "anchor", "first", "last", "bytes"])
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["doc_id", "mark", "first", "step", "window", "before", "after"])
+
+
+def halved(crowd: DataFrame, words: bool) -> DataFrame:
+    """The two halves of cells: strings that begin early share the end of what was before the window, the others the
+    beginning of what was after it; these symbols join the window."""
+    unit = 8 if words else 1
+    step, before, after = F.col("step"), F.octet_length("before") / unit, F.octet_length("after") / unit
+    half = F.ceil(step / 2).cast("int")
+    more = (step - half) * unit
+    size = lambda c: F.octet_length(c)
+    left = lambda c, n: F.substring(c, F.lit(1), n.cast("int"))
+    rest = lambda c, n: F.substring(c, (n + 1).cast("int"), size(c))
+    name = lambda side, added: F.xxhash64("window", F.lit(side), added)
+    early = crowd.where(before >= step - half).select(
+        "doc_id", "mark", "first", half.alias("step"), name(0, rest("before", size("before") - more)).alias("window"),
+        left("before", size("before") - more).alias("before"), left("after", F.least(size("after"), (half - 1) * unit)).alias("after"))
+    kept = F.least(size("before"), (step - 1 - half) * unit)
+    late = crowd.where(after >= half).select(
+        "doc_id", "mark", (F.col("first") + F.greatest(F.lit(0), half - (step - 1 - before))).cast("int").alias("first"), (step - half).alias("step"),
+        name(1, left("after", half * unit)).alias("window"), rest("before", size("before") - kept).alias("before"), rest("after", half * unit).alias("after"))
+    return early.unionByName(late)
 
 
 STARTS = "doc_id long, mark long, first int, last int"
@@ -170,68 +216,90 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
-def _shard(table: pa.Table, width: int, words: bool) -> pa.Table:
-    """Task: the slices of a shard -> ranges of starts that are repeated in it."""
-    data = [np.frombuffer(d, np.uint64 if words else np.uint8) for d in table.column("bytes").to_pylist()]
+def _shard(table: pa.Table, words: bool) -> pa.Table:
+    """Task: cells of one step -> ranges of starts that are repeated among them.
+
+    The text of the suffix array has a cell after the other: what is before its window, the window's
+    name in digits (symbols of their own), and what is after it."""
+    step = table.column("step")[0].as_py()
+    kind = np.uint64 if words else np.uint8
+    sides = [[np.frombuffer(d, kind) for d in table.column(c).to_pylist()] for c in ("before", "after")]
     alphabet = 257
     if words:
-        kinds, rank = np.unique(np.concatenate(data), return_inverse=True)
-        data, alphabet = np.split(rank, np.cumsum([len(d) for d in data])[:-1]), len(kinds) + 1
-    size = np.array([len(d) for d in data], np.int64)
-    at = np.concatenate([[0], np.cumsum(size + 1)])
-    t = np.zeros(at[-1], np.int64)  # 0 between slices
-    for a, d in zip(at.tolist(), data):
-        t[a : a + len(d)] = d
-        t[a : a + len(d)] += 1
-    hit = repeated_starts(t, alphabet, width)
+        kinds, rank = np.unique(np.concatenate(sides[0] + sides[1]), return_inverse=True)
+        parts = np.split(rank, np.cumsum([len(d) for d in sides[0] + sides[1]])[:-1])
+        sides, alphabet = [parts[: table.num_rows], parts[table.num_rows :]], len(kinds) + 1
+    names, number = np.unique(table.column("window").to_numpy(), return_inverse=True)
+    n_digits = max(1, -(-(len(names) - 1).bit_length() // 8))
+    digits = alphabet + ((number[:, None] >> (8 * np.arange(n_digits))) & 255)
+    size = [np.array([len(d) for d in side], np.int64) for side in sides]
+    at = np.concatenate([[0], np.cumsum(size[0] + size[1] + n_digits + 1)])
+    t = np.zeros(at[-1], np.int64)  # 0 between cells
+    for a, x, d, y in zip(at.tolist(), sides[0], digits, sides[1]):
+        a, b = a + len(x), a + len(x) + n_digits
+        t[a - len(x) : a] = x
+        t[a - len(x) : a] += 1
+        t[a:b] = d
+        t[b : b + len(y)] = y
+        t[b : b + len(y)] += 1
+    hit = repeated_starts(t, alphabet + 256, step - 1 + n_digits)
+    n_starts = size[0] - (step - 1) + size[1] + 1
     out = []
-    for a, doc, mark, first, last in zip(at.tolist(), *(table.column(c).to_pylist() for c in ("doc_id", "mark", "first", "last"))):
-        own = hit[a : a + last - first + 1]
+    for a, n, doc, mark, first in zip(at.tolist(), n_starts.tolist(), *(table.column(c).to_pylist() for c in ("doc_id", "mark", "first"))):
+        own = hit[a : a + n]
         if own.any():
             out += [(doc, mark, first + x, first + y) for x, y in _runs(own)]
     return _starts(out)
 
 
-def _strings(batches, width: int, words: bool):
-    """Task: slices -> the hash of every string in them."""
-    for batch in batches:
-        for doc, mark, anchor, first, last, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "anchor", "first", "last", "bytes"))):
-            raw = np.frombuffer(data, np.uint64 if words else np.uint8)
-            n = last - first + 1
-            h = _Hashes(raw).of(np.arange(n), width).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([doc] * n, pa.int64()), pa.array([mark] * n, pa.int64()), pa.array([anchor] * n, pa.int64()),
-                                              pa.array(np.arange(first, last + 1, dtype=np.int32)), pa.array(h)], ["doc_id", "mark", "anchor", "first", "string"])
+def _sorted_shards(found: DataFrame, words: bool) -> DataFrame:
+    """Repeated starts among cells that share windows, by suffix arrays of shards."""
+    symbols = found.agg(F.sum(2 * F.col("step"))).first()[0]
+    n_shards = max(1, -(-(symbols or 0) // SHARD))
+    in_shard = partial(_shard, words=words)
+    dealt = found.withColumn("shard", F.pmod(F.xxhash64("window"), F.lit(n_shards))).repartition(max(1, n_shards // 2), "shard", "step")
+    return dealt.groupBy("shard", "step").applyInArrow(lambda t: in_shard(t), STARTS)
+
+
+def shared_cells(found: DataFrame) -> DataFrame:
+    """Cells whose window is not the only one of its kind, with ``n``, the number of cells that have it."""
+    n = found.groupBy(F.col("window").alias("_w")).agg(F.count("*").alias("n")).where("n > 1")
+    return found.drop("n").join(n, F.col("window") == F.col("_w")).drop("_w")
 
 
 def repeated_ranges(texts: DataFrame, width: int, gram: int, words: bool = False) -> DataFrame:
     """Ranges of starts of repeated strings (doc_id, mark, first, last) of texts (doc_id, mark, text);
     starts and width count bytes or words."""
     spark = texts.sparkSession
-    read, cut_out, in_shard, strings_of = (partial(_read, width=width, gram=gram, words=words), partial(_cut, width=width, words=words),
-                                           partial(_shard, width=width, words=words), partial(_strings, width=width, words=words))
+    read, cut_out = partial(_read, width=width, gram=gram, words=words), partial(_cut, width=width, gram=gram, words=words)
     found = written(spark, texts.mapInArrow(read, SLICES), "slices")
     kinds = found.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "first")).alias("one"))
     kinds = written(spark, kinds, "kinds")
     anchors = kinds.groupBy("anchor").agg(F.sum("n").alias("all_n"), F.count("*").alias("n_kinds")).where("all_n > 1").drop("all_n")
     shared = written(spark, kinds.join(anchors, "anchor"), "shared")
     met = written(spark, found.join(shared, ["anchor", "content"]), "met")
-    whole = met.where("n > 1").select("doc_id", "mark", "first", "last")
+    discard(found, kinds, shared)
+    whole = written(spark, met.where("n > 1").select("doc_id", "mark", "first", "last"), "whole")
     # one slice of each content suffices to be compared with the others
     alone = met.where("n_kinds > 1").where(F.struct("doc_id", "mark", "first").eqNullSafe(F.col("one")))
-    wanted = alone.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("first", "last", "anchor"))).alias("wanted"))
+    wanted = alone.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("first", "last", "at", "anchor"))).alias("wanted"))
     wanted = wanted.select(F.struct("doc_id", "mark").alias("_k"), "wanted")
     cut = texts.join(wanted, F.struct(texts["doc_id"], texts["mark"]).eqNullSafe(F.col("_k"))).select("doc_id", "mark", "text", "wanted")
-    cut = written(spark, cut.mapInArrow(cut_out, CUT).join(anchors, "anchor"), "cut")
-    total = cut.agg(F.sum(F.length("bytes")).alias("b")).first()["b"] or 0
-    n_shards = max(1, -(-total // SHARD))
-    few = cut.where(F.col("n_kinds") <= CROWD).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards)))
-    few = few.repartition(max(1, n_shards), "shard")
-    partly = written(spark, few.groupBy("shard").applyInArrow(lambda t: in_shard(t), STARTS), "partly")
-    strings = cut.where(F.col("n_kinds") > CROWD).mapInArrow(strings_of, "doc_id long, mark long, anchor long, first int, string long")
-    strings = written(spark, strings, "strings")
-    twice = strings.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    crowded = strings.join(twice, ["anchor", "string"]).select("doc_id", "mark", "first", F.col("first").alias("last"))
-    return whole.unionByName(partly).unionByName(crowded)
+    cut = written(spark, cut.mapInArrow(cut_out, CUT), "cells")
+    discard(met)
+    out = whole
+    while True:
+        open_ = written(spark, shared_cells(cut), "open-cells")
+        discard(cut)
+        one = F.col("step") == 1  # the window is the string
+        out = out.unionByName(written(spark, open_.where(one).select("doc_id", "mark", "first", F.col("first").alias("last")), "strings"))
+        out = out.unionByName(written(spark, _sorted_shards(open_.where(~one & (F.col("n") <= CROWD)), words), "partly"))
+        crowd = open_.where(~one & (F.col("n") > CROWD))
+        if crowd.isEmpty():
+            discard(open_)
+            return out
+        cut = written(spark, halved(crowd, words), "halves")
+        discard(open_)
 
 
 def _byte_ranges(raw: bytes, ranges: list[dict], width: int, words: int | None) -> list[tuple[int, int]]:

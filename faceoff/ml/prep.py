@@ -6,14 +6,13 @@ is repartitioned or a task is retried, unlike ``randomSplit``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faceoff import schemas
 from faceoff.operators import clean, explore
+from faceoff.scratch import discard, materialize  # noqa: F401
 
 # Columns the classifier must not see (identifiers, date, leaking scores, label).
 NON_FEATURES = ["id", "date", "winner", "inning1_score", "inning2_score", "winning_score", "losing_score", "team1_won"]
@@ -65,26 +64,11 @@ def feature_columns(df: DataFrame, extra_drop=()) -> list[str]:
     return [c for c in df.columns if c not in drop]
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` once to the shared checkpoint folder (``spark.checkpoint.dir``).
-
-    Model fitting reads its input many times (indexers, imputers, each CV fold);
-    without this every pass would recompute the whole feature plan. The table is Parquet,
-    so later passes read only the columns they need, and it survives the loss of the
-    executors that computed it.
-    """
-    from faceoff.session import ensure_checkpoint_dir
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/faceoff-table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def impute_features(df: DataFrame, features: list[str]) -> DataFrame:
     """Exact global median for NULL/NaN features before fitting (Spark trees reject NaN)."""
     from faceoff.operators import clean
-    d = materialize(clean.finite_only(
-        df, [c for c in features if df.schema[c].dataType.simpleString() in ("double", "float")]))
-    return explore.median_impute(d, features)
+    return explore.median_impute(materialize(clean.finite_only(
+        df, [c for c in features if df.schema[c].dataType.simpleString() in ("double", "float")])), features)
 
 
 def assemble(df: DataFrame, features: list[str], label: str | None = None, out: str = "features") -> DataFrame:

@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from faceoff.scratch import materialize
 
 
 def _all_classes():
     """Window over an already grouped per-class table (k rows, k = number of labels)."""
     return Window.partitionBy()
 
+
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
 
@@ -64,24 +66,50 @@ def category_by_target(df: DataFrame, feature: str, target: str) -> DataFrame:
     return df.groupBy(feature, target).agg(F.count(F.lit(1)).alias("n"))
 
 
-def box_stats(df: DataFrame, features: list[str], target: str, exact: bool = True,
-              accuracy: int = 100000) -> DataFrame:
+def quantiles(values: DataFrame, groups: list[str], probabilities: list[float], value: str = "value") -> DataFrame:
+    """Exact quantiles of each group, interpolated between neighbouring ranks: ``groups``, ``n`` and ``q``, an
+    array in the order of ``probabilities``. NULL values don't count; groups may be NULL.
+
+    No task holds a group: equal values are counted, the counts are dealt into ranges of
+    (group, value), a prefix sum over the ranges and one inside each gives every value its ranks, and
+    the values at the wanted ranks are looked up.
+    """
+    keys = [f"_g{k}" for k in range(2 * len(groups))]
+    # two columns for each group, never null, so that all steps are plain equalities
+    named = [x for k, g in enumerate(groups) for x in (F.col(g).isNull().alias(keys[2 * k]), F.coalesce(F.col(g).cast("string"), F.lit("")).alias(keys[2 * k + 1]))]
+    kinds = {g: values.schema[g].dataType for g in groups}
+    counts = values.where(F.col(value).isNotNull()).select(*named, F.col(value).cast("double").alias("_x")).groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    ranges = materialize(counts.repartitionByRange(*[F.col(k) for k in keys], F.col("_x")).withColumn("_part", F.spark_partition_id()))
+    sums = ranges.groupBy(*keys, "_part").agg(F.sum("_c").alias("_s"))
+    order = Window.partitionBy(*keys).orderBy("_part")
+    sums = sums.withColumn("_before", F.sum("_s").over(order) - F.col("_s")).withColumn("_n", F.sum("_s").over(Window.partitionBy(*keys))).drop("_s")
+    inside = Window.partitionBy(*keys, "_part").orderBy("_x")
+    ranked = ranges.join(sums, [*keys, "_part"]).withColumn("_end", F.col("_before") + F.sum("_c").over(inside))
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("at")) for i, p in enumerate(probabilities)])
+    ranked = ranked.withColumn("_w", F.explode(wanted)).withColumn("_low", F.floor("_w.at")).withColumn("_high", F.ceil("_w.at"))
+    here = lambda rank: (F.col(rank) < F.col("_end")) & (F.col(rank) >= F.col("_end") - F.col("_c"))
+    found = ranked.where(here("_low") | here("_high")).groupBy(*keys, "_n", F.col("_w.i").alias("_i"), F.col("_w.at").alias("_at")).agg(
+        F.max(F.when(here("_low"), F.col("_x"))).alias("_a"), F.max(F.when(here("_high"), F.col("_x"))).alias("_b"))
+    share = F.col("_at") - F.floor("_at")
+    between = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.col("_a") * (1 - share) + F.col("_b") * share)
+    out = found.groupBy(*keys, "_n").agg(F.sort_array(F.collect_list(F.struct("_i", between.alias("q")))).alias("_q"))
+    back = [F.when(~F.col(keys[2 * k]), F.col(keys[2 * k + 1]).cast(kinds[g])).alias(g) for k, g in enumerate(groups)]
+    return out.select(*back, F.col("_n").alias("n"), F.transform("_q", lambda x: x["q"]).alias("q"))
+
+
+def box_stats(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Quartiles, 1.5·IQR whiskers and outlier count per (feature, target class).
 
-    Whiskers are the most extreme values inside the fences. ``exact`` uses the
-    exact percentile aggregate (memory grows with the number of distinct values
-    per group); ``exact=False`` uses ``percentile_approx`` with ``accuracy``.
+    Whiskers are the most extreme values inside the fences. Quartiles are exact (:func:`quantiles`).
     """
     long = df.selectExpr(target, _stack([(c, f"CAST({c} AS DOUBLE)") for c in features], "feature", "value"))
     long = long.filter(F.col("value").isNotNull())
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    pct = F.percentile(F.col("value"), probs) if exact else F.percentile_approx(F.col("value"), probs, accuracy)
-    q = long.groupBy("feature", target).agg(pct.alias("_q"))
-    q = q.select("feature", target, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    q = quantiles(long, ["feature", target], [0.25, 0.5, 0.75])
+    q = q.select(F.col("feature").alias("_f"), F.col(target).alias("_t"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                 F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     # q has one row per (feature, class): a bounded table; a shuffle join on so few keys would skew
-    j = long.join(F.broadcast(q), ["feature", target])
+    j = long.join(F.broadcast(q), (F.col("feature") == F.col("_f")) & F.col(target).eqNullSafe(F.col("_t")))
     lo, hi = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
     v = F.col("value")
     return j.groupBy("feature", target, "q1", "median", "q3", "iqr").agg(
@@ -92,16 +120,18 @@ def box_stats(df: DataFrame, features: list[str], target: str, exact: bool = Tru
     )
 
 
-def medians(df: DataFrame, columns: list[str], exact: bool = True) -> dict[str, float | None]:
-    """Global medians (one aggregate; the single result row comes to the driver)."""
-    agg = [(F.median(c) if exact else F.percentile_approx(c, 0.5, 100000)).alias(c) for c in columns]
-    row = df.agg(*agg).first()
-    return {c: row[c] for c in columns}
+def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    """Exact global medians, None for a column without values (a row a column comes to the driver)."""
+    if not columns:
+        return {}
+    long = df.selectExpr(_stack([(c, f"CAST({c} AS DOUBLE)") for c in columns], "feature", "value"))
+    found = {r["feature"]: r["q"][0] for r in quantiles(long, ["feature"], [0.5]).collect()}
+    return {c: found.get(c) for c in columns}
 
 
-def median_impute(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
+def median_impute(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fill NULLs of each column with the column's global median."""
-    med = medians(df, columns, exact)
+    med = medians(df, columns)
     fill = {c: float(v) for c, v in med.items() if v is not None}
     return df.fillna(fill) if fill else df
 

@@ -201,7 +201,9 @@ def team_last_n_runs(long_df: DataFrame, plays: DataFrame, n: int = schemas.LAST
     """
     latest = timeline.latest_n(long_df.select("team", "id", "date"), "team",
                                [F.col("date").desc(), F.col("id").desc()], n)
-    p = plays.filter(F.col("batter").isNotNull())
+    # only plays of those contests are summed: at most n contests a team
+    wanted = latest.select(F.col("id").alias("match_id")).distinct()
+    p = plays.filter(F.col("batter").isNotNull()).join(wanted, "match_id", "left_semi")
     if side == "both":
         runs = p.groupBy("match_id").agg(F.sum("batsman_runs").alias("_r"))
         j = latest.join(runs, latest.id == runs.match_id, "left")

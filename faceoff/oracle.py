@@ -9,6 +9,7 @@ shows up as a mismatch. Base tables are the pre-registered parquet views.
 from __future__ import annotations
 
 from faceoff import schemas
+from faceoff.functions import text
 
 CONTESTS = """contests AS (
   SELECT o.o_orderkey AS id,
@@ -223,7 +224,9 @@ ORACLES["contest_flags"] = w(*BASE) + """SELECT id,
   CASE WHEN toss_winner = winner THEN 1 ELSE 0 END AS toss_decides
 FROM contests"""
 ORACLES["home_side"] = w(*BASE) + \
-    "SELECT id, venue, team1, CASE WHEN contains(venue, team1) THEN 1 ELSE 0 END AS is_home_team FROM contests"
+    """SELECT id, venue, team1, CASE WHEN contains(venue, team1) THEN 1 ELSE 0 END AS is_home_team FROM (
+  SELECT id, venue, team1 FROM contests
+  UNION ALL SELECT -id, 'Park of ' || CASE id % 3 WHEN 0 THEN team1 WHEN 1 THEN team2 END || ' East', team1 FROM contests WHERE id % 11 < 4) x"""
 
 WL_CASE = """CASE WHEN winner IS NULL THEN NULL
        WHEN winner = team1 AND result = 'wickets' THEN {s2}
@@ -280,7 +283,11 @@ FROM plays WHERE bowler IS NOT NULL GROUP BY bowler"""
 PLAYER_MATCH = """SELECT match_id, batter, CAST(sum(batsman_runs) AS BIGINT) AS runs_scored, count(match_id) AS balls_faced
 FROM plays WHERE batter IS NOT NULL AND match_id IN (SELECT id FROM cleaned) GROUP BY match_id, batter"""
 ORACLES["player_match"] = w(*BASE_P, CLEANED) + PLAYER_MATCH
-ORACLES["positive_exposure"] = w(*BASE_P, CLEANED) + f"SELECT * FROM ({PLAYER_MATCH}) pm WHERE balls_faced > 0 AND batter % 5 <> 0"
+ORACLES["positive_exposure"] = w(*BASE_P, CLEANED) + f"""SELECT * FROM (
+  SELECT * FROM ({PLAYER_MATCH}) a
+  UNION ALL SELECT * REPLACE (0 AS balls_faced) FROM ({PLAYER_MATCH}) b WHERE batter % 5 = 0
+  UNION ALL SELECT * REPLACE (NULL AS balls_faced) FROM ({PLAYER_MATCH}) c WHERE batter % 5 = 0) pm
+WHERE balls_faced > 0"""
 ORACLES["innings_pivot"] = w(*BASE_P, INNINGS) + "SELECT * FROM ip"
 ORACLES["bowling_match"] = w(*BASE_P, BOWLING) + f"""SELECT match_id, team, runs_conceded, balls_bowled, extra_balls,
   legal_balls_bowled, {r6('CASE WHEN legal_balls_bowled <> 0 THEN runs_conceded * 6.0 / legal_balls_bowled END', 'economy_rate')}
@@ -288,8 +295,10 @@ FROM bw"""
 TMS_SELECT = f"""SELECT match_id, team, runs_scored, wickets_taken, runs_conceded, legal_balls_bowled,
   {r6('economy_rate', 'economy_rate')} FROM tms"""
 ORACLES["team_match_stats"] = w(*BASE_P, BOWLING, TMS) + TMS_SELECT
-ORACLES["finite_only"] = f"""SELECT * REPLACE (CASE WHEN match_id % 7 NOT IN (0, 1) THEN economy_rate END AS economy_rate)
-FROM ({ORACLES["team_match_stats"]}) t"""
+ORACLES["finite_only"] = f"""SELECT * REPLACE (CASE WHEN isfinite(economy_rate) THEN economy_rate END AS economy_rate) FROM (
+  SELECT * FROM ({ORACLES["team_match_stats"]}) t
+  UNION ALL SELECT * REPLACE (-match_id AS match_id, CASE match_id % 7 WHEN 0 THEN 'inf'::DOUBLE WHEN 1 THEN 'nan'::DOUBLE
+    WHEN 2 THEN '-inf'::DOUBLE ELSE economy_rate END AS economy_rate) FROM ({ORACLES["team_match_stats"]}) u WHERE match_id % 7 <= 3) z"""
 ORACLES["fill_defaults"] = w(*BASE_P, BOWLING, TMS) + f"""SELECT match_id, team, runs_scored, wickets_taken,
   runs_conceded, legal_balls_bowled, {r6('coalesce(economy_rate, 10.0)', 'economy_rate')} FROM tms"""
 ORACLES["batting_average"] = w(*BASE_P) + f"""SELECT batter,
@@ -541,8 +550,49 @@ def _violations() -> str:
     return "concat_ws(',', " + ", ".join(parts) + ")"
 
 
-ORACLES["validate_requests"] = w(*FORM_CTES, FORM) + f"""SELECT id, violations,
-  CASE WHEN violations = '' THEN 1 ELSE 0 END AS is_valid FROM (SELECT id, {_violations()} AS violations FROM form) z"""
+REQ = "req AS (SELECT id, " + ", ".join(CATS + REQ_DOUBLES) + " FROM form)"
+# more requests, each of which breaks rules
+_BAD = {"id": "-id", "venue": "CASE id % 12 WHEN 0 THEN NULL WHEN 1 THEN repeat('v', 101) WHEN 2 THEN '  ' ELSE venue END",
+        "team2": "CASE WHEN id % 12 IN (0, 3) THEN '' ELSE team2 END", "toss_decision": "CASE id % 12 WHEN 4 THEN 'bowl' ELSE toss_decision END",
+        "team1_win_rate_last_5": "CASE id % 12 WHEN 5 THEN 1.25 WHEN 6 THEN -0.5 ELSE team1_win_rate_last_5 END",
+        "team2_avg_runs_scored_last_5": "CASE WHEN id % 12 IN (6, 7) THEN -1.0 ELSE team2_avg_runs_scored_last_5 END",
+        "team2_avg_wickets_taken_last_5": "CASE id % 12 WHEN 8 THEN 10.5 WHEN 9 THEN -2.0 ELSE team2_avg_wickets_taken_last_5 END",
+        "team1_avg_economy_rate_last_5": "CASE id % 12 WHEN 10 THEN -0.1 ELSE team1_avg_economy_rate_last_5 END"}
+ALL_REQ = "allreq AS (SELECT * FROM req UNION ALL SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in _BAD.items()) + ") FROM req WHERE id % 5 = 0)"
+CHECKED = f"checked AS (SELECT *, {_violations()} AS violations FROM allreq)"
+ORACLES["validate_requests"] = w(*FORM_CTES, FORM, REQ, ALL_REQ, CHECKED) + \
+    "SELECT id, violations, CASE WHEN violations = '' THEN 1 ELSE 0 END AS is_valid FROM checked"
+
+# scores by recent form: requests of one venue have an unknown label
+_UNSEEN = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN coalesce({c} IN (SELECT {c} FROM req WHERE venue <> 'MACHINERY'), false) THEN NULL ELSE '{c}=' || coalesce({c}, '') END" for c in sorted(CATS)) + ")"
+_FORM_P = "round((team1_win_rate_last_5 + 0.5) / (team1_win_rate_last_5 + 0.5 + team2_win_rate_last_5 + 0.5), 4)"
+SCORED = f"""scored AS (SELECT *, CASE WHEN status = 'scored' THEN CAST(p >= 0.5 AS INTEGER) END AS predicted_winner_team1,
+    CASE WHEN status = 'scored' THEN p END AS prediction_probability_team1 FROM (
+  SELECT *, CASE WHEN violations <> '' THEN 'invalid' WHEN unseen <> '' THEN 'unseen_label' ELSE 'scored' END AS status,
+    CASE WHEN violations <> '' THEN violations WHEN unseen <> '' THEN unseen END AS reason FROM (
+    SELECT *, {_UNSEEN} AS unseen, {_FORM_P} AS p FROM checked) a) b)"""
+SCORED_CTES = [*FORM_CTES, FORM, REQ, ALL_REQ, CHECKED, SCORED]
+VIEW = """viewed AS (SELECT *, CASE predicted_winner_team1 WHEN 1 THEN team1 ELSE team2 END AS predicted_winner,
+    round(CASE predicted_winner_team1 WHEN 1 THEN p ELSE 1 - p END * 100, 2) AS win_probability FROM scored WHERE status = 'scored')"""
+ORACLES["score_status"] = w(*SCORED_CTES) + "SELECT id, status, reason, predicted_winner_team1, prediction_probability_team1 FROM scored"
+ORACLES["prediction_view_of_form"] = w(*SCORED_CTES, VIEW) + "SELECT id, team1, team2, predicted_winner, win_probability FROM viewed"
+ORACLES["predictions_json_of_form"] = w(*SCORED_CTES) + """SELECT id, CASE status WHEN 'scored'
+  THEN '{"predicted_winner_team1":' || predicted_winner_team1 || ',"prediction_probability_team1":' || prediction_probability_team1 || '}'
+  ELSE '{"status":"' || status || '","reason":"' || reason || '"}' END AS response FROM scored"""
+
+
+def _prompt_sql() -> str:
+    stats = ["win_rate_last_5", "avg_margin_last_5", "avg_runs_scored_last_5", "avg_wickets_taken_last_5", "avg_economy_rate_last_5"]
+    args = [*CATS, "team1", *[f"team1_{s}" for s in stats], "team2", *[f"team2_{s}" for s in stats], "predicted_winner", "win_probability"]
+    pieces = [x.replace("%%", "%").replace("'", "''") for x in text.PROMPT_TEMPLATE.split("%s")]
+    filled = [f"'{pieces[0]}'"]
+    for a, piece in zip(args, pieces[1:]):
+        filled += [f"coalesce(CAST({a} AS VARCHAR), 'None')", f"'{piece}'"]
+    return " || ".join(filled)
+
+
+ORACLES["explanation_prompt_of_form"] = w(*SCORED_CTES, VIEW) + f"SELECT id, {_prompt_sql()} AS prompt FROM viewed"
 RS = f"rs AS (SELECT *, CASE WHEN {hash_expr(42)} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split FROM form)"
 ORACLES["unseen_labels"] = w(*FORM_CTES, FORM, RS,
     "vocab AS (" + " UNION ".join(f"SELECT '{c}' AS col, {c} AS value FROM rs WHERE split = 'train' AND venue IS DISTINCT FROM 'MACHINERY' AND {c} IS NOT NULL"
@@ -618,3 +668,10 @@ UNION ALL SELECT 'player_match_stats', count(*), 4 FROM (SELECT DISTINCT match_i
   WHERE batter IS NOT NULL AND match_id IN (SELECT id FROM cleaned)) pm
 UNION ALL SELECT 'contest_momentum', count(*), 24 FROM cleaned
 UNION ALL SELECT 'contest_momentum_encoded', count(*), 24 FROM cleaned"""
+
+# What is read back from a written table is what was written.
+for _name, _same in {"team_stats": "team_career", "venue_stats": "venue_stats", "batter_stats": "batter_career", "bowler_stats": "bowler_career",
+                     "player_match_stats": "player_match", "contest_momentum": "contest_momentum"}.items():
+    ORACLES[f"stored_{_name}"] = ORACLES[_same]
+ORACLES["form_table_roundtrip"] = ORACLES["contest_form"]
+ORACLES["training_set_of_stored"] = ORACLES["training_set"]

@@ -118,7 +118,11 @@ def q_contest_flags(spark, sf_dir):
 
 @query("home_side")
 def q_home_side(spark, sf_dir):
-    return sides.home_side(contests(spark, sf_dir)).select("id", "venue", "team1", "is_home_team")
+    c = contests(spark, sf_dir)
+    # no stand-in venue is named after a team: more contests, of negative ids, are played at a side's ground
+    ground = F.concat(F.lit("Park of "), F.when(F.col("id") % 3 == 0, F.col("team1")).when(F.col("id") % 3 == 1, F.col("team2")), F.lit(" East"))
+    more = c.where(F.col("id") % 11 < 4).withColumns({"venue": ground, "id": -F.col("id")})
+    return sides.home_side(c.unionByName(more)).select("id", "venue", "team1", "is_home_team")
 
 
 @query("winning_losing_score")
@@ -157,9 +161,10 @@ def q_player_match(spark, sf_dir):
 @query("positive_exposure")
 def q_positive_exposure(spark, sf_dir):
     pm = aggregates.player_match(cleaned(spark, sf_dir), plays(spark, sf_dir))
-    # stand-in rows all have an exposure: every fifth batter of the input has none
-    pm = pm.withColumn("balls_faced", F.when(F.col("batter") % 5 == 0, 0).otherwise(F.col("balls_faced")))
-    return clean.positive_exposure(pm)
+    # stand-in rows all have an exposure: more rows without one are added
+    some = pm.where(F.col("batter") % 5 == 0)
+    return clean.positive_exposure(pm.unionByName(some.withColumn("balls_faced", F.lit(0).cast("long")))
+                                   .unionByName(some.withColumn("balls_faced", F.lit(None).cast("long"))))
 
 
 @query("innings_pivot")
@@ -180,9 +185,10 @@ def q_team_match_stats(spark, sf_dir):
 @query("finite_only")
 def q_finite_only(spark, sf_dir):
     t = aggregates.team_match_stats(plays(spark, sf_dir))
-    # the input holds infinite and undefined rates
-    odd = F.when(F.col("match_id") % 7 == 0, float("inf")).when(F.col("match_id") % 7 == 1, float("nan"))
-    return rounded(clean.finite_only(t.withColumn("economy_rate", F.coalesce(odd, F.col("economy_rate")))))
+    # more rows, of contests of negative ids, hold infinite and undefined rates
+    odd = F.when(F.col("match_id") % 7 == 0, float("inf")).when(F.col("match_id") % 7 == 1, float("nan")).when(F.col("match_id") % 7 == 2, float("-inf"))
+    more = t.where(F.col("match_id") % 7 <= 3).withColumns({"economy_rate": F.coalesce(odd, F.col("economy_rate")), "match_id": -F.col("match_id")})
+    return rounded(clean.finite_only(t.unionByName(more)))
 
 
 @query("fill_defaults")
@@ -444,10 +450,23 @@ def request_rows(spark, sf_dir):
     return tables.testdata_requests(spark, sf_dir, form_table(spark, sf_dir))
 
 
+def with_bad_requests(req: DataFrame) -> DataFrame:
+    """``req`` and more requests, of negative ids, that break a rule each (some of them several)."""
+    k = F.col("id") % 12
+    bad = {"venue": F.when(k == 0, None).when(k == 1, F.repeat(F.lit("v"), 101)).when(k == 2, "  ").otherwise(F.col("venue")),
+           "team2": F.when(k.isin(0, 3), "").otherwise(F.col("team2")),
+           "toss_decision": F.when(k == 4, "bowl").otherwise(F.col("toss_decision")),
+           "team1_win_rate_last_5": F.when(k == 5, 1.25).when(k == 6, -0.5).otherwise(F.col("team1_win_rate_last_5")),
+           "team2_avg_runs_scored_last_5": F.when(k.isin(6, 7), -1.0).otherwise(F.col("team2_avg_runs_scored_last_5")),
+           "team2_avg_wickets_taken_last_5": F.when(k == 8, 10.5).when(k == 9, -2.0).otherwise(F.col("team2_avg_wickets_taken_last_5")),
+           "team1_avg_economy_rate_last_5": F.when(k == 10, -0.1).otherwise(F.col("team1_avg_economy_rate_last_5")),
+           "id": -F.col("id")}
+    return req.unionByName(req.where(F.col("id") % 5 == 0).withColumns(bad))
+
+
 @query("validate_requests")
 def q_validate_requests(spark, sf_dir):
-    from faceoff.ml import score
-    return score.validate_requests(request_rows(spark, sf_dir)).select("id", "violations", "is_valid")
+    return ml_score.validate_requests(with_bad_requests(request_rows(spark, sf_dir))).select("id", "violations", "is_valid")
 
 
 @query("unseen_labels")
@@ -614,11 +633,43 @@ def q_predictions_json(spark, sf_dir):
 
 @query("explanation_prompt")
 def q_explanation_prompt(spark, sf_dir):
+    return _prompts(*_scored(spark, sf_dir))
+
+
+def _prompts(scored: DataFrame, req: DataFrame) -> DataFrame:
     from faceoff.functions import text
-    s, req = _scored(spark, sf_dir)
-    v = ml_score.prediction_view(s, req).select("id", "predicted_winner", "win_probability")
-    j = req.join(v, "id")
-    return j.select("id", text.explanation_prompt(F.col("predicted_winner"), F.col("win_probability")).alias("prompt"))
+    v = ml_score.prediction_view(scored, req).select("id", "predicted_winner", "win_probability")
+    return req.join(v, "id").select("id", text.explanation_prompt(F.col("predicted_winner"), F.col("win_probability")).alias("prompt"))
+
+
+# The same views over scores that need no model, so that their values can be checked.
+
+def _form_scored(spark, sf_dir):
+    """(scored, requests): requests, bad ones among them, scored by recent form; the labels of one venue are unknown."""
+    req = prep.materialize(with_bad_requests(request_rows(spark, sf_dir)))
+    vocab = ml_score.vocabulary(req.filter((F.col("id") > 0) & (F.col("venue") != "MACHINERY"))).collect()  # a row a label
+    labels = {c: sorted(r["value"] for r in vocab if r["column"] == c) for c in schemas.CATEGORICAL}
+    return ml_score.recent_form_scores(req, labels), req
+
+
+@query("score_status")
+def q_score_status(spark, sf_dir):
+    return _form_scored(spark, sf_dir)[0]
+
+
+@query("prediction_view_of_form")
+def q_prediction_view_of_form(spark, sf_dir):
+    return ml_score.prediction_view(*_form_scored(spark, sf_dir))
+
+
+@query("predictions_json_of_form")
+def q_predictions_json_of_form(spark, sf_dir):
+    return ml_score.predictions_json(_form_scored(spark, sf_dir)[0])
+
+
+@query("explanation_prompt_of_form")
+def q_explanation_prompt_of_form(spark, sf_dir):
+    return _prompts(*_form_scored(spark, sf_dir))
 
 
 @query("model_roundtrip")
@@ -649,8 +700,44 @@ def q_write_tables(spark, sf_dir):
            "batter_stats": aggregates.batter_career(p), "bowler_stats": aggregates.bowler_career(p),
            "player_match_stats": aggregates.player_match(c, p), "contest_momentum": mom,
            "contest_momentum_encoded": prep.label_encode(mom)}
-    paths = sinks.write_tables(spark, out)
-    return conform.table_profile({k: spark.read.parquet(v) for k, v in paths.items()})
+    return sinks.write_profiled(spark, out)[1]
+
+
+def _stored(name: str, make):
+    """A query that writes a result table, reads it again and returns what it read."""
+    @query(f"stored_{name}")
+    def q(spark, sf_dir):
+        from faceoff.sources import sinks
+        path = sinks.write_tables(spark, {name: make(cleaned(spark, sf_dir), plays(spark, sf_dir))})[name]
+        return rounded(spark.read.parquet(path))
+
+
+_stored("team_stats", lambda c, p: aggregates.team_career(c))
+_stored("venue_stats", lambda c, p: aggregates.venue_stats(c, p))
+_stored("batter_stats", lambda c, p: aggregates.batter_career(p))
+_stored("bowler_stats", lambda c, p: aggregates.bowler_career(p))
+_stored("player_match_stats", lambda c, p: aggregates.player_match(c, p))
+_stored("contest_momentum", lambda c, p: momentum.contest_momentum(c, cleaned=True))
+
+
+@query("form_table_roundtrip")
+def q_form_table_roundtrip(spark, sf_dir):
+    """The form table, written as a feature table and read again."""
+    return rounded(_stored_form(spark, sf_dir))
+
+
+@query("training_set_of_stored")
+def q_training_set_of_stored(spark, sf_dir):
+    """The training set made from the stored form table."""
+    return rounded(prep.training_set(_stored_form(spark, sf_dir)))
+
+
+def _stored_form(spark, sf_dir):
+    from faceoff.sources import features, sinks
+    form_ = form_table(spark, sf_dir)
+    path = features.write_features(form_, sinks.output_root(spark) + "/contest_form", partition_by=["season"],
+                                   fill={f"{s}_{k}": v for s in ("team1", "team2") for k, v in schemas.REQUEST_DEFAULTS.items()})
+    return features.read_features(spark, path, form_.columns, {c: "double" for c in schemas.REQUEST_DOUBLES})
 
 
 @query("safe_ratio")

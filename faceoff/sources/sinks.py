@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from faceoff.session import ensure_checkpoint_dir
+from faceoff.sources import conform
 
 
 def output_root(spark: SparkSession, root: str | None = None) -> str:
@@ -30,6 +31,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     return path
 
 
+def write_profiled(spark: SparkSession, tables: dict[str, DataFrame], root: str | None = None) -> tuple[dict[str, str], DataFrame]:
+    """S4 + S10: write each table; its path, and a profile (table, rows, columns) of what was written. The
+    profile reads no column, only the row counts in the footers of the files. (Counting by an
+    ``Observation`` of the write would save that too, but a session that has used one can't run the
+    forests of Spark ML any more: their tasks are then not serializable.)"""
+    paths = write_tables(spark, tables, root)
+    return paths, conform.table_profile({name: spark.read.parquet(path) for name, path in paths.items()})
+
+
 def write_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str | None = None,
                  fmt: str = "parquet") -> dict[str, str]:
     """Write each table (``season``-partitioned when it has that column)."""

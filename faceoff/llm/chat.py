@@ -16,7 +16,8 @@ becomes ``\\c``. So no text holds a mark, and reading back is exact.
 Cases: null text counts as empty, a null role as an empty role; a null conversation id or
 turn is a value of its own (first in order); events of the same ``seq`` are taken in the
 order regenerate, edit, delta and then by text; repeated delta rows append repeatedly; an
-unknown kind counts as a delta; empty tables give empty tables; other columns are ignored.
+unknown kind counts as a delta; of a table of whole messages every row is a message, those of an equal turn
+in the order of role and text; empty tables give empty tables; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,19 +44,24 @@ def unescape(text: Column, escapes=ESCAPES) -> Column:
 
 
 def events_of_turns(turns: DataFrame) -> DataFrame:
-    """The log of a table with one whole message a row (conv_id, turn, role, text)."""
-    return turns.select("conv_id", "turn", F.col("turn").alias("seq"), F.lit("delta").alias("kind"), "role", "text")
+    """The log of a table with one whole message a row (conv_id, turn, role, text). Rows of an equal
+    turn are messages of their own: ``part`` numbers them by role and text."""
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    alike = Window.partitionBy("conv_id", "turn").orderBy(blank("role"), blank("text"))
+    return turns.select("conv_id", "turn", F.row_number().over(alike).alias("part"), F.col("turn").alias("seq"), F.lit("delta").alias("kind"), "role", "text")
 
 
 def fold(events: DataFrame) -> DataFrame:
-    """Final messages (conv_id, turn, role, text) of a log (conv_id, turn, seq, kind, role, text)."""
+    """Final messages (conv_id, turn, part, role, text) of a log (conv_id, turn, seq, kind, role, text); with a
+    column ``part`` a turn may have several messages."""
     order = F.when(F.col("kind") == "regenerate", 0).when(F.col("kind") == "edit", 1).otherwise(2)
     event = F.struct("seq", order.alias("step"), F.coalesce("text", F.lit("")).alias("text"), "role")
-    e = events.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(event)).alias("log"))
+    events = events if "part" in events.columns else events.withColumn("part", F.lit(1))
+    e = events.groupBy("conv_id", "turn", "part").agg(F.sort_array(F.collect_list(event)).alias("log"))
     e = e.withColumn("start", F.array_max(F.transform("log", lambda x, i: F.when(x["step"] < 2, i).otherwise(0))))
     e = e.withColumn("log", F.expr("slice(log, start + 1, size(log))"))
     role = F.try_element_at(F.filter(F.transform("log", lambda x: x["role"]), lambda r: r.isNotNull()), F.lit(-1))
-    return e.select("conv_id", "turn", F.coalesce(role, F.lit("")).alias("role"),
+    return e.select("conv_id", "turn", "part", F.coalesce(role, F.lit("")).alias("role"),
                     F.array_join(F.transform("log", lambda x: x["text"]), "").alias("text"))
 
 
@@ -68,9 +74,9 @@ def render(messages: DataFrame) -> DataFrame:
     """
     head = F.concat(F.lit("### "), escape(F.col("role"), ROLE_ESCAPES), F.lit(": "))
     body = escape(F.col("text"))
-    m = messages.select("conv_id", "turn", F.concat(head, body, F.lit(END)).alias("piece"), F.length(head).alias("offset"),
+    m = messages.select("conv_id", "turn", "part", F.concat(head, body, F.lit(END)).alias("piece"), F.length(head).alias("offset"),
                         F.length(body).alias("length"), (F.col("role") == "assistant").alias("learned"))
-    before = Window.partitionBy("conv_id").orderBy("turn", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("conv_id").orderBy("turn", "part").rowsBetween(Window.unboundedPreceding, -1)
     m = m.withColumn("at", F.coalesce(F.sum(F.length("piece").cast("long")).over(before), F.lit(0)))
     turns = F.sort_array(F.collect_list(F.struct("at", "piece", "offset", "length", "learned")))
     m = m.groupBy("conv_id").agg(turns.alias("turns"))

@@ -1,8 +1,9 @@
 import hashlib
 
+import duckdb
 import pytest
 
-from faceoff.llm import chat, registry
+from faceoff.llm import chat, oracle, registry
 
 LOG = "conv_id long, turn long, seq long, kind string, role string, text string"
 TRICKY = [r"\### Assistant: </turn> ok", r"\h\t\b\c", "####", "######</turn></turn>", "\\", "", None, ": x: ", "### a: b</turn>\n### c: d", "é\U0001f600"]
@@ -45,6 +46,26 @@ def test_query_on_odd_rows(spark, tmp_path):
     assert len(got) == 4
 
 
+def test_rows_of_an_equal_turn_are_messages_of_their_own(spark, tmp_path):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, None, "z"), (1, 1, "assistant", None), (1, 1, "assistant", "q"),
+            (1, None, "user", "first"), (None, 0, "assistant", "x")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in registry.op1_chat_format(spark, str(tmp_path)).collect()}
+    h = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert got[1].n_turns == 7 and got[1].loss_sha256 == h("q")
+    assert got[1].turns_sha256 == h("user\nfirst\n\nz\nuser\na\nuser\na\nuser\nb\nassistant\n\nassistant\nq\n")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    sql = {r[0]: r for r in con.execute(oracle.ORACLES["op1_chat_format"]).fetchall()}
+    assert {k: tuple(r) for k, r in got.items()} == sql
+
+
+def test_a_very_long_conversation(spark):
+    log = [(1, k // 3, k, "delta", "assistant" if k // 3 % 2 else "user", f"{k} ### " * 20) for k in range(3000)]
+    r = chat.read_back(chat.format_chats(spark.createDataFrame(log, LOG).repartition(4))).collect()[0]
+    assert r.n_turns == 1000 and [m.text for m in r.messages] == ["".join(t for *_, t in log[i:i + 3]) for i in range(0, 3000, 3)]
+
+
 @pytest.mark.parametrize("n", [0])
 def test_empty(spark, tmp_path, n):
     df = spark.createDataFrame([], LOG)

@@ -6,7 +6,7 @@ for good and for bad documents how often each rule votes which way. A document's
 probability of being good follows from its votes, and replaces the filter that every
 rule must pass.
 
-Only DataFrame functions are used: texts are read once, in place, and the only shuffle is
+Only DataFrame functions are used: texts are read in place (once if they are not wanted back), and the only shuffle is
 the count of vote patterns (at most 3 to the number of rules, so small enough for the
 driver, where the estimation runs). Hot sources or copies change counts, not the work of
 a task.
@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faceoff.llm.common import WORD_SEPARATORS, settled, text_of, without
+from faceoff.llm.common import WORD_SEPARATORS, settled, text_of, without, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -164,9 +164,12 @@ def probability(prior: float, table: list[dict[int, tuple[float, float]]]) -> Co
     return 1 / (1 + F.exp(-odds))
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", lean: bool = False) -> DataFrame:
     """``docs`` with the base counts, ``votes``, ``quality`` (probability of being good)
-    and ``kept`` (boolean)."""
+    and ``kept`` (boolean). ``lean``: without the text, whose counts and votes are then written
+    once and serve both the estimate and the answer."""
     voted = votes(measure(without(docs, "quality", "kept"), text))
+    if lean:
+        voted = written(docs.sparkSession, voted.drop(text), "votes")
     out = voted.withColumn("quality", probability(*learn(voted))).drop("_more")
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM))

@@ -61,7 +61,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and the verdict of weak supervision."""
-    out = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), lean=True)
     return out.select("doc_id", *quality.BASE, "quality", "kept")
 
 

@@ -33,6 +33,12 @@ def test_base_counts_equal_brute_force(spark, tmp_path):
     assert all(not r.kept for r in got if r.base_failed)
 
 
+def test_a_very_long_text(spark, tmp_path):
+    texts = [" ".join(f"w{k}" for k in range(60_000)) + "\n" + "$ " * 20_000, "\n".join(["same line of words here and so on"] * 9_000)]
+    got = registry.op5_quality_rules(spark, written(docs(spark, list(enumerate(texts))), tmp_path)).collect()
+    assert sorted(tuple(r)[:7] for r in got) == sorted((i, *brute(t)) for i, t in enumerate(texts))
+
+
 def test_verdict_follows_the_votes(spark):
     long_good = [(i, " ".join(f"word{(i * 31 + k * k) % 977}x{k}" for k in range(60)) + ".") for i in range(60)]
     junk = [(100 + i, JUNK + " ".join(f"w{i}q{k}$$" for k in range(40))) for i in range(8)]

@@ -13,16 +13,18 @@ revisit (RFC 9111, 3.2 and 4.3.4). Method:
 3. Inside a (URL, range) a running maximum gives the last response so far. Of equal
    times revisits come first: a response of the same time is not earlier.
 4. Validators are compared, and headers and body of the responses found are fetched by
-   id. Revisits that are not resolved are dealt by their own ids.
+   id; a response with over ``SHARE`` revisits is fetched in as many copies as they need. Revisits that are not resolved
+   are dealt by their own ids.
 
 Validators: a strong ETag of the revisit has to equal a strong one of the response, a
 weak one is compared without its mark. A revisit without ETag is compared by
 Last-Modified; one with neither fits only a response with neither.
 
 Cases: a null URL or time gives the resolution ``incomplete``; a revisit without id is kept,
-a response without id is not referred to; ids of responses are unique, as the format demands; null headers count as none,
-header names compare without case, repeated headers are kept; an empty table gives an
-empty table.
+a response without id is not referred to; of several full responses of one id the first counts (by
+time, null last, then URL, validators and content), repeated revisits are resolved one by one; null headers
+count as none, header names compare without case, repeated headers are kept; other columns are
+ignored, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -84,16 +86,30 @@ def _fits(etag: Column, modified: Column, of: Column) -> Column:
     return F.coalesce(fits, F.lit(False))
 
 
+#: Revisits that one copy of a response serves.
+SHARE = 10_000
+#: The order of responses of one id.
+ORDER = ("no_time", "time", "canonical", "etag", "modified")
+
+
+def _response() -> list[Column]:
+    """What is needed of a record to find and order responses."""
+    return [F.col("record_id"), F.col("time").isNull().alias("no_time"), F.col("time"), canonical_url(F.col("url")).alias("canonical"),
+            header(F.col("headers"), "etag").alias("etag"), header(F.col("headers"), "last-modified").alias("modified")]
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """Every revisit of ``records`` (columns of RECORD) with ``canonical``, ``resolution``
     (resolved, validator_mismatch, no_earlier_response, incomplete), ``refers_to`` and, if
     resolved, the merged ``headers`` and the ``body``."""
     spark = records.sparkSession
     full = F.col("type").eqNullSafe("response") & F.col("status").eqNullSafe(200) & F.col("record_id").isNotNull()
-    slim = records.where(full | (F.col("type") == "revisit")).select(
-        "record_id", canonical_url(F.col("url")).alias("canonical"), "time", F.when(full, 1).otherwise(0).alias("kind"),
-        header(F.col("headers"), "etag").alias("etag"), header(F.col("headers"), "last-modified").alias("modified"),
-        F.when(~full, F.col("headers")).alias("_new"))
+    # of several responses of one id the first counts
+    answers = records.where(full).select(*_response()).groupBy("record_id").agg(F.min(F.struct(*ORDER)).alias("_r"))
+    empty = F.lit(None).cast(records.schema["headers"].dataType).alias("_new")
+    answers = answers.select("record_id", F.col("_r.canonical"), F.col("_r.time"), F.lit(1).alias("kind"), F.col("_r.etag"), F.col("_r.modified"), empty)
+    asks = records.where(~full & (F.col("type") == "revisit")).select(*_response(), F.lit(0).alias("kind"), F.col("headers").alias("_new"))
+    slim = answers.unionByName(asks.drop("no_time"))
     order = ["canonical", "time", "kind", "record_id"]
     slim = written(spark, slim.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "captures")
     placed = slim.where("canonical is not null and time is not null")
@@ -111,9 +127,18 @@ def resolve(records: DataFrame) -> DataFrame:
         "record_id", "canonical", "time", "_new", F.lit("incomplete").alias("resolution"), F.lit(None).cast("long").alias("refers_to"))
     links = written(spark, found.unionByName(odd), "links")
     known = F.col("resolution") == "resolved"
-    target = F.when(known, F.col("refers_to").cast("string")).otherwise(F.concat(F.lit("none for "), F.col("record_id").cast("string")))
-    stored = records.where(full).select(F.col("record_id").cast("string").alias("_target"), F.col("headers").alias("_stored"), "body")
-    out = links.join(stored, target == F.col("_target"), "left")
+    # a response with very many revisits is copied for every ``SHARE`` of them, and they are spread over its copies
+    referred = links.where(known).groupBy(F.col("refers_to").alias("_id")).agg(F.ceil(F.count("*") / SHARE).cast("int").alias("_copies"))
+    referred = written(spark, referred, "referred")
+    stored = records.where(full).select(*_response(), F.col("headers").alias("_stored"), "body").join(referred, F.col("record_id") == F.col("_id"))
+    first = Window.partitionBy("_id").orderBy(*ORDER, F.xxhash64("_stored", "body"))
+    stored = stored.withColumn("_k", F.row_number().over(first)).where("_k = 1")
+    stored = stored.select(F.col("_id").cast("string").alias("_target"), F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"), "_stored", "body")
+    target = F.when(known, F.col("refers_to").cast("string")).otherwise(F.concat(F.lit("none for "), F.coalesce(F.col("record_id").cast("string"), F.lit(""))))
+    busy = referred.where("_copies > 1")
+    spread = links.join(busy, known & (F.col("refers_to") == F.col("_id")), "left").withColumn("_at", target)
+    spread = spread.withColumn("_of", F.coalesce(F.pmod(F.xxhash64("record_id", "time"), F.col("_copies")).cast("int"), F.lit(0))).drop("_id", "_copies")
+    out = spread.join(stored, (F.col("_at") == F.col("_target")) & (F.col("_of") == F.col("_copy")), "left")
     merged = F.when(known, merged_headers(F.col("_stored"), F.col("_new")))
     return out.select("record_id", "canonical", "time", "resolution", "refers_to", merged.alias("headers"), "body")
 

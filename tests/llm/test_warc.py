@@ -119,5 +119,27 @@ def test_records_without_id_or_status(spark):
         (9, "no_earlier_response", None), (None, "resolved", "x"), (None, "resolved", "x")]
 
 
+def test_of_repeated_responses_the_first_counts(spark):
+    tag = [("ETag", '"1"')]
+    rows = [(1, "response", 200, "a", 5, tag, "later"), (1, "response", 200, "a", 2, tag, "first"), (1, "response", 200, "a", 2, tag, "first"),
+            (1, "response", 200, "a", None, tag, "no time"), (2, "revisit", 304, "a", 4, tag, None), (2, "revisit", 304, "a", 4, tag, None),
+            (3, "revisit", 304, "a", 9, tag, None), (4, "revisit", 304, "a", 2, tag, None)]
+    df = spark.createDataFrame(rows, warc.RECORD).selectExpr("*", "'x' AS _id", "1 AS _copies", "2 AS kind", "3 AS canonical", "4 AS no_time")
+    got = warc.resolve(df).collect()
+    assert sorted((r.record_id, r.resolution, r.body) for r in got if r.body) == [(2, "resolved", "first")] * 2 + [(3, "resolved", "first")]
+    assert [(r.record_id, r.resolution) for r in got if not r.body] == [(4, "no_earlier_response")]
+
+
+def test_revisits_of_a_busy_response_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARE", 7)
+    want = check(spark, corpus(500, 4), 4)
+    of = [w[1] for w in want.values() if w[0] == "resolved"]
+    assert max(map(of.count, of)) > 0
+    tag = [("ETag", '"1"')]
+    rows = [(0, "response", 200, "a", 0, tag, "b")] + [(i, "revisit", 304, "a", i, tag, None) for i in range(1, 90)]
+    got = warc.resolve(spark.createDataFrame(rows, warc.RECORD)).collect()
+    assert len(got) == 89 and {r.body for r in got} == {"b"}
+
+
 def test_empty(spark):
     assert warc.resolve(spark.createDataFrame([], warc.RECORD)).count() == 0

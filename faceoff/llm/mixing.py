@@ -7,8 +7,9 @@ probabilities are moved together through the null space of the balancing constra
 three open documents move so that both sums stay the same and one of them is decided.
 Each block of documents of a source keeps at most two open ones; they are gathered into
 new blocks, level after level, until one block per source is left. Its last two are
-decided so that the source's words come nearest to the target (the landing). Within a block
-large documents are decided first, so the last two are small.
+decided so that the source's words come nearest to the target (the landing). These two may be
+large; then a few documents of the last block change sides, always the one that brings
+the words nearest, until none helps any more.
 
 A hot source is many blocks of about ``BLOCK`` documents, dealt out by a hash of the
 document. Only ids, sizes and probabilities are shuffled, not texts. What reaches the
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,15 +97,31 @@ def landing(p: list[float], size: list[int], open_: list[int]) -> None:
         p[i] = float((best >> k) & 1)
 
 
+def touch_down(p: list[float], size: list[int], goal: float) -> None:
+    """Let decided documents change sides, one by one, as long as the words taken come nearer to ``goal``."""
+    words = np.array(size, np.int64)
+    sign = np.where(np.array(p) > 0.5, -1, 1)  # what a change adds: its words, or takes them away
+    left = goal - float(words[sign < 0].sum())
+    while True:
+        after = np.abs(left - sign * words)
+        best = int(after.argmin())
+        if not after[best] < abs(left) - 1e-9:
+            return
+        left -= float(sign[best] * words[best])
+        sign[best] = -sign[best]
+        p[best] = 1.0 if sign[best] < 0 else 0.0
+
+
 def _decide(last: bool):
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        # large documents first: what is still open at the end, and so the error of the landing, is small
-        pdf = pdf.sort_values(["size", "mark", "doc_id"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["mark", "doc_id", "size"], kind="stable", ignore_index=True)
         p, size = pdf["p"].tolist(), pdf["size"].tolist()
         rng = random.Random(f"{SEED} {pdf['number'].iloc[0]} {pdf['block'].iloc[0]}")
         open_ = flight(p, size, rng)
         if last:
+            goal = sum(a * b for a, b in zip(pdf["p"], size))
             landing(p, size, open_)
+            touch_down(p, size, goal)
         pdf["p"] = p
         return pdf
     return block

@@ -60,6 +60,35 @@ def test_query(spark, tmp_path, monkeypatch):
         assert abs(taken[s] - goal[s]) <= 300
 
 
+def share_out(sizes):
+    """The targets by the rule, in words: all sizes by weight 1, 2, 3, ...; whoever is above three times its size gives back, again and again."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: 1 + i % 3 for i, s in enumerate(order)}
+    full = set()
+    while True:
+        left = sum(sizes.values()) - sum(3 * sizes[s] for s in full)
+        share = {s: 3 * sizes[s] if s in full else left * weight[s] / sum(weight[x] for x in order if x not in full) for s in order}
+        over = {s for s in order if s not in full and share[s] > 3 * sizes[s]}
+        if not over:
+            return share
+        full |= over
+
+
+def test_words_taken_come_within_a_small_document_of_the_target(spark, tmp_path):
+    r = random.Random(12)
+    rows = [(i, " ".join(["w"] * (r.choice([3, 8, 20, 60]) if i % 9 else 2500)), "en", f"s{i % 6}") for i in range(600)]
+    got = registry.op10_mixing(spark, written(docs(spark, rows).repartition(5), tmp_path)).collect()
+    source = {i: s for i, _, _, s in rows}
+    size, taken = {}, {}
+    for r in got:
+        size[source[r.doc_id]] = size.get(source[r.doc_id], 0) + r.size
+        taken[source[r.doc_id]] = taken.get(source[r.doc_id], 0) + r.taken
+    goal = share_out(size)
+    for r in got:
+        assert r.target == pytest.approx(goal[source[r.doc_id]])
+    assert all(abs(taken[s] - goal[s]) <= 5 for s in goal)  # the smallest documents have 3 words, the largest 2500
+
+
 def test_rows_of_the_mix_and_edges(spark, tmp_path):
     df, rows = table(spark, 400)
     df = df.union(df.where("doc_id < 20")).withColumnRenamed("lang", "copies")

@@ -6,7 +6,7 @@ is repartitioned or a task is retried, unlike ``randomSplit``.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,22 +26,42 @@ def hash_unit(key, seed: int) -> F.Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
 
 
+def codes(values: DataFrame) -> DataFrame:
+    """(column, value, code) for the distinct (column, value) of a table: the 0-based rank of the value in its column.
+
+    The values are dealt into ranges of (column, value); a prefix sum over the sizes of the ranges and a
+    window inside each number them, so no column's vocabulary is in one task or in the driver.
+    """
+    d = values.select("column", "value").distinct().repartitionByRange("column", "value")
+    d = materialize(d.withColumn("_part", F.spark_partition_id()))
+    sizes = d.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("column", "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("column", "_part").orderBy("value")
+    d = d.join(sizes, ["column", "_part"]).withColumn("code", F.col("_before") + F.row_number().over(inside) - 1)
+    return d.select("column", "value", F.col("code").cast("int").alias("code"))
+
+
 def label_encode(df: DataFrame, columns: list[str] | None = None, exclude=("winner",),
                  fill: str = schemas.UNKNOWN_LABEL) -> DataFrame:
     """M1: replace string columns by the 0-based rank of their value among the column's
     distinct values (lexicographic), NULL filled with 'Unknown' first.
 
-    Uses ``StringIndexer(stringOrderType='alphabetAsc')``; the fitted vocabulary
-    (distinct values only) is what reaches the driver.
+    The vocabulary (:func:`codes`) is a table; each column is joined with its part, which
+    the planner broadcasts only as long as it is small.
     """
     cols = columns or explore.string_columns(df, exclude=exclude)
     if not cols:
         return df
     filled = df.fillna({c: fill for c in cols})
-    idx = StringIndexer(inputCols=cols, outputCols=[f"_ix_{c}" for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="error").fit(filled)
-    out = idx.transform(filled)
-    return out.select(*[F.col(f"_ix_{c}").cast("int").alias(c) if c in cols else F.col(c) for c in df.columns])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in cols]))
+    known = materialize(codes(filled.select(pairs.alias("p")).select("p.*")))
+    out = filled
+    for k, c in enumerate(cols):
+        part = known.where(F.col("column") == c).select(F.col("value").alias(f"_v{k}"), F.col("code").alias(f"_c{k}"))
+        out = out.join(part, F.col(f"`{c}`") == F.col(f"_v{k}"), "left")
+    at = {c: k for k, c in enumerate(cols)}
+    return out.select(*[F.col(f"_c{at[c]}").alias(c) if c in at else F.col(f"`{c}`") for c in df.columns])
 
 
 def training_set(form: DataFrame) -> DataFrame:
@@ -51,7 +71,7 @@ def training_set(form: DataFrame) -> DataFrame:
     dropped, the five categorical columns label-encoded. Keeps ``id``, the
     features in training order, ``team1_won`` and both score labels.
     """
-    f = materialize(clean.finite_only(form))  # read three times: medians, vocabularies, output
+    f = materialize(clean.finite_only(form))  # read for medians, vocabularies and output
     f = explore.median_impute(f, ["team1_avg_economy_rate_last_5", "team2_avg_economy_rate_last_5"])
     f = clean.require_columns(f, ["winning_score", "losing_score"])
     f = label_encode(f, columns=[c for c in schemas.CATEGORICAL if c in f.columns])

@@ -181,7 +181,7 @@ def prev_winner(contests: DataFrame, group: str = "team1") -> DataFrame:
 
 def repeat_count(contests: DataFrame, group: str = "team1", value: str = "winner") -> DataFrame:
     """Running count, per group, of rows whose value equals the previous row's value."""
-    lg = timeline.lag_value(contests, group, "date", "id", value, "_prev")
+    lg = timeline.lag_value(contests, group, "date", "id", value, "_prev", keep_cell=True)
     r = timeline.running(lg, group, "date", "id", {"repeat_count": eq_flag(F.col(value), F.col("_prev"))},
                          inclusive=True)
     return r.drop("_prev")

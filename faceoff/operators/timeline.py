@@ -9,12 +9,12 @@ all rows) that task is the job. Every operator here works in two levels instead:
 2. the per-entity scan runs over that day table, whose size per entity is the
    number of distinct days in its history, not its number of rows;
 3. the day result is joined back on ``(entity, day)`` and the remaining
-   within-day part is a window partitioned by ``(entity, day)``.
+   within-day part is a window partitioned by ``(entity, day)``. Both are one column, ``CELL``, so the
+   rows are shuffled once for all three steps.
 
 The order inside an entity is ``(time, tie)``; ``tie`` must be unique per entity
 and time (the contest id). ``time`` should be a date (the day is the unit of
-"strictly before"). All entity keys are joined null-safely, so a NULL venue or
-team is a group like any other.
+"strictly before"). A NULL venue or team is a group like any other.
 """
 
 from __future__ import annotations
@@ -23,26 +23,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNB = Window.unboundedPreceding
+#: The column that all steps on an (entity, day) share: a struct of the entity's keys and the time.
+CELL = "_cell"
 
 
 def _keys(entity) -> list[str]:
     return [entity] if isinstance(entity, str) else list(entity)
 
 
-def _day_window(entity, time):
-    return Window.partitionBy(*entity).orderBy(time)
+def with_cell(df: DataFrame, entity, time: str) -> DataFrame:
+    """``df`` with ``CELL``. A struct is never NULL and equal to another if its fields are, NULL ones too: grouping,
+    windows and joins on it need one shuffle of the rows between them."""
+    if CELL in df.columns:
+        return df
+    fields = [F.col(k).alias(f"k{i}") for i, k in enumerate(_keys(entity))]
+    return df.withColumn(CELL, F.struct(F.struct(*fields).alias("entity"), F.col(time).alias("time")))
 
 
-def _in_day_window(entity, time, tie):
-    return Window.partitionBy(*entity, time).orderBy(tie)
+def _by_day(day: DataFrame) -> DataFrame:
+    """The per-day table with the fields of its cells as columns, which all windows over an entity's days share."""
+    return day.withColumns({"_entity": F.col(f"{CELL}.entity"), "_day": F.col(f"{CELL}.time")})
 
 
-def _attach(rows: DataFrame, day: DataFrame, keys: list[str]) -> DataFrame:
-    """Left-join the per-day table back onto the rows, null-safe on every key."""
-    ren = {k: f"_jk{i}" for i, k in enumerate(keys)}
-    d = day.withColumnsRenamed(ren)
-    cond = [F.col(k).eqNullSafe(F.col(v)) for k, v in ren.items()]
-    return rows.join(d, cond, "left").drop(*ren.values())
+def _days():
+    """The days of one entity in order: a window over the per-day table."""
+    return Window.partitionBy("_entity").orderBy("_day")
+
+
+def _in_day(tie):
+    return Window.partitionBy(CELL).orderBy(tie)
+
+
+def _attach(rows: DataFrame, day: DataFrame) -> DataFrame:
+    """The per-day table joined back onto the rows."""
+    return rows.join(day.withColumnRenamed(CELL, "_jc"), F.col(CELL) == F.col("_jc"), "left").drop("_jc")
 
 
 def last_n(arr: Column, n: int) -> Column:
@@ -58,20 +72,19 @@ def running(df: DataFrame, entity, time: str, tie: str, sums: dict[str, Column],
     over the day table; rows earlier on the same day through a window on
     ``(entity, day)``.
     """
-    ent = _keys(entity)
     vals = {f"_v_{k}": e for k, e in sums.items()}
-    base = df.withColumns(vals)
-    day = base.groupBy(*ent, time).agg(*[F.sum(v).alias(f"_d{v}") for v in vals])
-    wd = _day_window(ent, time).rowsBetween(UNB, -1)
-    day = day.select(*ent, time, *[F.sum(f"_d{v}").over(wd).alias(f"_p{v}") for v in vals])
-    out = _attach(base, day, ent + [time])
-    wi = _in_day_window(ent, time, tie).rowsBetween(UNB, 0 if inclusive else -1)
+    base = with_cell(df, entity, time).withColumns(vals)
+    day = _by_day(base.groupBy(CELL).agg(*[F.sum(v).alias(f"_d{v}") for v in vals]))
+    wd = _days().rowsBetween(UNB, -1)
+    day = day.select(CELL, *[F.sum(f"_d{v}").over(wd).alias(f"_p{v}") for v in vals])
+    out = _attach(base, day)
+    wi = _in_day(tie).rowsBetween(UNB, 0 if inclusive else -1)
     res = {}
     for k in sums:
         v = f"_v_{k}"
         res[k] = F.coalesce(F.col(f"_p{v}"), F.lit(0)) + F.coalesce(F.sum(v).over(wi), F.lit(0))
     out = out.withColumns(res)
-    return out.drop(*vals, *[f"_p{v}" for v in vals])
+    return out.drop(CELL, *vals, *[f"_p{v}" for v in vals])
 
 
 def prior_rows(df: DataFrame, entity, time: str, tie: str, n: int, fields: dict[str, Column],
@@ -83,37 +96,34 @@ def prior_rows(df: DataFrame, entity, time: str, tie: str, n: int, fields: dict[
     Each day contributes at most its last ``n`` rows and a day looks back at most
     ``n`` non-empty days, so arrays never exceed ``n*n`` elements.
     """
-    ent = _keys(entity)
     rec = F.struct(F.col(time).alias("t"), F.col(tie).alias("k"), *[e.alias(f) for f, e in fields.items()])
     # one windowed base for both branches: its shuffle is planned once and reused
-    rd = F.row_number().over(Window.partitionBy(*ent, time).orderBy(F.col(tie).desc()))
-    base = df.withColumn("_rec", rec).withColumn("_rd", rd)
-    tails = (base.filter(F.col("_rd") <= n)
-             .groupBy(*ent, time).agg(F.collect_list("_rec").alias("_tail")))
-    wd = _day_window(ent, time).rowsBetween(-n, -1)
-    prev = tails.select(*ent, time, F.collect_list("_tail").over(wd).alias("_pp"))
-    prev = prev.select(*ent, time, last_n(F.array_sort(F.flatten("_pp")), n).alias("_pd"))
-    res = _attach(base, prev, ent + [time])
+    rd = F.row_number().over(Window.partitionBy(CELL).orderBy(F.col(tie).desc()))
+    base = with_cell(df, entity, time).withColumn("_rec", rec).withColumn("_rd", rd)
+    tails = _by_day(base.filter(F.col("_rd") <= n).groupBy(CELL).agg(F.collect_list("_rec").alias("_tail")))
+    prev = tails.select(CELL, F.collect_list("_tail").over(_days().rowsBetween(-n, -1)).alias("_pp"))
+    prev = prev.select(CELL, last_n(F.array_sort(F.flatten("_pp")), n).alias("_pd"))
+    res = _attach(base, prev)
     pd_ = F.coalesce(F.col("_pd"), F.array().cast(res.schema["_pd"].dataType))
     if strict_time:
         res = res.withColumn(out, pd_)
     else:
-        wi = _in_day_window(ent, time, tie).rowsBetween(-n, -1)
+        wi = _in_day(tie).rowsBetween(-n, -1)
         res = res.withColumn(out, last_n(F.concat(pd_, F.collect_list("_rec").over(wi)), n))
-    return res.drop("_rec", "_pd", "_rd")
+    return res.drop(CELL, "_rec", "_pd", "_rd")
 
 
-def lag_value(df: DataFrame, entity, time: str, tie: str, value: str, out: str) -> DataFrame:
-    """Value of the previous row of the same entity (NULL for its first row)."""
-    ent = _keys(entity)
-    day = (df.groupBy(*ent, time)
-           .agg(F.max_by(F.struct(F.col(value).alias("v")), F.col(tie)).alias("_last")))
-    day = day.select(*ent, time, F.lag("_last").over(_day_window(ent, time)).alias("_prevday"))
-    res = _attach(df, day, ent + [time])
-    wi = _in_day_window(ent, time, tie)
+def lag_value(df: DataFrame, entity, time: str, tie: str, value: str, out: str, keep_cell: bool = False) -> DataFrame:
+    """Value of the previous row of the same entity (NULL for its first row). ``keep_cell`` leaves ``CELL``
+    for a further step on the same entity and time."""
+    base = with_cell(df, entity, time)
+    day = _by_day(base.groupBy(CELL).agg(F.max_by(F.struct(F.col(value).alias("v")), F.col(tie)).alias("_last")))
+    day = day.select(CELL, F.lag("_last").over(_days()).alias("_prevday"))
+    res = _attach(base, day)
+    wi = _in_day(tie)
     res = res.withColumn(out, F.when(F.row_number().over(wi) == 1, F.col("_prevday.v"))
                          .otherwise(F.lag(value).over(wi)))
-    return res.drop("_prevday")
+    return res.drop("_prevday") if keep_cell else res.drop("_prevday", CELL)
 
 
 def signed_streak(df: DataFrame, entity, time: str, tie: str, outcome: str,
@@ -127,26 +137,26 @@ def signed_streak(df: DataFrame, entity, time: str, tie: str, outcome: str,
     ``i - L(i)`` where ``L(i)`` is the last position <= i whose outcome differs. L is
     a running max, built from per-day maxima and a prefix max over the day table.
     """
-    ent = _keys(entity)
-    wi = _in_day_window(ent, time, tie)
+    wi = _in_day(tie)
     o = F.col(outcome)
-    base = df.withColumn("_pos", F.row_number().over(wi) - 1)
-    day = base.groupBy(*ent, time).agg(
+    base = with_cell(df, entity, time).withColumn("_pos", F.row_number().over(wi) - 1)
+    day = base.groupBy(CELL).agg(
         F.count(F.lit(1)).alias("_n"),
         F.max(F.when(o != 1, F.col("_pos"))).alias("_mw"),
         F.max(F.when(o != -1, F.col("_pos"))).alias("_ml"),
         F.max_by(o, F.col("_pos")).alias("_lo"),
     )
-    wd = _day_window(ent, time)
+    day = _by_day(day)
+    wd = _days()
     prior = wd.rowsBetween(UNB, -1)
     day = day.withColumn("_start", F.coalesce(F.sum("_n").over(prior), F.lit(0)))
     day = day.select(
-        *ent, time, "_start",
+        CELL, "_start",
         F.coalesce(F.max(F.col("_start") + F.col("_mw")).over(prior), F.lit(-1)).alias("_lwb"),
         F.coalesce(F.max(F.col("_start") + F.col("_ml")).over(prior), F.lit(-1)).alias("_llb"),
         F.lag("_lo").over(wd).alias("_plo"),
     )
-    res = _attach(base, day, ent + [time])
+    res = _attach(base, day)
     idx = F.col("_start") + F.col("_pos")
     run = wi.rowsBetween(UNB, 0)
     lw = F.greatest(F.col("_lwb"), F.max(F.when(o != 1, idx)).over(run))
@@ -159,7 +169,7 @@ def signed_streak(df: DataFrame, entity, time: str, tie: str, outcome: str,
                          .otherwise(F.lag("_after").over(wi)).cast("long"))
     if out_after:
         res = res.withColumn(out_after, F.col("_after").cast("long"))
-    return res.drop("_pos", "_start", "_lwb", "_llb", "_plo", "_after")
+    return res.drop(CELL, "_pos", "_start", "_lwb", "_llb", "_plo", "_after")
 
 
 def latest_n(df: DataFrame, entity, order: list[Column], n: int, out: str = "_rank") -> DataFrame:

@@ -19,8 +19,8 @@ pivots drawn at random; nodes that are already connected are left out. A large g
 near copies is mostly one component by then. What is left are the pairs of one bucket
 between different components: a bucket's signatures are packed into blocks of bounded
 size, two blocks at a time meet in a task, and step 3 is done there for every pair in the first of
-the buckets it shares. The task gives out the nodes of surviving pairs, each once. Blocks of
-these nodes meet again with their full sets, step 3 tells the pairs, step 4 verifies them, and links come out. So no
+the buckets it shares. The task gives out the nodes of surviving pairs, each once a bucket. Blocks of
+these meet again with their full sets, step 3 tells the pairs, step 4 verifies them, and links come out. So no
 link between components is lost to a group's size, and no rows are made of its pairs.
 
 Pairs and buckets are joined and aggregated by Spark; hot buckets are aggregated before
@@ -224,27 +224,27 @@ def links_between(x: list[dict], y: list[dict], pairs: np.ndarray) -> list[tuple
 
 
 def _meeting(batches):
-    """The rows of a task: two blocks (or one, to be compared with itself) and the bucket's band."""
+    """The rows of a task: a bucket, two of its blocks (or one, to be compared with itself) and their candidate pairs."""
     for batch in batches:
         for r in range(batch.num_rows):
-            i, j, band = (batch.column(c)[r].as_py() for c in ("i", "j", "band"))
+            bucket, i, j, band = (batch.column(c)[r].as_py() for c in ("bucket", "i", "j", "band"))
             members = batch.column("members")[r].as_py()
             x = [m for m in members if m["block"] == i]
             y = x if i == j else [m for m in members if m["block"] == j]
             pairs = candidates(x, y, band)
-            yield x, y, pairs[pairs[:, 0] < pairs[:, 1]] if i == j else pairs
+            yield bucket, x, y, pairs[pairs[:, 0] < pairs[:, 1]] if i == j else pairs
 
 
 def _open_nodes(batches):
-    """Task: pairs of blocks of signatures -> the nodes of candidate pairs."""
-    for x, y, pairs in _meeting(batches):
+    """Task: pairs of blocks of signatures -> the nodes of candidate pairs, with the bucket of the pair."""
+    for bucket, x, y, pairs in _meeting(batches):
         nodes = {x[i]["node"] for i in set(pairs[:, 0].tolist())} | {y[j]["node"] for j in set(pairs[:, 1].tolist())}
-        yield pa.RecordBatch.from_arrays([pa.array(sorted(nodes), pa.binary())], ["node"])
+        yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(nodes), pa.int64()), pa.array(sorted(nodes), pa.binary())], ["bucket", "node"])
 
 
 def _between(batches):
     """Task: pairs of blocks of signatures and sets -> links between components."""
-    for x, y, pairs in _meeting(batches):
+    for _, x, y, pairs in _meeting(batches):
         got = links_between(x, y, pairs)
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in got], pa.binary()), pa.array([b for _, b in got], pa.binary())], ["a", "b"])
 
@@ -366,9 +366,11 @@ def near_duplicates(docs: DataFrame, size: int, text: str = "text") -> DataFrame
     # all other pairs of a bucket between different components, block against block: signatures, then sets
     open_ = written(spark, with_comp(members.drop("pivot"), "node", "comp", comp), "open")
     discard(members, comp)
-    left = meetings(open_, BLOCK, signatures).mapInArrow(_open_nodes, "node binary").distinct()
+    left = meetings(open_, BLOCK, signatures).mapInArrow(_open_nodes, "bucket long, node binary").distinct()
     left = written(spark, left, "open-nodes")
-    found = meetings(open_.join(left, "node", "left_semi"), BLOCK, signatures, sets.join(left, "node", "left_semi"))
+    # a pair is a candidate in one bucket only, so a set goes where its node has a pair
+    needed = sets.join(left.select("node").distinct(), "node", "left_semi")
+    found = meetings(open_.join(left, ["bucket", "node"], "left_semi"), BLOCK, signatures, needed)
     found = written(spark, found.mapInArrow(_between, "a binary, b binary").distinct(), "pairs-4-links")
     discard(open_, left, sets, wanted)
     comp = components(links.unionByName(found))

@@ -14,7 +14,7 @@ from faceoff import schemas
 from faceoff.operators import clean, explore
 from faceoff.scratch import discard, materialize  # noqa: F401
 
-# Columns the classifier must not see (identifiers, date, leaking scores, label).
+# Columns the classifier must not see (identifiers, date, leaking scores, label).
 NON_FEATURES = ["id", "date", "winner", "inning1_score", "inning2_score", "winning_score", "losing_score", "team1_won"]
 HASH_BITS = 32
 BUCKETS = 1 << 16

@@ -531,6 +531,7 @@ FROM (SELECT greatest(coalesce(team1_avg_runs_scored_last_5, 0.0), coalesce(team
 REQ_DOUBLES = [f"{s}_{k}" for s in ("team1", "team2") for k in
                ["win_rate_last_5", "avg_margin_last_5", "avg_runs_scored_last_5", "avg_wickets_taken_last_5",
                 "avg_economy_rate_last_5"]]
+# Fixed values: (least, most) of a request's numbers.
 RANGES = {"win_rate_last_5": (0.0, 1.0), "avg_margin_last_5": (None, None), "avg_runs_scored_last_5": (0.0, None),
           "avg_wickets_taken_last_5": (0.0, 10.0), "avg_economy_rate_last_5": (0.0, None)}
 
@@ -610,6 +611,7 @@ UNION ALL SELECT 'form_contests', count(*), 11 FROM fc"""
 
 
 def _markup_sql(col: str) -> str:
+    # fixed values: markup rules in this order
     rules = [(r"\n\n", "</p><p>"), (r"\n", "<br>"), (r"\*\*(.*?)\*\*", r"<strong>\1</strong>"),
              (r"# (.*?)(?:\n|\z)", r'<h4 class="font-bold mt-4 mb-2">\1</h4>'),
              (r"## (.*?)(?:\n|\z)", r'<h5 class="font-bold mt-3 mb-2">\1</h5>')]

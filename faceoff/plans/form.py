@@ -16,6 +16,7 @@ from faceoff.operators import aggregates, clean, form, sides
 FORM_METRICS = ["win_rate_last_5", "avg_margin_last_5", "avg_runs_scored_last_5",
                 "avg_wickets_taken_last_5", "avg_economy_rate_last_5"]
 
+# The columns of the original's table, in its order.
 FORM_COLUMNS = [
     "id", "date", "team1", "team2", "venue", "toss_winner", "toss_decision", "winner",
     "inning1_score", "inning2_score", "winning_score", "losing_score",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from faceoff.operators import clean, form, sides
 
+# The columns of the original's table, in its order.
 MOMENTUM_COLUMNS = [
     "id", "season", "date", "team1", "team2", "venue",
     "toss_winner", "toss_decision", "chose_to_bat", "team1_won_toss",

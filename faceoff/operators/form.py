@@ -1,7 +1,8 @@
 """Time-ordered per-entity features.
 
 All history features run on the long side table (:func:`sides.side_long`) and use
-:mod:`faceoff.operators.timeline`, so no window is ever partitioned by a team alone.
+:mod:`faceoff.operators.timeline`, so no window over rows is ever partitioned by a team, or a team and day, alone. That
+module reads its input more than once: what comes out of joins and aggregates is written first.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from faceoff import schemas
 from faceoff.functions.columns import eq_flag, safe_ratio
 from faceoff.operators import clean, sides, timeline
+from faceoff.scratch import materialize
 
 
 def _sum_field(arr: Column, field: str, dtype: str = "long") -> Column:
@@ -103,7 +105,7 @@ def player_streak(contests: DataFrame, plays: DataFrame) -> DataFrame:
           .groupBy("match_id", "batter").agg(F.min("batting_team").alias("team")))
     lt = (bt.join(clean.canonical_names(contests).select("id", "date", "winner"), bt.match_id == contests.id)
           .select("batter", "id", "date", eq_flag(F.col("winner"), F.col("team")).alias("won")))
-    return streak_current(lt, entity="batter", non_win="loss")
+    return streak_current(materialize(lt), entity="batter", non_win="loss")
 
 
 def venue_team_rate(long_df: DataFrame) -> DataFrame:
@@ -167,7 +169,7 @@ def rolling_mean(df: DataFrame, entity: str, values: dict[str, str], n: int = sc
     the first row of an entity gets NULL.
     """
     fields = {src: F.col(src) for src in values}
-    t = timeline.prior_rows(df, entity, time, tie, n, fields, strict_time=False)
+    t = timeline.prior_rows(materialize(df), entity, time, tie, n, fields, strict_time=False)
     p = F.col("_prior")
     return t.withColumns({
         out: safe_ratio(_sum_field(p, src, "double"), _count_field(p, src)) for src, out in values.items()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faceoff.operators import clean, form, sides
+from faceoff.operators import clean, form, sides, timeline
 
 # The columns of the original's table, in its order.
 MOMENTUM_COLUMNS = [
@@ -39,8 +39,9 @@ def side_features(cleaned: DataFrame) -> DataFrame:
     their outputs are stacked and pivoted in one grouped aggregate on ``id``.
     """
     lt = sides.side_long(cleaned).select("id", "side", "team", "date", "venue", "won", "outcome")
-    a = form.last_n_wins(lt).select("id", "side", "last5_wins", "form")
-    b = form.streak_before(lt, non_win="reset").select("id", "side", "streak")
+    by_team = timeline.with_cell(lt, "team", "date", "id")
+    a = form.last_n_wins(by_team).select("id", "side", "last5_wins", "form")
+    b = form.streak_before(by_team, non_win="reset").select("id", "side", "streak")
     c = form.venue_team_rate(lt).select("id", "side", "venue_win_rate")
     u = a.unionByName(b, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
     return sides.to_sides(u, ["last5_wins", "form", "streak", "venue_win_rate"])

@@ -85,34 +85,47 @@ def venue_stats(contests: DataFrame, plays: DataFrame) -> DataFrame:
                     F.coalesce(F.col("_afi"), F.lit(0.0)).alias("avg_first_innings_score")))
 
 
-def batter_career(plays: DataFrame) -> DataFrame:
-    """A3: runs, balls (every play counts), fours, sixes, strike rate per batter."""
+def batter_career(plays: DataFrame, legal_only: bool = False) -> DataFrame:
+    """A3: runs, balls, fours, sixes, strike rate per batter.
+
+    Every play counts as a ball, as in the original; with ``legal_only`` those that are wides or no-balls
+    don't (their runs still count). The strike rate of a batter without a ball is NULL.
+    """
     r = F.col("batsman_runs")
     return (plays.filter(F.col("batter").isNotNull()).groupBy("batter").agg(
         F.sum(r).cast("long").alias("total_runs"),
-        F.count("match_id").alias("balls_faced"),
+        _balls(plays, legal_only).alias("balls_faced"),
         F.count_if(r == 4).alias("fours"),
         F.count_if(r == 6).alias("sixes"),
     ).withColumn("strike_rate", safe_ratio("total_runs", "balls_faced") * 100))
 
 
-def bowler_career(plays: DataFrame) -> DataFrame:
-    """A4: overs (= plays / 6), wickets, runs conceded, economy per bowler."""
+def bowler_career(plays: DataFrame, legal_only: bool = False) -> DataFrame:
+    """A4: overs (= plays / 6), wickets, runs conceded, economy per bowler.
+
+    With ``legal_only`` wides and no-balls are no part of an over (their runs still count); the economy of a
+    bowler without a legal ball is NULL.
+    """
     return (plays.filter(F.col("bowler").isNotNull()).groupBy("bowler").agg(
-        (F.count("match_id") / 6.0).alias("overs_bowled"),
+        (_balls(plays, legal_only) / 6.0).alias("overs_bowled"),
         F.sum("is_wicket").cast("long").alias("wickets"),
         F.sum("total_runs").cast("long").alias("runs_conceded"),
     ).withColumn("economy", safe_ratio("runs_conceded", "overs_bowled")))
 
 
-def player_match(contests: DataFrame, plays: DataFrame) -> DataFrame:
-    """Runs and balls per (contest, batter), for contests kept in ``contests``.
+def _balls(plays: DataFrame, legal_only: bool):
+    return F.count(F.when(~_extra_flag(plays), F.col("match_id"))) if legal_only else F.count("match_id")
+
+
+def player_match(contests: DataFrame, plays: DataFrame, legal_only: bool = False) -> DataFrame:
+    """Runs and balls (``legal_only`` as in :func:`batter_career`) per (contest, batter), for contests
+    kept in ``contests``.
 
     Plays are aggregated to (match, batter) first; the semi join then only
     moves that much smaller table.
     """
     pm = (plays.filter(F.col("batter").isNotNull()).groupBy("match_id", "batter")
-          .agg(F.sum("batsman_runs").cast("long").alias("runs_scored"), F.count("match_id").alias("balls_faced")))
+          .agg(F.sum("batsman_runs").cast("long").alias("runs_scored"), _balls(plays, legal_only).alias("balls_faced")))
     return pm.join(contests.select(F.col("id").alias("match_id")), "match_id", "left_semi")
 
 
@@ -151,14 +164,17 @@ def bowling_match(plays: DataFrame) -> DataFrame:
     return g.withColumn("economy_rate", safe_ratio(F.col("runs_conceded") * 6, "legal_balls_bowled"))
 
 
-def team_match_stats(plays: DataFrame) -> DataFrame:
+def team_match_stats(plays: DataFrame, innings: list[int] | None = None) -> DataFrame:
     """Per (contest, team): runs scored, wickets taken, runs conceded, legal balls, economy.
 
     The batting and bowling views of each play go through one aggregate (a play
     counts once for its batting team and once for its bowling team) instead of
     three aggregates and two full outer joins. Wickets = dismissals on plays
-    with a bowler. Missing parts are 0, except economy (NULL).
+    with a bowler. Missing parts are 0, except economy (NULL). ``innings`` keeps the plays of these innings
+    only (``[1, 2]`` leaves super overs out, as the innings scores do); by default all count, as in the original.
     """
+    if innings is not None:
+        plays = plays.filter(F.col("inning").isin(*innings))
     extra = _extra_flag(plays)
     bat = F.struct(F.col("match_id"), F.col("batting_team").alias("team"), F.lit(True).alias("is_bat"),
                    F.col("total_runs").alias("runs"), F.lit(None).cast("boolean").alias("wk"),

@@ -243,6 +243,12 @@ FROM (SELECT c.id, c.team1, c.team2, c.winner, c.result,
              coalesce(ip.inning1_score, 0) AS inning1_score, coalesce(ip.inning2_score, 0) AS inning2_score
       FROM contests c LEFT JOIN ip ON ip.id = c.id) s"""
 
+ORACLES["winning_losing_score_batting_order"] = w(*BASE_P, INNINGS) + """SELECT c.id,
+  CASE c.winner WHEN c.team1 THEN s1 WHEN c.team2 THEN s2 ELSE CASE WHEN c.winner IS NOT NULL THEN greatest(s1, s2) END END AS winning_score,
+  CASE c.winner WHEN c.team1 THEN s2 WHEN c.team2 THEN s1 ELSE CASE WHEN c.winner IS NOT NULL THEN least(s1, s2) END END AS losing_score
+FROM contests c JOIN (SELECT d.id, coalesce(inning1_score, 0) AS s1, coalesce(inning2_score, 0) AS s2
+                      FROM contests d LEFT JOIN ip ON ip.id = d.id) s ON s.id = c.id"""
+
 ORACLES["team_career"] = w(*BASE, CLEANED) + f"""SELECT t.team, coalesce(m.n, 0) AS total_matches,
   coalesce(wi.n, 0) AS total_wins,
   {r6('CASE WHEN coalesce(m.n, 0) > 0 THEN coalesce(wi.n, 0) / m.n ELSE 0 END', 'win_rate')},
@@ -280,6 +286,17 @@ ORACLES["bowler_career"] = w(*BASE_P) + f"""SELECT bowler, {r6('count(match_id)
   {r6('sum(total_runs) / (count(match_id) / 6.0)', 'economy')}
 FROM plays WHERE bowler IS NOT NULL GROUP BY bowler"""
 
+LEGAL = "sum(CASE WHEN wide_runs > 0 OR noball_runs > 0 THEN 0 ELSE 1 END)"
+ORACLES["batter_career_legal"] = w(*BASE_P) + f"""SELECT batter, CAST(sum(batsman_runs) AS BIGINT) AS total_runs,
+  CAST({LEGAL} AS BIGINT) AS balls_faced,
+  count(*) FILTER (WHERE batsman_runs = 4) AS fours, count(*) FILTER (WHERE batsman_runs = 6) AS sixes,
+  {r6(f'sum(batsman_runs) / nullif({LEGAL}, 0) * 100', 'strike_rate')}
+FROM plays WHERE batter IS NOT NULL GROUP BY batter"""
+ORACLES["bowler_career_legal"] = w(*BASE_P) + f"""SELECT bowler, {r6(f'{LEGAL} / 6.0', 'overs_bowled')},
+  CAST(sum(is_wicket) AS BIGINT) AS wickets, CAST(sum(total_runs) AS BIGINT) AS runs_conceded,
+  {r6(f'sum(total_runs) / nullif({LEGAL} / 6.0, 0)', 'economy')}
+FROM plays WHERE bowler IS NOT NULL GROUP BY bowler"""
+
 PLAYER_MATCH = """SELECT match_id, batter, CAST(sum(batsman_runs) AS BIGINT) AS runs_scored, count(match_id) AS balls_faced
 FROM plays WHERE batter IS NOT NULL AND match_id IN (SELECT id FROM cleaned) GROUP BY match_id, batter"""
 ORACLES["player_match"] = w(*BASE_P, CLEANED) + PLAYER_MATCH
@@ -295,6 +312,8 @@ FROM bw"""
 TMS_SELECT = f"""SELECT match_id, team, runs_scored, wickets_taken, runs_conceded, legal_balls_bowled,
   {r6('economy_rate', 'economy_rate')} FROM tms"""
 ORACLES["team_match_stats"] = w(*BASE_P, BOWLING, TMS) + TMS_SELECT
+_MAIN = "main_plays AS (SELECT * FROM plays WHERE inning <= 2)"
+ORACLES["team_match_stats_main_innings"] = w(*BASE_P, _MAIN, *[x.replace("FROM plays", "FROM main_plays") for x in (BOWLING, TMS)]) + TMS_SELECT
 ORACLES["finite_only"] = f"""SELECT * REPLACE (CASE WHEN isfinite(economy_rate) THEN economy_rate END AS economy_rate) FROM (
   SELECT * FROM ({ORACLES["team_match_stats"]}) t
   UNION ALL SELECT * REPLACE (-match_id AS match_id, CASE match_id % 7 WHEN 0 THEN 'inf'::DOUBLE WHEN 1 THEN 'nan'::DOUBLE

@@ -131,6 +131,12 @@ def q_winning_losing_score(spark, sf_dir):
     return sides.winning_losing_score(s).select("id", "inning1_score", "inning2_score", "winning_score", "losing_score")
 
 
+@query("winning_losing_score_batting_order")
+def q_winning_losing_score_batting_order(spark, sf_dir):
+    s = form_plan.contest_scores(contests(spark, sf_dir), plays(spark, sf_dir))
+    return sides.winning_losing_score(s, mode="batting_order").select("id", "winning_score", "losing_score")
+
+
 # --- aggregates ----------------------------------------------------------------
 
 @query("team_career")
@@ -153,6 +159,16 @@ def q_bowler_career(spark, sf_dir):
     return rounded(aggregates.bowler_career(plays(spark, sf_dir)))
 
 
+@query("batter_career_legal")
+def q_batter_career_legal(spark, sf_dir):
+    return rounded(aggregates.batter_career(plays(spark, sf_dir), legal_only=True))
+
+
+@query("bowler_career_legal")
+def q_bowler_career_legal(spark, sf_dir):
+    return rounded(aggregates.bowler_career(plays(spark, sf_dir), legal_only=True))
+
+
 @query("player_match")
 def q_player_match(spark, sf_dir):
     return aggregates.player_match(cleaned(spark, sf_dir), plays(spark, sf_dir))
@@ -182,6 +198,11 @@ def q_team_match_stats(spark, sf_dir):
     return rounded(aggregates.team_match_stats(plays(spark, sf_dir)))
 
 
+@query("team_match_stats_main_innings")
+def q_team_match_stats_main_innings(spark, sf_dir):
+    return rounded(aggregates.team_match_stats(plays(spark, sf_dir), innings=[1, 2]))
+
+
 @query("finite_only")
 def q_finite_only(spark, sf_dir):
     t = aggregates.team_match_stats(plays(spark, sf_dir))

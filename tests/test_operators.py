@@ -110,3 +110,23 @@ def test_team_career_counts(spark):
     r = {x.team: x for x in aggregates.team_career(c).collect()}
     assert (r["A"].total_matches, r["A"].total_wins, r["A"].home_win_rate, r["A"].away_win_rate) == (3, 2, 1.0, 0.5)
     assert r["C"].win_rate == 0.0 and r["B"].toss_win_rate == 0.5
+
+
+def test_legal_balls_and_innings_options(spark):
+    rows = [(1, 1, "A", "B", 1, "x", "p", 4, 4, 0, None, 0, 0), (1, 1, "A", "B", 2, "x", "p", 0, 1, 0, None, 1, 0),
+            (1, 1, "A", "B", 3, "x", "p", 6, 7, 0, None, 0, 1), (1, 3, "A", "B", 1, "x", "p", 1, 1, 1, "x", 0, 0),
+            (1, 2, "B", "A", 1, "y", "q", 0, 1, 0, None, 1, 0)]
+    p = spark.createDataFrame(rows, "match_id long, inning int, batting_team string, bowling_team string, ball int, batter string, "
+                                    "bowler string, batsman_runs int, total_runs int, is_wicket int, player_dismissed string, "
+                                    "wide_runs int, noball_runs int")
+    faced = lambda **o: {r.batter: (r.total_runs, r.balls_faced, r.strike_rate) for r in aggregates.batter_career(p, **o).collect()}
+    assert faced() == {"x": (11, 4, 275.0), "y": (0, 1, 0.0)}
+    assert faced(legal_only=True) == {"x": (11, 2, 550.0), "y": (0, 0, None)}
+    bowled = {r.bowler: (r.runs_conceded, r.economy) for r in aggregates.bowler_career(p, legal_only=True).collect()}
+    assert bowled == {"p": (13, 39.0), "q": (1, None)}
+    plain = aggregates.bowler_career(p.drop("wide_runs", "noball_runs"), legal_only=True).collect()
+    assert {r.bowler: r.overs_bowled * 6 for r in plain} == {"p": 4.0, "q": 1.0}  # without the columns every ball is legal
+    stats = lambda **o: {r.team: (r.runs_scored, r.wickets_taken, r.legal_balls_bowled)
+                         for r in aggregates.team_match_stats(p, **o).collect()}
+    assert stats() == {"A": (13, 0, 0), "B": (1, 1, 2)}
+    assert stats(innings=[1, 2]) == {"A": (12, 0, 0), "B": (1, 0, 1)}

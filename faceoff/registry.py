@@ -17,6 +17,7 @@ from faceoff.functions import columns
 from faceoff.operators import aggregates, clean, form, sides
 from faceoff.plans import form as form_plan
 from faceoff.plans import momentum
+from faceoff.scratch import materialize
 from faceoff.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -308,7 +309,7 @@ def q_h2h_prior(spark, sf_dir):
 @query("recent_form")
 def q_recent_form(spark, sf_dir):
     st = form_plan.side_stats(form_contests(spark, sf_dir), plays(spark, sf_dir))
-    r = form.recent_form(st)
+    r = form.recent_form(materialize(st))
     return rounded(r.select("id", "side", "team", *form_plan.FORM_METRICS))
 
 

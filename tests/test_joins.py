@@ -7,6 +7,7 @@ import pytest
 from faceoff import schemas
 from faceoff.operators import aggregates, form
 from faceoff.plans import players
+from faceoff.sources import tables as sources
 
 
 def tables(spark, tmp_path):
@@ -49,3 +50,22 @@ def test_rolling_tables_are_written_without_a_broadcast(spark, tmp_path, monkeyp
     players.bowler_rolling(p, c)
     form.player_streak(c, p)
     assert len(plans) == 3 and not any("Broadcast" in x for x in plans)
+
+
+def test_stand_in_tables_are_joined_by_key(spark, tmp_path):
+    kinds = {"orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string",
+             "customer": "c_custkey long, c_nationkey long, c_mktsegment string", "nation": "n_nationkey long, n_name string",
+             "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string"}
+    rows = {"orders": [(1, 1, "F", "2020-01-01"), (2, 2, "O", "2020-01-02"), (3, 9, "P", "2020-01-03"), (4, None, "F", "2020-01-04")],
+            "customer": [(1, 0, "S"), (2, 1, "S"), (2, 3, "T"), (None, 0, "U")], "nation": [(k, f"N{k}") for k in range(25)],
+            "lineitem": [(1, 5, 6, 1, 3.0, "N", "O"), (2, 5, 6, 2, 3.0, "R", "F"), (7, 5, 6, 1, 3.0, "N", "O"), (None, 5, 6, 1, 3.0, "N", "O")]}
+    for name, kind in kinds.items():
+        spark.createDataFrame(rows[name], kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    c = sources.testdata_contests(spark, str(tmp_path))
+    p = sources.testdata_plays(spark, str(tmp_path), c)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    # of the contests' joins only the two with nation, 25 rows, are broadcasts
+    assert (plan(c).count("SortMergeJoin"), plan(c).count("BroadcastHashJoin")) == (1, 2)
+    assert (plan(p).count("SortMergeJoin"), plan(p).count("BroadcastHashJoin")) == (2, 2)
+    assert sorted((r.id, r.venue) for r in c.collect()) == [(1, "S"), (2, "S"), (2, "T")]
+    assert sorted(r.match_id for r in p.collect()) == [1, 2, 2]
